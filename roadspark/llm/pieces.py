@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import free_name, text_slices
+from .common import bounded_batches, free_name, text_slices
 
 MARK = "▁".encode()
 #: Texts that the library encodes at a time.
@@ -239,5 +239,6 @@ def round_trip(docs: DataFrame, model: str, id_column: str = "doc_id", text_colu
             [id_column, "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"],
         )
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(id_column, text_column)
     return rows.mapInArrow(_each(model, text_column, make), f"`{id_column}` {dict(rows.dtypes)[id_column]}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string")

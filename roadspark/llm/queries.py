@@ -6,8 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, tokenstore
-from .common import table
+from . import decontam, neardup, pieces, quality, tokenstore
+from .common import held_out, table
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,12 +20,25 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.document_index(tokenstore.open_store(spark, path))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored, name = quality.score(docs.select("doc_id", "text"), quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(name).alias("score"), (F.col(name) >= quality.CUT).cast("int").alias("predicted"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {
+    "op4_decontamination": op4_decontamination,
     "op5_token_store": op5_token_store,
+    "op7_near_duplicates": op7_near_duplicates,
+    "op8_quality": op8_quality,
     "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLE_SQL: dict[str, str] = {}
