@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a task works on at a time (a longer text is one slice of its own).
 SLICE_BYTES = 4 << 20
+#: Rows that a task works on at a time, at most.
+SLICE_ROWS = 2048
+#: Bound on an Arrow batch that Spark hands to a task's Python.
+BATCH_BYTES = 16 << 20
 #: Id lists up to this many rows (8 bytes each) may be broadcast; longer ones are shuffled.
 BROADCAST_IDS = 1_000_000
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -70,22 +74,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce((F.crc32(doc_id.cast("string").cast("binary")) % 4) == 2, F.lit(False))
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Spark hand texts to Python in Arrow batches of 16 MB at most."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut a batch so that each part holds at most ``limit`` text bytes, or one text.
 
     Yields the part, its text bytes as one array, and the offsets of its texts in them.
     A null text counts as empty.
     """
-    texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
-    n = len(texts)
-    if not n:
-        return
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-    at = 0
-    while at < n:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
-        yield batch.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
-        at = to
-
-
+    for first in range(0, batch.num_rows, SLICE_ROWS):
+        rows = batch.slice(first, SLICE_ROWS)
+        texts = pc.fill_null(rows.column(column), "").cast(pa.large_string())
+        n = len(texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        at = 0
+        while at < n:
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+            yield rows.slice(at, to - at), data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+            at = to

@@ -15,6 +15,7 @@ all kept, next to each other; a null doc_id sorts first. An empty table gives no
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -25,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import bounded_batches, shared_dir, text_slices
 
 WIDTH = 8
 #: Bits of a bitmap between two entries of its rank directory.
 RANK_BITS = 512
 #: Words kept with their ids by a task, so that common words are encoded once.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 LEVEL = "struct<count:bigint,chunks:binary,more:binary,ranks:binary>"
-_ODD_SPACE = re.compile(r"\s ")
+#: Texts with these are cut before spaces only, by a slower rule.
+_ODD = re.compile(r"\s\s|[\W_][.,]|\0")
 _SAFE_SPLIT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -86,37 +88,66 @@ class WordEncoder:
     """Byte-level BPE of whole texts, word by word.
 
     The tokenizer's pattern always cuts before a space that follows a character which is not
-    white space, so the parts between such cuts encode alone as they do in their text. Parts
-    that were seen before come from a cache of bounded size.
+    white space, around a single line break, and before a dot or comma that follows a letter
+    or digit. The parts between such cuts encode alone as they do in their text; those that
+    were seen before come from a cache of bounded size.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.line_break = vocabulary["Ċ"]
+        self.opens[[k for token, k in vocabulary.items() if token.startswith("Ġ")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode new parts, many in one go: those with a leading space only follow each
+        other, those without white space stand on lines of their own."""
+        seen, spaced, bare = self.seen, [], []
+        for part in parts:
+            runs = part.split()
+            if len(runs) == 1 and part == runs[0]:
+                bare.append(part)
+            elif len(runs) == 1 and part == " " + runs[0]:
+                spaced.append(part)
+            else:
+                seen[part] = self._ids(part).tobytes()
+        for at in range(0, len(spaced), 1000):
+            some = spaced[at : at + 1000]
+            ids = self._ids("".join(some))
+            starts = np.flatnonzero(self.opens[ids])
+            self._keep(some, ids, starts, np.append(starts[1:], len(ids)))
+        for at in range(0, len(bare), 1000):
+            some = bare[at : at + 1000]
+            ids = self._ids("\n".join(some))
+            breaks = np.flatnonzero(ids == self.line_break)
+            self._keep(some, ids, np.append(0, breaks + 1), np.append(breaks, len(ids)))
+
+    def _keep(self, parts: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        raw = ids.tobytes()
+        for part, b, e in zip(parts, (starts * 4).tolist(), (ends * 4).tolist(), strict=True):
+            self.seen[part] = raw[b:e]
+
+    @staticmethod
+    def _parts(text: str) -> list[str]:
+        if _ODD.search(text):
+            return _SAFE_SPLIT.split(text)
+        return text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0").split("\0")
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text and the end id."""
-        cut = []
-        for text in texts:
-            if _ODD_SPACE.search(text):
-                cut.append(_SAFE_SPLIT.split(text))
-            else:
-                head, *rest = text.split(" ")
-                cut.append([head, *(" " + x for x in rest)])
         if len(self.seen) > CACHED_WORDS:
             self.seen.clear()
-        seen = self.seen
-        new = list({part for parts in cut for part in parts if part not in seen})
-        for at in range(0, len(new), 2000):
-            some = new[at : at + 2000]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                seen[part] = np.array(found.ids, "<u4").tobytes()
-        end = np.array([end_id], "<u4").tobytes()
+        cut = [self._parts(text) for text in texts]
+        self._learn(list({part for parts in cut for part in parts}.difference(self.seen)))
+        seen, end = self.seen, np.array([end_id], "<u4").tobytes()
         return [np.frombuffer(b"".join([seen[part] for part in parts]) + end, "<u4") for parts in cut]
 
 
@@ -126,8 +157,7 @@ def _encoded(path: str, end_id: int, width: int):
         seq = 0
         kind = pa.list_(pa.struct([("count", pa.int64()), ("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part, _, _ in text_slices(batch, "text", 1 << 20):
                 ids = encoder.encode([t or "" for t in part.column(2).to_pylist()], end_id)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(range(seq, seq + len(ids)), pa.int64()), part.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array([pack(x, width) for x in ids], kind)], ["part", "seq", "doc_id", "n_tokens", "levels"])
                 seq += len(ids)
@@ -141,6 +171,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, id_column: str = "do
     Documents are dealt by ranges of their id, so equal ids stay together; repeated rows of
     one id sort by text.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(
