@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,18 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce((F.crc32(doc_id.cast("string").cast("binary")) % 4) == 2, F.lit(False))
 
 
+def ship(spark: SparkSession, model: object) -> Broadcast:
+    """Broadcast what a model holds: plain values, which tasks read without the library."""
+    return spark.sparkContext.broadcast(vars(model))
+
+
+def received(kind: type, shared: Broadcast) -> object:
+    """The model that was shipped."""
+    model = kind.__new__(kind)
+    model.__dict__ = shared.value
+    return model
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Let Spark hand texts to Python in Arrow batches of 16 MB at most."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

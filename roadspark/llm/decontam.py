@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, free_name, text_slices
+from .common import bounded_batches, free_name, received, ship, text_slices
 from .words import split_words
 
 WINDOW = 13
@@ -136,7 +136,7 @@ def _intervals(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _pass(items_var, column: str, state: str, first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = items_var.value
+        items = received(Items, items_var)
         for batch in batches:
             for part, data, bounds in text_slices(batch, column):
                 words, word_at = split_words(data, bounds)
@@ -201,7 +201,7 @@ def match(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item
     for k in range(blocks):
         rows = texts.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).distinct().collect()
         rows.sort()
-        items = spark.sparkContext.broadcast(Items([r[0] for r in rows], [r[1] for r in rows], size))
+        items = ship(spark, Items([r[0] for r in rows], [r[1] for r in rows], size))
         schema = docs.sparkSession.createDataFrame([], docs.schema).selectExpr("*", f"cast(null as {STATE}) as `{state}`").schema
         out = out.mapInArrow(_pass(items, text_column, state, k == 0), schema)
     return out, state

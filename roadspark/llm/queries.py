@@ -6,10 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, neardup, pieces, quality, tokenstore
+from . import ann, decontam, langid, neardup, pieces, quality, tokenstore
 from .common import held_out, table
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found, lang, score = langid.predict(docs.select("doc_id", "text"), langid.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,15 +36,21 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(name).alias("score"), (F.col(name) >= quality.CUT).cast("int").alias("predicted"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES = {
+    "op2_language": op2_language,
     "op4_decontamination": op4_decontamination,
     "op5_token_store": op5_token_store,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality": op8_quality,
+    "op9_neighbours": op9_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLE_SQL: dict[str, str] = {}
