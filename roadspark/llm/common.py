@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -87,6 +89,11 @@ def received(kind: type, shared: Broadcast) -> object:
     return model
 
 
+def kept_between_tasks() -> dict:
+    """What this Python process keeps from task to task."""
+    return vars(sys.modules.setdefault("roadspark_task_state", types.ModuleType("roadspark_task_state"))).setdefault("kept", {})
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Let Spark hand texts to Python in Arrow batches of 16 MB at most."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shared_dir, text_slices
+from .common import bounded_batches, kept_between_tasks, shared_dir, text_slices
 
 WIDTH = 8
 #: Bits of a bitmap between two entries of its rank directory.
 RANK_BITS = 512
-#: Words kept with their ids by a task, so that common words are encoded once.
+#: Words kept with their ids by a Python process, so that common words are encoded once; as
+#: many again of the generation before are kept until then.
 CACHED_WORDS = 200_000
 LEVEL = "struct<count:bigint,chunks:binary,more:binary,ranks:binary>"
 #: Texts with these are cut before spaces only, by a slower rule.
@@ -41,11 +42,11 @@ _SAFE_SPLIT = re.compile(r"(?<=\S)(?= )")
 
 def pack(ids: np.ndarray, width: int = WIDTH) -> list[dict]:
     """The levels of a sequence of ids (none for an empty sequence)."""
-    levels, rest = [], np.asarray(ids, np.uint64)
+    levels, rest = [], np.asarray(ids, np.uint32)
     dtype = np.uint8 if width <= 8 else np.uint16
     while len(rest):
-        chunk = (rest & np.uint64((1 << width) - 1)).astype(dtype)
-        rest = rest >> np.uint64(width)
+        chunk = (rest & np.uint32((1 << width) - 1)).astype(dtype)
+        rest = rest >> np.uint32(width)
         more = rest > 0
         bits = np.packbits(more, bitorder="little")
         ones = np.add.reduceat(more.astype(np.uint32), np.arange(0, len(more), RANK_BITS))
@@ -99,6 +100,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.line_break = vocabulary["Ċ"]
@@ -144,16 +146,22 @@ class WordEncoder:
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text and the end id."""
         if len(self.seen) > CACHED_WORDS:
-            self.seen.clear()
+            self.seen, self.older = {}, self.seen
         cut = [self._parts(text) for text in texts]
-        self._learn(list({part for parts in cut for part in parts}.difference(self.seen)))
+        new, older = {part for parts in cut for part in parts}.difference(self.seen), self.older
+        if older:
+            again = new.intersection(older)
+            self.seen.update((part, older[part]) for part in again)
+            new -= again
+        self._learn(list(new))
         seen, end = self.seen, np.array([end_id], "<u4").tobytes()
         return [np.frombuffer(b"".join([seen[part] for part in parts]) + end, "<u4") for parts in cut]
 
 
 def _encoded(path: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = kept_between_tasks().setdefault(path, None) or WordEncoder(path)
+        kept_between_tasks()[path] = encoder
         seq = 0
         kind = pa.list_(pa.struct([("count", pa.int64()), ("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
         for batch in batches:
