@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, neardup, pieces, quality, tokenstore
+from . import ann, decontam, langid, licenses, neardup, pieces, quality, tokenstore, urlfilter
 from .common import held_out, table
 
 
@@ -16,6 +16,16 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
 
 
+#: The listed urls: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    found, names = urlfilter.judge(pages, spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+    return found.select("page_id", *names)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +36,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.document_index(tokenstore.open_store(spark, path))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
@@ -46,8 +60,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_language": op2_language,
+    "op3_url_filter": op3_url_filter,
     "op4_decontamination": op4_decontamination,
     "op5_token_store": op5_token_store,
+    "op6_licenses": op6_licenses,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,
