@@ -9,9 +9,13 @@ every tree with a probability that does not vanish, and misses all trees with le
 1e-8 at the first level.
 
 In every node the members are compared with the node's pivot. Nodes whose members are then
-in one component need no more work; of the others, small ones are compared exhaustively and
-large ones branch. Every candidate pair is confirmed on the two full sets. Components grow
-by alternating star operations on the confirmed links, all as joins and aggregates.
+in one component need no more work; of the others, large ones branch, down to DEPTH, and
+small ones are compared exhaustively by their tokens and propose a spanning forest of their
+likely pairs, likeliest first. A node that is large even at DEPTH is compared in pairs of blocks of bounded
+size. Every proposed pair is confirmed on the two full sets. At last the proposals, links or
+not, join documents into clusters; where a cluster still has several components, all its
+pairs of different components are compared on full sets, in tiles of bounded size.
+Components grow by alternating star operations on the links, as joins and aggregates.
 
 Texts that are null or have no words have empty sets and no links. A text of one to four
 words is one shingle. Repeated doc_ids are judged row by row, under one vertex. Rows with a
@@ -33,15 +37,15 @@ from .words import SPACED, mix, shingle_sets, split_words
 SHINGLE = 5
 #: Similarity in percent.
 THRESHOLD = 75
-COORDINATES = 48
+COORDINATES = 64
 TREES = 24
 #: Nodes of up to so many members are compared exhaustively.
-LEAF = 64
-#: Equal coordinates that a candidate pair needs: at the threshold 36 are expected, so fewer
-#: than 19 have a probability under 1e-7.
-LIKELY = 19
+LEAF = 512
+#: Equal coordinates that a candidate pair needs: at the threshold 48 are expected, and fewer
+#: than 33 have a probability of about 1e-5.
+LIKELY = 33
 #: Nodes that are large even so deep down are compared exhaustively, in blocks.
-DEPTH = 32
+DEPTH = 3
 BLOCK = 512
 
 _A = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -86,48 +90,76 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs that are similar enough on their full sets (both sorted)."""
+    """The pairs that are similar enough on their full sets."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = np.sort(np.concatenate([x, y]))
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= THRESHOLD * (len(x) + len(y) - common) and common > 0)
+        keep = [_same(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of different components within each node; rows come sorted by node."""
-
-    def pairs(ids, comps, sigs):
-        for i in range(0, len(ids), BLOCK):
-            for j in range(i, len(ids), BLOCK):
-                x, y = sigs[i : i + BLOCK], sigs[j : j + BLOCK]
-                same = np.zeros((len(x), len(y)), np.int16)
-                for k in range(COORDINATES):
-                    same += x[:, k, None] == y[None, :, k]
-                p, q = np.nonzero((same >= LIKELY) & (comps[i : i + BLOCK, None] != comps[None, j : j + BLOCK]))
-                if i == j:
-                    p, q = p[p < q], q[p < q]
-                if len(p):
-                    p, q = ids[i + p], ids[j + q]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], ["a", "b"])
+def _proposals(ids, comps, sigs, blocks, crossing: bool):
+    """A spanning forest, likeliest first, of the likely pairs of a group's components."""
+    for i in range(0, len(ids), BLOCK):
+        for j in range(i, len(ids), BLOCK):
+            x, y = slice(i, i + BLOCK), slice(j, j + BLOCK)
+            wanted = comps[x, None] != comps[None, y]
+            if crossing:
+                wanted &= blocks[x, None] != blocks[None, y]
+            if not wanted.any():
+                continue
+            same = np.zeros(wanted.shape, np.int16)
+            for k in range(COORDINATES):
+                same += sigs[x, k, None] == sigs[None, y, k]
+            p, q = np.nonzero((same >= LIKELY) & wanted)
+            order = np.argsort(-same[p, q], kind="stable")
+            p, q = i + p[order], j + q[order]
+            root = {c: c for c in comps[np.append(p, q)].tolist()}
+            left, out = len(root), []
+            for m, n, c, d in zip(p.tolist(), q.tolist(), comps[p].tolist(), comps[q].tolist()):
+                while root[c] != c:
+                    c = root[c]
+                while root[d] != d:
+                    d = root[d]
+                if c != d:
+                    root[max(c, d)] = min(c, d)
+                    out.append((min(ids[m], ids[n]), max(ids[m], ids[n])))
+                    left -= 1
+                    if left == 1:
+                        break
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
 
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Proposals of all groups, whose rows come together."""
     rest = None
     for batch in batches:
-        node, ids, comps = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
-        sigs = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(5)]
+        columns.append(batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES))
         if rest is not None:
-            node, ids, comps, sigs = (np.concatenate([a, b]) for a, b in zip(rest, (node, ids, comps, sigs)))
-        if not len(node):
+            columns = [np.concatenate(pair) for pair in zip(rest, columns)]
+        group, crossing, ids, comps, blocks, sigs = columns
+        if not len(group):
             continue
-        cut = np.flatnonzero(np.append(True, node[1:] != node[:-1]))
+        cut = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
         for b, e in zip(cut[:-1], cut[1:]):
-            yield from pairs(ids[b:e], comps[b:e], sigs[b:e])
-        rest = tuple(x[cut[-1] :] for x in (node, ids, comps, sigs))
+            yield from _proposals(ids[b:e], comps[b:e], sigs[b:e], blocks[b:e], bool(crossing[b]))
+        rest = [c[cut[-1] :] for c in columns]
     if rest is not None:
-        yield from pairs(*rest[1:])
+        yield from _proposals(*(rest[k] for k in (2, 3, 5, 4)), bool(rest[1][0]))
+
+
+def _exhaustive(nodes: DataFrame, reps: DataFrame) -> DataFrame:
+    """Likely pairs a, b that join the nodes' components, in groups of about LEAF members.
+
+    A larger node is cut into blocks, and every two blocks are a group.
+    """
+    n = F.ceil(F.col("size") / LEAF).cast("int")
+    block = F.pmod(F.xxhash64("rep", F.lit(3)), n).cast("int")
+    rows = nodes.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+    group = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
+    rows = rows.select(group.alias("group"), (F.col("block") != F.col("other")).alias("crossing"), "rep", "component", "block")
+    rows = rows.join(reps, "rep").select("group", "crossing", "rep", "component", "block", "sig")
+    return rows.repartition("group").sortWithinPartitions("group").mapInArrow(_compare, "a bigint, b bigint")
 
 
 def _multi(nodes: DataFrame) -> DataFrame:
@@ -155,8 +187,66 @@ def _branches(nodes: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("node", "j", F.expr("sig[j]")).alias("node"), "rep")
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
-    """Of candidate pairs the links, saved."""
+def _same(x: np.ndarray, y: np.ndarray) -> bool:
+    """Are two sorted sets similar enough?"""
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    return common > 0 and 100 * common >= THRESHOLD * (len(x) + len(y) - common)
+
+
+def _tile(rows: pa.Table) -> pa.Table:
+    """Links between the components of a tile: likeliest pairs first, one link for two components."""
+    left = rows.column("left").to_numpy()
+    ids, comps = rows.column("rep").to_numpy(), rows.column("component").to_numpy()
+    sigs = rows.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("members")]
+    p, q = np.flatnonzero(left), np.flatnonzero(~left)
+    same = np.zeros((len(p), len(q)), np.int16)
+    for k in range(COORDINATES):
+        same += sigs[p, k, None] == sigs[None, q, k]
+    i, j = np.nonzero((same >= LIKELY) & (comps[p, None] != comps[None, q]))
+    order = np.argsort(-same[i, j], kind="stable")
+    root = {c: c for c in comps.tolist()}
+
+    def find(c):
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    out = []
+    for x, y in zip(p[i[order]].tolist(), q[j[order]].tolist()):
+        c, d = find(int(comps[x])), find(int(comps[y]))
+        if c != d and _same(sets[x], sets[y]):
+            root[max(c, d)] = min(c, d)
+            out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
+def _within_clusters(decided: DataFrame, found: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame | None:
+    """Links between different components of one cluster, saved; None if no cluster has several."""
+    edges = found.select(F.col("rep").alias("a"), F.col("component").alias("b"))
+    clusters = components(decided.unionByName(edges)).withColumnRenamed("component", "cluster")
+    clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("rep"), "cluster").distinct())
+    members = saved(clusters.join(found, "rep", "left").select("cluster", "rep", F.coalesce("component", "rep").alias("component")), "clusters")
+    sizes = members.groupBy("cluster", "component").count().groupBy("cluster").agg(F.sum("count").alias("size"), F.max("count").alias("largest"), F.max_by("component", F.struct("count", "component")).alias("main"))
+    sizes = sizes.where("size > largest").select("cluster", "main", F.ceil((F.col("size") - F.col("largest")) / LEAF).cast("int").alias("lefts"), F.ceil(F.col("size") / LEAF).cast("int").alias("rights"))
+    mixed = saved(members.join(sizes, "cluster"), "open")
+    if not mixed.limit(1).count():
+        return None
+    # Members outside a cluster's main component meet all members: left blocks by right blocks.
+    place = lambda n, seed: F.pmod(F.xxhash64("rep", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = mixed.where("component <> main").withColumns({"i": place("lefts", 5), "left": F.lit(True)}).withColumn("j", every("rights"))
+    right = mixed.withColumns({"j": place("rights", 6), "left": F.lit(False)}).withColumn("i", every("lefts"))
+    both = left.unionByName(right).select("cluster", "i", "j", "left", "rep", "component")
+    sets = near_rows(rows, mixed.select(F.col("rep").alias("wanted")), "id", "wanted").select("id", "text").mapInArrow(_sets, "id bigint, members binary")
+    placed = both.join(saved(sets.withColumnRenamed("id", "rep"), "sets"), "rep").join(reps, "rep")
+    return saved(placed.groupBy("cluster", "i", "j").applyInArrow(_tile, "a bigint, b bigint").distinct(), "links")
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of candidate pairs the likely ones, and of those the links; both saved."""
     a, b = (reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
     equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     likely = saved(pairs.distinct().join(a, "a").join(b, "b").where(equal >= LIKELY).select("a", "b").distinct(), "likely")
@@ -164,7 +254,7 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame:
     sets = saved(near_rows(rows, wanted, "id", "wanted").select("id", "text").mapInArrow(_sets, "id bigint, members binary"), "sets")
     x, y = (sets.select(F.col("id").alias(c), F.col("members").alias(f"members_{c}")) for c in "ab")
     both = likely.join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b")
-    return saved(both.mapInArrow(_confirm, "a bigint, b bigint"), "links")
+    return likely, saved(both.mapInArrow(_confirm, "a bigint, b bigint"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -202,27 +292,31 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     owned = saved(owned, "vertices")
     reps = owned.select("rep", "sig")
 
+    def mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
+        """The nodes whose members are in several components, with these."""
+        placed = rows.select("node", "rep", "size").join(found, "rep", "left").select("node", "rep", "size", F.coalesce("component", "rep").alias("component"))
+        several = placed.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("node")
+        return saved(placed.join(several, "node", "left_semi"), "mixed")
+
     nodes = saved(_multi(_roots(reps)), "nodes")
-    links = _confirmed(_star(nodes), reps, rows)
+    decided, links = _confirmed(_star(nodes), reps, rows)
     found = components(links)
-    depth = 1
-    while True:
-        placed = nodes.join(found, "rep", "left").select("node", "rep", "size", F.coalesce("component", "rep").alias("component"))
-        mixed = placed.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("node")
-        active = saved(placed.join(mixed, "node", "left_semi"), "active")
-        leaf = F.col("size") <= LEAF if depth < DEPTH else F.lit(True)
-        n_leaf, n_large = active.agg(F.sum(leaf.cast("int")), F.sum((~leaf).cast("int"))).first()
-        if not n_leaf and not n_large:
-            break
-        pairs = active.where(leaf).join(reps, "rep").select("node", "rep", "component", "sig").repartition("node").sortWithinPartitions("node").mapInArrow(_compare, "a bigint, b bigint")
+    for depth in range(1, DEPTH + 1):
+        active = mixed(nodes, found)
+        small = F.col("size") <= LEAF if depth < DEPTH else F.lit(True)
+        n_large = active.where(~small).count()
+        pairs = _exhaustive(active.where(small), reps)
         if n_large:
-            nodes = saved(_multi(_branches(active.where(~leaf), reps)), "nodes")
+            nodes = saved(_multi(_branches(active.where(~small), reps)), "nodes")
             pairs = pairs.unionByName(_star(nodes))
-        links = _confirmed(pairs, reps, rows)
+        more, links = _confirmed(pairs.join(decided, ["a", "b"], "left_anti"), reps, rows)
+        decided = decided.unionByName(more)
         found = components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
         if not n_large:
             break
-        depth += 1
+    links = _within_clusters(decided, found, reps, rows)
+    if links is not None:
+        found = components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
 
     vertex = owned.select("k1", "k2", "n", "rep").join(found, "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
     out = features.select("id", "n", "k1", "k2").join(vertex, ["k1", "k2", "n"], "left")
