@@ -1,0 +1 @@
+"""Road features from OpenStreetMap-shaped tables, as Spark DataFrames."""
