@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, licenses, neardup, pieces, quality, tokenstore, urlfilter
+from . import ann, chat, decontam, langid, licenses, neardup, oracle, pieces, quality, tokenstore, urlfilter
 from .common import held_out, table
 
 
@@ -77,4 +77,11 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: The others learn a model, search approximately, or need a tokenizer.
+ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": oracle.OP1,
+    "op3_url_filter": oracle.OP3,
+    "op4_decontamination": oracle.OP4,
+    "op6_licenses": oracle.OP6,
+    "op7_near_duplicates": oracle.OP7,
+}
