@@ -152,9 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(sample), F.col("id") == F.col("label_id"))
     found = rows.select("y", "text").mapInArrow(_vectors, "y int, x array<double>").toArrow()
     y = found.column("y").to_numpy()
-    x = np.array(found.column("x").to_pylist(), float).reshape(len(y), -1)
-    if not len(y):
-        x = features(np.zeros(0, np.uint8), np.zeros(2, np.int64))[:0]
+    x = np.array(found.column("x").to_pylist(), float) if len(y) else features(np.zeros(0, np.uint8), np.zeros(2, np.int64))[:0]
     order = np.lexsort((*x.T, y))  # the fit does not depend on the order of arrival
     return fit(x[order], y[order])
 
