@@ -40,7 +40,9 @@ THRESHOLD = 75
 COORDINATES = 64
 TREES = 24
 #: Nodes of up to so many members are compared exhaustively.
-LEAF = 512
+LEAF = 2048
+#: Members to a side of a tile, with their full sets.
+TILE = 512
 #: Equal coordinates that a candidate pair needs: at the threshold 48 are expected, and fewer
 #: than 33 have a probability of about 1e-5.
 LIKELY = 33
@@ -110,7 +112,12 @@ def _proposals(ids, comps, sigs, blocks, crossing: bool):
             for k in range(COORDINATES):
                 same += sigs[x, k, None] == sigs[None, y, k]
             p, q = np.nonzero((same >= LIKELY) & wanted)
-            order = np.argsort(-same[p, q], kind="stable")
+            # Of the pairs that join the same two components the likeliest one is enough.
+            c, d = comps[i + p], comps[j + q]
+            order = np.lexsort((-same[p, q], np.maximum(c, d), np.minimum(c, d)))
+            low, high = np.minimum(c, d)[order], np.maximum(c, d)[order]
+            order = order[np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(order)]]
+            order = order[np.argsort(-same[p[order], q[order]], kind="stable")]
             p, q = i + p[order], j + q[order]
             root = {c: c for c in comps[np.append(p, q)].tolist()}
             left, out = len(root), []
@@ -230,7 +237,7 @@ def _within_clusters(decided: DataFrame, found: DataFrame, reps: DataFrame, rows
     clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("rep"), "cluster").distinct())
     members = saved(clusters.join(found, "rep", "left").select("cluster", "rep", F.coalesce("component", "rep").alias("component")), "clusters")
     sizes = members.groupBy("cluster", "component").count().groupBy("cluster").agg(F.sum("count").alias("size"), F.max("count").alias("largest"), F.max_by("component", F.struct("count", "component")).alias("main"))
-    sizes = sizes.where("size > largest").select("cluster", "main", F.ceil((F.col("size") - F.col("largest")) / LEAF).cast("int").alias("lefts"), F.ceil(F.col("size") / LEAF).cast("int").alias("rights"))
+    sizes = sizes.where("size > largest").select("cluster", "main", F.ceil((F.col("size") - F.col("largest")) / TILE).cast("int").alias("lefts"), F.ceil(F.col("size") / TILE).cast("int").alias("rights"))
     mixed = saved(members.join(sizes, "cluster"), "open")
     if not mixed.limit(1).count():
         return None
@@ -274,13 +281,13 @@ def components(edges: DataFrame) -> DataFrame:
             out = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         return out.where("a <> b").distinct()
 
-    state = None
     while True:
         edges = saved(stars(stars(edges, False), True), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == state or not now[0]:
+        # Done when every vertex has one edge and no vertex is the end of another's: all stars.
+        n, n_left = edges.agg(F.count("*"), F.count_distinct("a")).first()
+        ends = edges.select(F.col("b").alias("a")).distinct()
+        if n == n_left and not edges.join(ends, "a", "left_semi").limit(1).count():
             return edges.select(F.col("a").alias("rep"), F.col("b").alias("component"))
-        state = now
 
 
 def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
