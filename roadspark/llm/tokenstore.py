@@ -17,8 +17,10 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,37 +37,79 @@ RANK_BITS = 512
 #: many again of the generation before are kept until then.
 CACHED_WORDS = 200_000
 LEVEL = "struct<count:bigint,chunks:binary,more:binary,ranks:binary>"
-#: Texts with these are cut before spaces only, by a slower rule.
-_ODD = re.compile(r"\s\s|[\W_][.,]|\0")
 _SAFE_SPLIT = re.compile(r"(?<=\S)(?= )")
 
 
-def pack(ids: np.ndarray, width: int = WIDTH) -> list[dict]:
-    """The levels of a sequence of ids (none for an empty sequence)."""
-    levels, rest = [], np.asarray(ids, np.uint32)
-    dtype = np.uint8 if width <= 8 else np.uint16
+_ITEM = pa.struct([("count", pa.int64()), ("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())])
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Binary values of given sizes in bytes, cut from one array."""
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _places(sizes: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each element lies when every sequence starts at a multiple of ``step``, and the starts."""
+    starts = np.append(0, np.cumsum(-(-sizes // step) * step))
+    first = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(starts[:-1] - first, sizes), starts
+
+
+def pack(ids: np.ndarray, sizes: np.ndarray, width: int = WIDTH) -> pa.Array:
+    """The levels of many sequences, given one after the other: a list for each, with none for
+    an empty one."""
+    dtype = np.dtype(np.uint8 if width <= 8 else "<u2")
+    rest, own, size = np.asarray(ids, np.uint32), np.flatnonzero(sizes), np.asarray(sizes)[np.flatnonzero(sizes)]
+    parts, owners = [], []
     while len(rest):
         chunk = (rest & np.uint32((1 << width) - 1)).astype(dtype)
         rest = rest >> np.uint32(width)
         more = rest > 0
-        bits = np.packbits(more, bitorder="little")
-        ones = np.add.reduceat(more.astype(np.uint32), np.arange(0, len(more), RANK_BITS))
-        ranks = np.append(np.uint32(0), np.cumsum(ones, dtype=np.uint32)[:-1]).astype("<u4")
-        levels.append({"count": len(chunk), "chunks": chunk.tobytes(), "more": bits.tobytes(), "ranks": ranks.tobytes()})
-        rest = rest[more]
-    return levels
+        at, starts = _places(size, 8)
+        bits = np.zeros(starts[-1], bool)
+        bits[at] = more
+        # Ones of a sequence before each block of its bitmap.
+        first = np.cumsum(size) - size
+        blocks = -(-size // RANK_BITS)
+        block = np.repeat(first, blocks) + (np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * RANK_BITS
+        ones = np.append(0, np.cumsum(more))
+        ranks = (ones[block] - np.repeat(ones[first], blocks)).astype("<u4")
+        parts.append(pa.StructArray.from_arrays([pa.array(size, pa.int64()), _binary(chunk, size * dtype.itemsize), _binary(np.packbits(bits, bitorder="little"), -(-size // 8)), _binary(ranks, blocks * 4)], fields=list(_ITEM)))
+        owners.append(own)
+        left = np.add.reduceat(more.astype(np.int64), first)
+        rest, own, size = rest[more], own[left > 0], left[left > 0]
+    if not parts:
+        return pa.array([[]] * len(sizes), pa.list_(_ITEM))
+    owner = np.concatenate(owners)
+    items = pa.concat_arrays(parts).take(pa.array(np.argsort(owner, kind="stable")))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(owner, minlength=len(sizes)))), pa.int32()), items)
+
+
+def unpack(levels: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of many sequences, one after the other, and their sizes."""
+    dtype = np.dtype(np.uint8 if width <= 8 else "<u2")
+    counts = levels.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    items = levels.flatten()
+    depth = np.arange(len(items)) - np.repeat(np.cumsum(counts) - counts, counts)
+    out = np.zeros(0, np.uint32)
+    for level in range(int(counts.max(initial=0)) - 1, -1, -1):
+        some = items.filter(pa.array(depth == level))
+        size = some.field("count").to_numpy()
+        value = np.frombuffer(_joined(some.field("chunks")), dtype).astype(np.uint32)
+        at, _ = _places(size, 8)
+        more = np.unpackbits(np.frombuffer(_joined(some.field("more")), np.uint8), bitorder="little")[at].astype(bool)
+        value[more] |= out << np.uint32(width)
+        out = value
+    sizes = np.zeros(len(levels), np.int64)
+    sizes[counts > 0] = items.filter(pa.array(depth == 0)).field("count").to_numpy()
+    return out, sizes
 
 
-def unpack(levels: list[dict], width: int = WIDTH) -> np.ndarray:
-    """All ids of a sequence."""
-    dtype = np.uint8 if width <= 8 else np.uint16
-    out = np.zeros(0, np.uint32)
-    for level in reversed(levels):
-        chunk = np.frombuffer(level["chunks"], dtype).astype(np.uint32)
-        more = np.unpackbits(np.frombuffer(level["more"], np.uint8), count=len(chunk), bitorder="little").astype(bool)
-        chunk[more] |= out << np.uint32(width)
-        out = chunk
-    return out
+def _joined(values: pa.Array) -> bytes:
+    """The bytes of binary values, one after the other."""
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    return memoryview(values.buffers()[2] or b"")[offsets[0] : offsets[-1]]
 
 
 def token_at(levels: list[dict], at: int, width: int = WIDTH) -> int:
@@ -85,77 +129,96 @@ def token_at(levels: list[dict], at: int, width: int = WIDTH) -> int:
     return value
 
 
-class WordEncoder:
-    """Byte-level BPE of whole texts, word by word.
+def byte_characters() -> dict[int, str]:
+    """How byte-level BPE writes bytes: printable Latin-1 as itself, the others from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_SPACE_CHARACTER = "Ġ"  # how byte-level BPE writes a space
+
+
+class WordEncoder(dict):
+    """Byte-level BPE of whole texts, word by word: a cache of parts and their ids.
 
     The tokenizer's pattern always cuts before a space that follows a character which is not
     white space, around a single line break, and before a dot or comma that follows a letter
     or digit. The parts between such cuts encode alone as they do in their text; those that
-    were seen before come from a cache of bounded size.
+    were seen before come from the cache, whose size is bounded.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.seen: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.line_break = vocabulary["Ċ"]
-        self.opens[[k for token, k in vocabulary.items() if token.startswith("Ġ")]] = True
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def _learn(self, parts: list[str]) -> None:
-        """Encode new parts, many in one go: those with a leading space only follow each
-        other, those without white space stand on lines of their own."""
-        seen, spaced, bare = self.seen, [], []
-        for part in parts:
-            runs = part.split()
-            if len(runs) == 1 and part == runs[0]:
-                bare.append(part)
-            elif len(runs) == 1 and part == " " + runs[0]:
-                spaced.append(part)
+        self.model = self.tokenizer.model
+        self.bytes = byte_characters()
+        self.older: dict[str, bytes] = {"": b""}
+        self[""] = b""
+
+    def _ids(self, part: str) -> bytes:
+        """The ids of a part: of a word by the model alone, of anything else by the whole tokenizer."""
+        space = part[:1] == " "
+        word = part[1:] if space else part
+        if not word.isalpha():
+            return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.bytes)
+        return array("I", [token.id for token in self.model.tokenize(_SPACE_CHARACTER + word if space else word)]).tobytes()
+
+    def __missing__(self, part: str) -> bytes:
+        found = self[part] = self.older.pop(part, None) or self._ids(part)
+        return found
+
+    def encode(self, texts: list[str], odd: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id, one after the other, and their sizes.
+
+        ``odd`` marks texts that are cut before spaces only.
+        """
+        if len(self) > CACHED_WORDS:
+            self.older = dict(self)
+            self.clear()
+        end, of, out = struct.pack("<I", end_id), self.__getitem__, []
+        for text, slow in zip(texts, odd.tolist()):
+            if slow:
+                parts = _SAFE_SPLIT.split(text)
             else:
-                seen[part] = self._ids(part).tobytes()
-        for at in range(0, len(spaced), 1000):
-            some = spaced[at : at + 1000]
-            ids = self._ids("".join(some))
-            starts = np.flatnonzero(self.opens[ids])
-            self._keep(some, ids, starts, np.append(starts[1:], len(ids)))
-        for at in range(0, len(bare), 1000):
-            some = bare[at : at + 1000]
-            ids = self._ids("\n".join(some))
-            breaks = np.flatnonzero(ids == self.line_break)
-            self._keep(some, ids, np.append(0, breaks + 1), np.append(breaks, len(ids)))
-
-    def _keep(self, parts: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        raw = ids.tobytes()
-        for part, b, e in zip(parts, (starts * 4).tolist(), (ends * 4).tolist(), strict=True):
-            self.seen[part] = raw[b:e]
-
-    @staticmethod
-    def _parts(text: str) -> list[str]:
-        if _ODD.search(text):
-            return _SAFE_SPLIT.split(text)
-        return text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0").split("\0")
-
-    def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        """The ids of each text and the end id."""
-        if len(self.seen) > CACHED_WORDS:
-            self.seen, self.older = {}, self.seen
-        cut = [self._parts(text) for text in texts]
-        new, older = {part for parts in cut for part in parts}.difference(self.seen), self.older
-        if older:
-            again = new.intersection(older)
-            self.seen.update((part, older[part]) for part in again)
-            new -= again
-        self._learn(list(new))
-        seen, end = self.seen, np.array([end_id], "<u4").tobytes()
-        return [np.frombuffer(b"".join([seen[part] for part in parts]) + end, "<u4") for parts in cut]
+                parts = text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0").split("\0")
+            out.append(b"".join([*map(of, parts), end]))
+        return np.frombuffer(b"".join(out), "<u4"), np.array([len(x) >> 2 for x in out], np.int64)
+
+
+def odd_texts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Texts in which a space, dot, comma or line break may follow what it belongs together with.
+
+    Plain are: any of them after an ASCII letter or digit or a Latin-1 letter, and a space or
+    line break after any other ASCII mark.
+    """
+    kind = _KIND[data]
+    before = np.append(np.uint8(_NONE), kind[:-1])
+    latin = np.append(np.zeros(min(2, len(data)), bool), data[:-2] == 0xC3)[: len(data)]
+    latin &= np.append(np.uint8(0), data[:-1])[: len(data)] & 0xBF != 0x97  # not the two signs among the letters
+    latin &= np.append(np.uint8(0), data[:-1])[: len(data)] != 0xB7
+    before[bounds[:-1][bounds[:-1] < len(data)]] = _NONE
+    wide = (before == _WIDE) & ~latin
+    space = (kind == _SPACE) & ((before == _SPACE) | wide)
+    dot = (kind == _DOT) & ((before == _SPACE) | (before == _MARK) | (before == _DOT) | wide)
+    # A line break before white space beyond ASCII, by the first bytes that such may have.
+    gap = np.append(False, data[:-1] == 10)[: len(data)] & np.isin(data, (0xC2, 0xE1, 0xE2, 0xE3))
+    strange = np.append(0, np.cumsum(space | dot | gap | (kind == _NUL)))
+    return strange[bounds[1:]] > strange[bounds[:-1]]
+
+
+_NONE, _WORD, _MARK, _DOT, _SPACE, _WIDE, _NUL = range(7)
+_KIND = np.full(256, _MARK, np.uint8)
+_KIND[[k for k in range(128) if chr(k).isalnum()]] = _WORD
+_KIND[[*range(9, 14), *range(28, 33)]] = _SPACE
+_KIND[[44, 46]] = _DOT
+_KIND[128:] = _WIDE
+_KIND[0] = _NUL
 
 
 def _encoded(path: str, end_id: int, width: int):
@@ -163,12 +226,11 @@ def _encoded(path: str, end_id: int, width: int):
         encoder = kept_between_tasks().setdefault(path, None) or WordEncoder(path)
         kept_between_tasks()[path] = encoder
         seq = 0
-        kind = pa.list_(pa.struct([("count", pa.int64()), ("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())]))
         for batch in batches:
-            for part, _, _ in text_slices(batch, "text", 1 << 20):
-                ids = encoder.encode([t or "" for t in part.column(2).to_pylist()], end_id)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(range(seq, seq + len(ids)), pa.int64()), part.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.array([pack(x, width) for x in ids], kind)], ["part", "seq", "doc_id", "n_tokens", "levels"])
-                seq += len(ids)
+            for part, data, bounds in text_slices(batch, "text", 1 << 20):
+                ids, sizes = encoder.encode([t or "" for t in part.column(2).to_pylist()], odd_texts(data, bounds), end_id)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.arange(seq, seq + len(sizes))), part.column(1), pa.array(sizes), pack(ids, sizes, width)], ["part", "seq", "doc_id", "n_tokens", "levels"])
+                seq += len(sizes)
 
     return run
 
@@ -195,13 +257,12 @@ def open_store(spark: SparkSession, path: str) -> DataFrame:
 def _sums(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            levels = batch.column(3)
-            crcs, lengths = [], []
-            for k in range(batch.num_rows):
-                ids = unpack(levels[k].as_py(), width)
-                crcs.append(zlib.crc32(ids.astype("<u4")))
-                lengths.append(len(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())], ["part", "seq", "doc_id", "n_tokens", "ids_crc32"])
+            for at in range(0, batch.num_rows, 512):
+                rows = batch.slice(at, 512)
+                ids, sizes = unpack(rows.column(3), width)
+                raw, ends = ids.astype("<u4", copy=False).tobytes(), np.cumsum(sizes) * 4
+                crcs = [zlib.crc32(memoryview(raw)[e - 4 * n : e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), rows.column(2), pa.array(sizes), pa.array(crcs, pa.int64())], ["part", "seq", "doc_id", "n_tokens", "ids_crc32"])
 
     return run
 
