@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +13,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadspark.storage import scratch_path
+
 #: Text bytes that a task works on at a time (a longer text is one slice of its own).
 SLICE_BYTES = 4 << 20
 #: Rows that a task works on at a time, at most.
@@ -27,24 +26,10 @@ BROADCAST_IDS = 1_000_000
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        path = os.environ.get("ROADSPARK_SHARED") or tempfile.mkdtemp(prefix="roadspark-")
-        os.environ["ROADSPARK_SHARED"] = path
-    return path.rstrip("/")
-
-
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/roadspark/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadspark.storage import scratch_path
+
 from . import ann, chat, decontam, langid, licenses, neardup, oracle, pieces, quality, tokenstore, urlfilter
 from .common import held_out, table
 
@@ -38,7 +40,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenstore.new_store_path(spark)
+    path = scratch_path(spark, "tokens")
     tokenstore.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenstore.document_index(tokenstore.open_store(spark, path))
 

@@ -7,7 +7,8 @@ on the next, so any token is read with one step a level and no block is decoded.
 
 A store is a folder of Parquet files in ascending document order. A row is a document:
 ``part`` (the file's place in the order), ``seq`` (the row's place in the file), ``doc_id``,
-``n_tokens`` and ``levels``, an array of (count, chunks, more, ranks). Tasks write their own files with Spark's committer.
+``n_tokens`` and ``levels``, an array of (count, chunks, more, ranks). Tasks write their own
+files with Spark's committer.
 
 Null text is empty: such a document holds the end id alone. Rows that repeat a doc_id are
 all kept, next to each other; a null doc_id sorts first. An empty table gives no rows.
@@ -18,7 +19,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, kept_between_tasks, shared_dir, text_slices
+from .common import bounded_batches, kept_between_tasks, text_slices
 
 WIDTH = 8
 #: Bits of a bitmap between two entries of its rank directory.
@@ -279,7 +279,3 @@ def document_index(store: DataFrame, width: int = WIDTH) -> DataFrame:
     before = sums.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("before"))
     inside = Window.partitionBy("part").orderBy("seq")
     return rows.withColumn("inside", F.sum("n_tokens").over(inside) - F.col("n_tokens")).join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
-
-
-def new_store_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/roadspark/tokens-{uuid.uuid4().hex}"
