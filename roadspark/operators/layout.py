@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import REQUIRED
+from ..storage import scratch_path
 
 
 def bbox_query(df: DataFrame, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
@@ -36,3 +37,20 @@ def checked(df: DataFrame, table: str) -> DataFrame:
         kind = dict(df.dtypes)[column]
         out = out.withColumn(column, F.coalesce(F.col(column), F.raise_error(message).cast(kind)))
     return out
+
+
+def with_ids(df: DataFrame, *order: str) -> DataFrame:
+    """Rows with a running ``id`` from 1 in the given order, for an export.
+
+    Sorted ranges are written once; a range's first id is the count of rows before it, a
+    prefix sum over one row for each range.
+    """
+    path = scratch_path(df.sparkSession, "ids")
+    ranges = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The low 33 bits of the increasing id are the row's place in its range.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranges.withColumns({"range_": F.spark_partition_id(), "place_": place}).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("range_").agg(F.count("*").alias("n_"))
+    before = sizes.select("range_", (F.sum("n_").over(Window.orderBy("range_")) - F.col("n_")).alias("before_"))
+    return rows.join(F.broadcast(before), "range_").select((F.col("before_") + F.col("place_") + 1).alias("id"), *df.columns)

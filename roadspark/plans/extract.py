@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import time
 from ..operators import features as x
 from ..operators import filters as f
 from ..operators.geometry import assemble_geometry, point_features
@@ -37,8 +38,8 @@ def region_counts(tables: dict[str, DataFrame], regions: DataFrame) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
-def metadata(counts: DataFrame, version: str, created_at: str) -> DataFrame:
+def metadata(counts: DataFrame, version: str | None = None, created_at: str | None = None) -> DataFrame:
     """The long-form metadata of each region, from the counts of its tables."""
     flags = counts.groupBy("region").agg(*[(F.max(F.when(F.col("table") == t, F.col("n"))) > 0).cast("string").alias(name) for t, name in (("road_surfaces", "surfaces"), ("road_ways", "ways"))])
-    pairs = [("version", F.lit(version)), ("region", F.col("region")), ("createdAt", F.lit(created_at)), ("hasSurfaceData", F.coalesce("surfaces", F.lit("false"))), ("hasWayData", F.coalesce("ways", F.lit("false")))]
+    pairs = [("version", time.version(version)), ("region", F.col("region")), ("createdAt", time.instant(created_at)), ("hasSurfaceData", F.coalesce("surfaces", F.lit("false"))), ("hasWayData", F.coalesce("ways", F.lit("false")))]
     return flags.select("region", F.explode(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs])).alias("p")).select("region", "p.key", "p.value")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import time
+
 _SUFFIX = ".json.gz"
 _SIBLINGS = {"surface": "-surfaces.json.gz", "way": "-ways.json.gz", "sqlite": ".sqlite.gz"}
 
@@ -54,17 +56,17 @@ def totals(manifest: DataFrame) -> DataFrame:
     return manifest.agg(F.count("*").alias("n_regions"), F.coalesce(F.sum(size), F.lit(0)).alias("total_bytes"))
 
 
-def manifest_document(manifest: DataFrame, version: str, generated_at: str) -> DataFrame:
+def manifest_document(manifest: DataFrame, version: str | None = None, generated_at: str | None = None) -> DataFrame:
     """One row ``value``: the manifest as JSON. Absent siblings have no key; a row a region."""
     names = {"surface_size": "surfaceSize", "surface_checksum": "surfaceChecksum", "way_size": "waySize", "way_checksum": "wayChecksum", "sqlite_size": "sqliteSize", "sqlite_checksum": "sqliteChecksum"}
     entry = F.struct("name", "size", "checksum", *[F.col(a).alias(b) for a, b in names.items()])
     entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("region", entry))))
-    return manifest.agg(entries.alias("regions")).select(F.to_json(F.struct(F.lit(version).alias("version"), F.lit(generated_at).alias("generatedAt"), "regions")).alias("value"))
+    return manifest.agg(entries.alias("regions")).select(F.to_json(F.struct(time.version(version).alias("version"), time.instant(generated_at).alias("generatedAt"), "regions")).alias("value"))
 
 
-def slim_document(regions: DataFrame, version: str, generated_at: str) -> DataFrame:
+def slim_document(regions: DataFrame, version: str | None = None, generated_at: str | None = None) -> DataFrame:
     """One row ``value``: the slim catalogue as JSON, in the catalogue's order."""
     entry = F.struct("id", "name", "bbox", "estimatedSize")
     position = F.col("position") if "position" in regions.columns else F.col("id")
     listed = F.transform(F.array_sort(F.collect_list(F.struct(position.alias("at"), entry.alias("entry")))), lambda x: x["entry"])
-    return regions.agg(listed.alias("regions")).select(F.to_json(F.struct(F.lit(version).alias("version"), F.lit(generated_at).alias("generatedAt"), "regions")).alias("value"))
+    return regions.agg(listed.alias("regions")).select(F.to_json(F.struct(time.version(version).alias("version"), time.instant(generated_at).alias("generatedAt"), "regions")).alias("value"))

@@ -10,7 +10,7 @@ from roadspark import sinks
 from roadspark.operators import features as x
 from roadspark.operators import filters as f
 from roadspark.operators.geometry import assemble_geometry
-from roadspark.operators.layout import bbox_query, checked, dedup_segments
+from roadspark.operators.layout import bbox_query, checked, dedup_segments, with_ids
 from roadspark.plans import extract, manifest
 from roadspark.sources import bundles, catalogue, geojson
 from roadspark.streaming.geojson import stream_road_ways
@@ -147,3 +147,17 @@ def test_service_filter_counts(elements):
     kept, all_ = x.road_ways(roads).count(), x.road_ways(roads, service_filter=False).count()
     dropped = roads.where(f.is_line() & f.tagged("highway") & ~f.public_service()).count()
     assert kept + dropped == all_
+
+
+def test_ids_follow_the_order(tables):
+    df = tables["roundabouts"].select("region", "lat", "lon")
+    got = with_ids(df, "region", "lat", "lon").orderBy("id").collect()
+    assert [r.id for r in got] == list(range(1, df.count() + 1))
+    assert [tuple(r)[1:] for r in got] == sorted(map(tuple, df.collect()))
+
+
+def test_run_stamps(spark):
+    from roadspark.functions import time
+
+    one = spark.range(1).select(time.version(), time.instant(), time.version("v"), time.version("")).first()
+    assert len(one[0]) == 10 and one[1].endswith("Z") and one[2] == "v" and one[3] == one[0]
