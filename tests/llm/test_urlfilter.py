@@ -2,7 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
 
 from roadspark.llm import urlfilter
 from roadspark.llm.queries import URL_RULES
