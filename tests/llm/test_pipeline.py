@@ -1,35 +1,72 @@
 """The pipeline: each stage on what the one before kept, by plain means; odd tables; guards."""
 
+import hashlib
 import os
 import subprocess
 import sys
+import zlib
 
+import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
+import test_decontam
+import test_neardup
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadspark.llm import decontam, neardup, queries
+from roadspark.llm import langid, quality, queries
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_stages(spark):
+def learnable(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 != 2
+
+
+def plain_quality(docs, sf_dir, spark):
+    """Document by document, fitted on rows gathered here."""
+    text = {r.doc_id: (r.text or "").encode() for r in docs}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    vector = {d: quality.features(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for d, t in text.items()}
+    known = [d for d in labels if d in text and learnable(d)]
+    x, y = np.array([vector[d] for d in known]), np.array([labels[d] for d in known])
+    order = np.lexsort((*x.T, y))
+    model = quality.fit(x[order], y[order])
+    return {d for d in text if quality.scores(model, vector[d][None])[0] >= quality.CUT}
+
+
+def test_stages_against_plain_versions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    seen = {}
-    for name, stage in corpus_pipeline.STAGES:
-        after = stage(spark, docs, SF).cache()
-        seen[name] = (docs, after)
-        if name != "sentencepiece":
-            assert after.columns == docs.columns
-        docs = after
-    before, after = seen["near_duplicates"]
-    kept = {r.doc_id for r in neardup.groups(before).where("kept").collect()}
-    assert {r.doc_id for r in after.collect()} == kept
-    before, after = seen["decontamination"]
-    bad = {r.doc_id for r in decontam.verdicts(before, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").collect()}
-    assert {r.doc_id for r in before.collect()} - {r.doc_id for r in after.collect()} == bad
-    result = corpus_pipeline.run(spark, SF)
-    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, docs.collect()))
+    stages, items = dict(corpus_pipeline.STAGES), [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+
+    def step(name, before):
+        after = stages[name](spark, before, SF).cache()
+        return after, before.collect(), {r.doc_id for r in after.collect()}
+
+    after, rows, kept = step("quality", docs)
+    assert after.columns == docs.columns
+    assert kept == plain_quality(rows, SF, spark)
+
+    model = langid.train(after)
+    after, rows, kept = step("language", after)
+    found = {r.doc_id: [x[0] for x in model.predict([r.text])] for r in rows}
+    assert after.columns == docs.columns
+    assert kept == {d for d, (lang, score) in found.items() if lang != langid.UNKNOWN and score >= langid.LEAST_SCORE}
+
+    after, rows, kept = step("near_duplicates", after)
+    assert after.columns == docs.columns
+    assert kept == {d for d, _, _, first in test_neardup.plain([(r.doc_id, r.text) for r in rows]) if first}
+
+    after, rows, kept = step("decontamination", after)
+    assert after.columns == docs.columns
+    assert kept == {r[0] for r in test_decontam.plain([(r.doc_id, r.text) for r in rows], items) if not r[5]}
+
+    rows = after.collect()
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    expected = sorted((r.doc_id, hashlib.sha256(np.array(sp.encode(r.text, add_bos=True, add_eos=True), "<u4").tobytes()).hexdigest()) for r in rows)
+    assert sorted((r.doc_id, r.ids_sha256) for r in stages["sentencepiece"](spark, after, SF).collect()) == expected
+    assert sorted((r.doc_id, r.ids_sha256) for r in corpus_pipeline.run(spark, SF).collect()) == expected
 
 
 def test_good_documents_stay(spark):
