@@ -161,3 +161,31 @@ def test_run_stamps(spark):
 
     one = spark.range(1).select(time.version(), time.instant(), time.version("v"), time.version("")).first()
     assert len(one[0]) == 10 and one[1].endswith("Z") and one[2] == "v" and one[3] == one[0]
+
+
+def test_tables_from_bundles(spark, tables, tmp_path):
+    from roadspark.plans.bundle_tables import bundle_metadata, tables_from_bundles
+
+    core, ways = str(tmp_path / "core"), str(tmp_path / "r-ways.json")
+    sinks.write_core_bundles(tables["traffic_calming"], tables["roundabouts"], "v1", core)
+    (tmp_path / "r-ways.json").write_text(json.dumps({"version": "v1", "region": "ASIA", "roadWays": [{"coords": [1, 2, 3, -4], "highway": "track"}]}))
+    found = tables_from_bundles(spark, core, ways, str(tmp_path / "none"))
+    plain = lambda d: d.withColumn("tags", F.to_json("tags"))
+    assert rows(plain(found["traffic_calming"])) == rows(plain(tables["traffic_calming"]))
+    one = found["road_ways"].first()
+    assert (one.highway, one.surface, one.min_lat, one.max_lat, one.min_lon, one.max_lon) == ("track", None, -4, 2, 1, 3)
+    assert found["road_surfaces"].count() == 0
+    meta = {(r.region, r.key): r.value for r in bundle_metadata(spark, core, found, "now").collect()}
+    assert (meta["ASIA", "hasWayData"], meta["EUROPE", "hasWayData"], meta["ASIA", "hasSurfaceData"], meta["ASIA", "version"]) == ("true", "false", "false", "v1")
+    with pytest.raises(FileNotFoundError):
+        tables_from_bundles(spark, str(tmp_path / "none"), ways, ways)
+
+
+def test_lines_documents_and_metrics(spark, tables, tmp_path):
+    sinks.write_lines(tables["road_ways"], str(tmp_path / "out" / "ways"))
+    back = spark.read.schema("region string, highway string, surface string, coords array<double>").json(str(tmp_path / "out" / "ways"))
+    assert rows(back) == rows(tables["road_ways"].select(back.columns))
+    regions = spark.createDataFrame([(0, "a", "A", [1.0, 2.0], 3)], "position int, id string, name string, bbox array<double>, estimatedSize long")
+    sinks.write_document(manifest.slim_document(regions, "v", "t"), str(tmp_path / "out" / "regions"))
+    assert json.loads(spark.read.text(str(tmp_path / "out" / "regions")).first().value)["version"] == "v"
+    assert sinks.write_metrics(spark, str(tmp_path / "out")).agg(F.sum("bytes")).first()[0] > 0
