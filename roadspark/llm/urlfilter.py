@@ -137,7 +137,7 @@ def judge(pages: DataFrame, rules: DataFrame, url_column: str = "url", default:
     listed = rules.select(F.concat("host", "path").alias("key"), F.size(F.split("host", r"\.")).alias("labels"), F.length("path").alias("size"), "verdict").where("key is not null")
     shapes = listed.select("labels", "size").distinct().collect()
     labels, lengths = sorted({r[0] for r in shapes}), sorted({r[1] for r in shapes})
-    host, path, rule, verdict, keys = (free_name(pages, x) for x in ("host", "path", "rule", "verdict", "keys"))
+    host, path, rule, verdict, keys, one, two, hit, bad = (free_name(pages, x) for x in ("host", "path", "rule", "verdict", "keys", "hash1", "hash2", "hit", "bad"))
     h, p = host_and_path(F.col(url_column))
     rows = pages.withColumns({host: h, path: p})
     rows = rows.withColumn(keys, candidate_keys(F.col(host), F.col(path), labels, lengths))
@@ -158,16 +158,16 @@ def judge(pages: DataFrame, rules: DataFrame, url_column: str = "url", default:
 
         known, block = ([level(x) for x in levels] for levels in shared.value)
         for batch in batches:
-            lists = batch.column("h1_")
-            flat = np.column_stack([batch.column(c).flatten().to_numpy(zero_copy_only=False).view(np.uint64) for c in ("h1_", "h2_")])
-            hit, bad = (pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))), pa.int32()), pa.array(member(levels, flat))) for levels in (known, block))
-            keep = [k for k, c in enumerate(batch.schema.names) if c not in ("h1_", "h2_")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), hit, bad], [*(batch.schema.names[k] for k in keep), "hit_", "bad_"])
-
-    probes = rows.withColumns({"h1_": F.transform(keys, lambda k: F.xxhash64(k)), "h2_": F.transform(keys, lambda k: F.xxhash64(k, F.lit(1)))})
-    schema = rows.sparkSession.createDataFrame([], rows.schema).selectExpr("*", "cast(null as array<boolean>) hit_", "cast(null as array<boolean>) bad_").schema
+            lists = batch.column(one)
+            flat = np.column_stack([batch.column(c).flatten().to_numpy(zero_copy_only=False).view(np.uint64) for c in (one, two)])
+            hits, blocked = (pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))), pa.int32()), pa.array(member(levels, flat))) for levels in (known, block))
+            keep = [k for k, c in enumerate(batch.schema.names) if c not in (one, two)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), hits, blocked], [*(batch.schema.names[k] for k in keep), hit, bad])
+
+    probes = rows.withColumns({one: F.transform(keys, lambda k: F.xxhash64(k)), two: F.transform(keys, lambda k: F.xxhash64(k, F.lit(1)))})
+    schema = rows.sparkSession.createDataFrame([], rows.schema).selectExpr("*", f"cast(null as array<boolean>) as `{hit}`", f"cast(null as array<boolean>) as `{bad}`").schema
     tested = probes.mapInArrow(test, schema)
-    fits = F.filter(F.arrays_zip(F.col(keys).alias("key"), F.col("hit_").alias("hit"), F.col("bad_").alias("bad")), lambda x: x["hit"])
+    fits = F.filter(F.arrays_zip(F.col(keys).alias("key"), F.col(hit).alias("hit"), F.col(bad).alias("bad")), lambda x: x["hit"])
     longest = F.array_max(F.transform(fits, lambda x: F.struct(F.length(x["key"]).alias("size"), x["key"].alias("key"), x["bad"].alias("bad"))))
-    out = tested.withColumn("hit_", longest).withColumns({rule: F.col("hit_.key"), verdict: F.when(F.col("hit_").isNull(), F.lit(default)).when(F.col("hit_.bad"), F.lit("block")).otherwise(F.lit("allow"))})
-    return out.drop("hit_", "bad_", keys), [host, path, rule, verdict]
+    out = tested.withColumn(hit, longest).withColumns({rule: F.col(f"{hit}.key"), verdict: F.when(F.col(hit).isNull(), F.lit(default)).when(F.col(f"{hit}.bad"), F.lit("block")).otherwise(F.lit("allow"))})
+    return out.drop(hit, bad, keys), [host, path, rule, verdict]
