@@ -7,6 +7,12 @@ must hold one of a template's first (size - needed + 1) words, so only blocks wi
 word meet the template; their first common word's places on both sides and the block's size
 bound the overlap; what is left is counted.
 
+Lines alone lose notices that are wrapped over several lines, and take words scattered over
+a long line for a notice. With ``wrapped`` the blocks are therefore runs of consecutive words
+of the whole text, whatever its line breaks: every run of SPAN times as many words as the
+template has. Each match holds a prefix word, so only the surroundings of prefix words are
+looked at, and those are looked at whole.
+
 Besides, base phrases are found wherever their words stand consecutively in the text.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and non-ASCII characters. Null
@@ -24,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import LETTERS
 
 CONTAINED = 0.9
+#: Words of a run, for each word of the template: inserted words and comment marks have room.
+SPAN = 2
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
 TEMPLATES = [
@@ -100,6 +108,30 @@ def matches(docs: DataFrame, id_columns: list[str], text_column: str = "text", t
     return met.where(first == F.col("word")).withColumn("common", common).where("common >= needed").select(*id_columns, "block", "template", "label", (F.col("common") / F.size("ordered")).alias("containment"))
 
 
+def wrapped_matches(docs: DataFrame, id_columns: list[str], text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
+    """Every prefix word with a run around it that meets a template: id columns, at (its place
+    among the text's words), template, label, the best containment of such a run."""
+    spark = docs.sparkSession
+    counts = corpus_counts(docs, text_column, sorted({w for _, text in templates for w in text.split()}))
+    spans = [SPAN * len(text.split()) for _, text in templates]
+    index = [(*row, spans[row[1]]) for row in template_index(counts, templates, contained)]
+    schema = "word string, template int, label string, ordered array<string>, needed int, place int, span int"
+    by_word = F.broadcast(spark.createDataFrame(index, schema))  # a row for each prefix word of the template list
+    rare, most = sorted({r[0] for r in index}), max(spans, default=1)
+
+    words = docs.where(holds(F.col(text_column), rare)).select(*id_columns, word_list(F.col(text_column)).alias("words"))
+    places = F.filter(F.transform("words", lambda w, k: F.when(w.isin(rare), k)), lambda k: k.isNotNull())
+    # The words that share a run with the one at k, and where that one stands among them.
+    first = lambda k: F.greatest(k - most + 1, F.lit(0))
+    near = F.transform(places, lambda k: F.struct(k.alias("at"), F.get("words", k).alias("word"), (k - first(k)).alias("own"), F.slice("words", first(k) + 1, k - first(k) + most).alias("around")))
+    met = words.select(*id_columns, F.explode(near).alias("x")).select(*id_columns, "x.*").join(by_word, "word")
+    begin = F.greatest(F.col("own") - F.col("span") + 1, F.lit(0))
+    met = met.withColumn("around", F.slice("around", begin + 1, F.col("own") - begin + F.col("span")))
+    met = met.where(F.size(F.array_intersect("ordered", "around")) >= F.col("needed"))
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("around") - F.col("span") + 1, F.lit(1))), lambda k: F.size(F.array_intersect("ordered", F.slice("around", k, F.col("span")))))
+    return met.withColumn("common", F.array_max(runs)).where("common >= needed").select(*id_columns, "at", "template", "label", (F.col("common") / F.size("ordered")).alias("containment"))
+
+
 def phrase_places(words: Column, phrase: str) -> Column:
     """Where a phrase's words stand consecutively: places of its first word."""
     wanted = phrase.split()
@@ -114,14 +146,15 @@ def phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(starts, here)
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, contained: float = CONTAINED) -> DataFrame:
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, contained: float = CONTAINED, wrapped: bool = False) -> DataFrame:
     """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    The score is the best containment of a template in a block, 0 without a match.
+    The score is the best containment of a template in a block, 0 without a match. Blocks
+    are lines, or with ``wrapped`` runs of words.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     keys = [F.xxhash64("id", "text").alias("key1"), F.xxhash64("text", F.lit(6)).alias("key2")]
-    found = matches(rows.select(*keys, "text"), ["key1", "key2"], "text", templates, contained)
+    found = (wrapped_matches if wrapped else matches)(rows.select(*keys, "text"), ["key1", "key2"], "text", templates, contained)
     labels = found.groupBy("key1", "key2").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
 
     packed = spaced(F.col("text"))

@@ -49,6 +49,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
@@ -74,6 +78,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_token_store": op5_token_store,
     "op6_licenses": op6_licenses,
+    "op6_licenses_wrapped": op6_licenses_wrapped,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,

@@ -50,3 +50,33 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = licenses.scan(spark.createDataFrame([(1, "mit license")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|MapInArrow", plan)
+
+
+def plain_wrapped(text):
+    """Labels and score when every run of words is a block."""
+    w = WORD.findall((text or "").translate({k: k + 32 for k in range(65, 91)}))
+    labels, score = set(plain(" ".join(w))[4].split(",")) - {""}, 0.0
+    for label, template in licenses.TEMPLATES:
+        t, span = set(template.split()), licenses.SPAN * len(template.split())
+        for k in range(max(1, len(w) - span + 1)):
+            common = len(t & set(w[k : k + span]))
+            if common >= math.ceil(licenses.CONTAINED * len(t) - 1e-9):
+                labels.add(label)
+                score = max(score, common / len(t))
+    return ",".join(sorted(labels)), score
+
+
+def test_wrapped_notices(spark):
+    rnd = random.Random(6)
+    notices = ["Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files", "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are\n# met:", "GNU General\nPublic License, version 3", "All rights\nreserved."]
+    scattered = "all " + "pad " * 30 + "rights " + "pad " * 30 + "reserved"
+    texts = [None, "", *notices, scattered, "word " * 5000 + notices[0] + " word" * 5000]
+    for _, template in licenses.TEMPLATES:
+        words = template.split()
+        for drop in (0, 1, 2, 3):
+            some = [x for w in rnd.sample(words, max(0, len(words) - drop)) for x in [w] + ["pad"] * rnd.choice([0, 0, 1, 2, 3])]
+            texts += ["\n".join(some), "pad " * rnd.randint(0, 80) + "\r\n * ".join(some).upper() + "\nend" * rnd.randint(0, 80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, wrapped=True).collect()}
+    assert got == {k: plain_wrapped(t) for k, t in enumerate(texts)}
+    assert [got[k][0] for k in range(2, 8)] == ["mit", "bsd", "gpl", "reserved", "", "mit"]
