@@ -11,10 +11,11 @@ every tree with a probability that does not vanish, and misses all trees with le
 In every node the members are compared with the node's pivot. Nodes whose members are then
 in one component need no more work; of the others, large ones branch, down to DEPTH, and
 small ones are compared exhaustively by their tokens and propose a spanning forest of their
-likely pairs, likeliest first. A node that is large even at DEPTH is compared in pairs of blocks of bounded
+likely pairs (LIKELY equal tokens), likeliest first. A node that is large even at DEPTH is compared in pairs of blocks of bounded
 size. Every proposed pair is confirmed on the two full sets. At last the proposals, links or
 not, join documents into clusters; where a cluster still has several components, all its
-pairs of different components are compared on full sets, in tiles of bounded size.
+pairs of different components are compared on full sets, whatever their tokens, in tiles of
+bounded size.
 Components grow by alternating star operations on the links, as joins and aggregates.
 
 Texts that are null or have no words have empty sets and no links. A text of one to four
@@ -43,6 +44,9 @@ TREES = 24
 LEAF = 2048
 #: Members to a side of a tile, with their full sets.
 TILE = 512
+#: Values of sets that a tile counts at a time, and columns of the product that counts them.
+PART = 1 << 20
+WIDTH = 4096
 #: Equal coordinates that a candidate pair needs: at the threshold 48 are expected, and fewer
 #: than 33 have a probability of about 1e-5.
 LIKELY = 33
@@ -201,18 +205,58 @@ def _same(x: np.ndarray, y: np.ndarray) -> bool:
     return common > 0 and 100 * common >= THRESHOLD * (len(x) + len(y) - common)
 
 
+def _parts(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Ranges of sets with at most PART values, or one set."""
+    ends, at = np.cumsum([len(x) for x in sets]), 0
+    while at < len(sets):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART, "right")))
+        yield at, to
+        at = to
+
+
+def _spread(sets: list[np.ndarray], known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the values in ``known`` their place there and their set, by place."""
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    place = np.searchsorted(known, values)
+    kept = np.flatnonzero(known[np.minimum(place, len(known) - 1)] == values)
+    kept = kept[np.argsort(place[kept], kind="stable")]
+    return place[kept], owner[kept]
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of one side shares with each of the other, exactly."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    for i, m in _parts(left):
+        values = np.unique(np.concatenate(left[i:m]))
+        for j, n in _parts(right):
+            known = np.intersect1d(values, np.unique(np.concatenate(right[j:n])), assume_unique=True)
+            if not len(known):
+                continue
+            x, y = _spread(left[i:m], known), _spread(right[j:n], known)
+            for at in range(0, len(known), WIDTH):
+                sides = []
+                for (place, owner), size in ((x, m - i), (y, n - j)):
+                    b, e = np.searchsorted(place, (at, at + WIDTH))
+                    side = np.zeros((size, min(WIDTH, len(known) - at)), np.float32)
+                    side[owner[b:e], place[b:e] - at] = 1
+                    sides.append(side)
+                out[i:m, j:n] += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
 def _tile(rows: pa.Table) -> pa.Table:
-    """Links between the components of a tile: likeliest pairs first, one link for two components."""
+    """Links between the components of a tile: likeliest pairs first, one link for two components.
+
+    All pairs are counted on their full sets.
+    """
     left = rows.column("left").to_numpy()
     ids, comps = rows.column("rep").to_numpy(), rows.column("component").to_numpy()
-    sigs = rows.column("sig").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, COORDINATES)
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("members")]
     p, q = np.flatnonzero(left), np.flatnonzero(~left)
-    same = np.zeros((len(p), len(q)), np.int16)
-    for k in range(COORDINATES):
-        same += sigs[p, k, None] == sigs[None, q, k]
-    i, j = np.nonzero((same >= LIKELY) & (comps[p, None] != comps[None, q]))
-    order = np.argsort(-same[i, j], kind="stable")
+    common, sizes = _common([sets[k] for k in p], [sets[k] for k in q]), np.array([len(x) for x in sets], np.int64)
+    union = sizes[p, None] + sizes[None, q] - common
+    i, j = np.nonzero((common > 0) & (100 * common >= THRESHOLD * union) & (comps[p, None] != comps[None, q]))
+    order = np.argsort(-common[i, j] / union[i, j], kind="stable")
     root = {c: c for c in comps.tolist()}
 
     def find(c):
@@ -224,13 +268,13 @@ def _tile(rows: pa.Table) -> pa.Table:
     out = []
     for x, y in zip(p[i[order]].tolist(), q[j[order]].tolist()):
         c, d = find(int(comps[x])), find(int(comps[y]))
-        if c != d and _same(sets[x], sets[y]):
+        if c != d:
             root[max(c, d)] = min(c, d)
             out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def _within_clusters(decided: DataFrame, found: DataFrame, reps: DataFrame, rows: DataFrame) -> DataFrame | None:
+def _within_clusters(decided: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame | None:
     """Links between different components of one cluster, saved; None if no cluster has several."""
     edges = found.select(F.col("rep").alias("a"), F.col("component").alias("b"))
     clusters = components(decided.unionByName(edges)).withColumnRenamed("component", "cluster")
@@ -248,7 +292,7 @@ def _within_clusters(decided: DataFrame, found: DataFrame, reps: DataFrame, rows
     right = mixed.withColumns({"j": place("rights", 6), "left": F.lit(False)}).withColumn("i", every("lefts"))
     both = left.unionByName(right).select("cluster", "i", "j", "left", "rep", "component")
     sets = near_rows(rows, mixed.select(F.col("rep").alias("wanted")), "id", "wanted").select("id", "text").mapInArrow(_sets, "id bigint, members binary")
-    placed = both.join(saved(sets.withColumnRenamed("id", "rep"), "sets"), "rep").join(reps, "rep")
+    placed = both.join(saved(sets.withColumnRenamed("id", "rep"), "sets"), "rep")
     return saved(placed.groupBy("cluster", "i", "j").applyInArrow(_tile, "a bigint, b bigint").distinct(), "links")
 
 
@@ -321,7 +365,7 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         found = components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
         if not n_large:
             break
-    links = _within_clusters(decided, found, reps, rows)
+    links = _within_clusters(decided, found, rows)
     if links is not None:
         found = components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
 

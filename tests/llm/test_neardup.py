@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from roadspark.llm import neardup
@@ -73,6 +75,32 @@ def test_small_nodes_branch_and_tile(spark, monkeypatch):
     assert run(spark, rows) == plain(rows)
 
 
+def test_tiles_compare_full_sets(monkeypatch):
+    """Links count in a tile even where no token of the sketches is equal."""
+    rng = np.random.default_rng(3)
+    for part, width in ((1 << 20, 4096), (300, 7)):
+        monkeypatch.setattr(neardup, "PART", part, raising=False)
+        monkeypatch.setattr(neardup, "WIDTH", width, raising=False)
+        base = np.arange(100, dtype=np.uint64) * np.uint64(2**57 + 1)
+        sets = [np.sort(np.append(rng.choice(base, n, replace=False), rng.integers(1, 2**63, m).astype(np.uint64))) for n, m in zip(rng.integers(70, 101, 40), rng.integers(0, 30, 40))]
+        sets += [base[:0], base[:1], base]
+        n = len(sets)
+        sigs = np.arange(n * neardup.COORDINATES, dtype=np.int32).reshape(n, -1)
+        left = [k % 2 == 0 for k in range(n)]
+        table = pa.table({"left": left, "rep": list(range(n)), "component": list(range(n)), "members": pa.array([x.tobytes() for x in sets], pa.binary()), "sig": sigs.tolist()})
+        root = list(range(n))
+        for x in range(n):
+            for y in range(n):
+                if left[x] and not left[y] and neardup._same(sets[x], sets[y]):
+                    root = [root[x] if r == root[y] else r for r in root]
+        mine = list(range(n))
+        for a, b in zip(*(c.to_pylist() for c in neardup._tile(table).columns)):
+            assert neardup._same(sets[a], sets[b]) and mine[a] != mine[b]
+            mine = [mine[a] if r == mine[b] else r for r in mine]
+        assert len(set(root)) < n
+        assert [root.index(r) for r in root] == [mine.index(r) for r in mine]
+
+
 def test_deduplicate(spark):
     long = " ".join(f"v{k}" for k in range(30_000))
     rows = [(4, "a b c d e f", 1), (2, "a b c d e f", 2), (2, "a b c d e f", 2), (None, "a b c d e f", 3), (5, None, 4), (6, "", 5), (7, long, 6), (8, long + " end", 7)]
