@@ -14,7 +14,8 @@ it visits the leaf. Each cell keeps the best k of a query, and a window joins th
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do
 null ids and vectors of another dimension than the commonest (of equals, the larger).
-Repeated rows are candidates each. Equal scores rank by the smaller id. Fewer candidates than k
+Repeated rows are candidates each. A query id searches once for each of its different vectors,
+with ranks from 1 for each; rows of that id are no candidates of it. Equal scores rank by the smaller id. Fewer candidates than k
 are all returned. Empty tables give empty tables.
 """
 
@@ -226,35 +227,42 @@ def search(table: DataFrame, queries: Column, k: int = 20, id_column: str = "vec
                         shelves.append(part[0] // SHELF)
                         leaves.append(part)
                 at = pa.array(rows, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(shelves, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))], ["id", "v", "shelf", "leaves"])
+                yield pa.RecordBatch.from_arrays([*(c.take(at) for c in batch.columns), pa.array(shelves, pa.int32()), pa.array(leaves, pa.list_(pa.int32()))], ["id", "v", "nth", "shelf", "leaves"])
 
     # Cells: a shelf's vectors in blocks, the queries that visit it in chunks.
     shelf = F.floor(F.col("leaf") / SHELF).cast("int")
     sizes = {r[0]: r[1] for r in placed.groupBy(shelf.alias("shelf")).count().collect()}  # at most a row for each leaf of the tree
     blocks = F.element_at(F.create_map(*[F.lit(x) for k in range(-(-tree.n_leaves // SHELF)) for x in (k, -(-sizes.get(k, 1) // CELL_VECTORS))]), F.col("shelf"))
-    chunks = max(1, -(-placed.where(queries).count() // CELL_QUERIES))
+    # A query is a different vector of an id; ``nth`` tells those of one id apart.
+    nth = F.row_number().over(Window.partitionBy("id").orderBy("v"))
+    wanted = saved(placed.where(queries).select("id", "v").distinct().select("id", "v", nth.alias("nth")), "queries")
+    chunks = max(1, -(-wanted.count() // CELL_QUERIES))
     vectors = placed.withColumn("shelf", shelf).select("shelf", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "id", "v", "leaf")
-    visited = placed.where(queries).select("id", "v").mapInArrow(walk, "id bigint, v array<double>, shelf int, leaves array<int>")
-    asked = visited.select("shelf", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", "v", "leaves")
+    visited = wanted.mapInArrow(walk, "id bigint, v array<double>, nth int, shelf int, leaves array<int>")
+    asked = visited.select("shelf", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", "v", "nth", "leaves")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0))]
         if left.num_rows and right.num_rows:
             x, y = (_matrix(t.column("v").combine_chunks()) for t in (left, right))
             ids, own, leaf = left.column("id").to_numpy(), right.column("id").to_numpy(), right.column("leaf").to_numpy()
+            numbers = left.column("nth").to_numpy()
             lists = left.column("leaves").combine_chunks()
             visitor, visit = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
             for one in np.unique(leaf):
                 asks, has = visitor[visit == one], np.flatnonzero(leaf == one)
-                found.append(best(x[asks], ids[asks], y[has], own[has], k))
-        q, v, s = (np.concatenate(parts) for parts in zip(*found))
-        order = np.lexsort((v, -s, q))
-        q, v, s = q[order], v[order], s[order]
-        first = np.flatnonzero(np.append(True, q[1:] != q[:-1]))[: len(q)]
+                for number in np.unique(numbers[asks]):
+                    some = asks[numbers[asks] == number]
+                    q, v, s = best(x[some], ids[some], y[has], own[has], k)
+                    found.append((q, np.full(len(q), number, np.int32), v, s))
+        q, m, v, s = (np.concatenate(parts) for parts in zip(*found))
+        order = np.lexsort((v, -s, m, q))
+        q, m, v, s = q[order], m[order], v[order], s[order]
+        first = np.flatnonzero(np.append(True, (q[1:] != q[:-1]) | (m[1:] != m[:-1])))[: len(q)]
         keep = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q)))) < k
-        return pa.table({"q": q[keep], "v": v[keep], "s": s[keep]})
+        return pa.table({"q": q[keep], "nth": m[keep], "v": v[keep], "s": s[keep]})
 
     cell = ["shelf", "block", "chunk"]
-    met = asked.groupBy(*cell).cogroup(vectors.groupBy(*cell)).applyInArrow(meet, "q bigint, v bigint, s double")
-    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "v"))
+    met = asked.groupBy(*cell).cogroup(vectors.groupBy(*cell)).applyInArrow(meet, "q bigint, nth int, v bigint, s double")
+    rank = F.row_number().over(Window.partitionBy("q", "nth").orderBy(F.desc("s"), "v"))
     return met.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("q").alias("query_id"), "rank", F.col("v").alias(id_column), F.col("s").alias("score"))

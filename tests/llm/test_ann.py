@@ -53,3 +53,10 @@ def test_odd_vectors(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     assert found(ann.search(df, F.col("id") % 20 == 0)) == {0: [(1, 0.5), (20, 0.5)], 20: [(0, 0.5), (1, 0.5)]}
     assert ann.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
+
+
+def test_repeated_query_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.2, 0.8]), (3, [0.5, 0.4]), (3, [0.5, 0.4])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in ann.search(df, F.col("id") % 20 == 0, k=3).collect())
+    assert got == sorted([(1, 1, 0.9), (2, 3, 0.5), (3, 3, 0.5), (1, 2, 0.8), (2, 3, 0.4), (3, 3, 0.4)])
