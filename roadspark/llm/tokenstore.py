@@ -17,8 +17,6 @@ all kept, next to each other; a null doc_id sorts first. An empty table gives no
 from __future__ import annotations
 
 import os
-import re
-import struct
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -33,12 +31,13 @@ from .common import bounded_batches, kept_between_tasks, text_slices
 WIDTH = 8
 #: Bits of a bitmap between two entries of its rank directory.
 RANK_BITS = 512
-#: Words kept with their ids by a Python process, so that common words are encoded once; as
-#: many again of the generation before are kept until then.
-CACHED_WORDS = 200_000
+#: Parts of texts, and ids of such, kept by a Python process, so that common words are encoded once.
+CACHED_PARTS, CACHED_IDS = 500_000, 4_000_000
+#: Text bytes that are encoded at a time (a longer text is encoded alone).
+ENCODED_BYTES = 2 << 20
+#: Characters of a text by which rows that repeat an id are ordered.
+HEAD = 64
 LEVEL = "struct<count:bigint,chunks:binary,more:binary,ranks:binary>"
-_SAFE_SPLIT = re.compile(r"(?<=\S)(?= )")
-
 
 _ITEM = pa.struct([("count", pa.int64()), ("chunks", pa.binary()), ("more", pa.binary()), ("ranks", pa.binary())])
 
@@ -139,86 +138,144 @@ def byte_characters() -> dict[int, str]:
 _SPACE_CHARACTER = "Ġ"  # how byte-level BPE writes a space
 
 
-class WordEncoder(dict):
-    """Byte-level BPE of whole texts, word by word: a cache of parts and their ids.
+class _Parts(dict):
+    """Places of parts; a new part is learned when it is first asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, part: str) -> int:
+        found = self[part] = self.learn(part)
+        return found
+
+
+class WordEncoder:
+    """Byte-level BPE of whole texts, part by part.
 
-    The tokenizer's pattern always cuts before a space that follows a character which is not
-    white space, around a single line break, and before a dot or comma that follows a letter
-    or digit. The parts between such cuts encode alone as they do in their text; those that
-    were seen before come from the cache, whose size is bounded.
+    The tokenizer's pattern always cuts at the places that :func:`part_starts` finds, and the
+    parts between them encode alone as they do in their text. The parts of a slice become one
+    dictionary-encoded column: each different part is looked up once, and a gather over the
+    whole slice puts the ids in place. Ids of parts stay in a cache of bounded size.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.bytes = byte_characters()
-        self.older: dict[str, bytes] = {"": b""}
-        self[""] = b""
-
-    def _ids(self, part: str) -> bytes:
-        """The ids of a part: of a word by the model alone, of anything else by the whole tokenizer."""
-        space = part[:1] == " "
-        word = part[1:] if space else part
-        if not word.isalpha():
-            return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(self.bytes)
-        return array("I", [token.id for token in self.model.tokenize(_SPACE_CHARACTER + word if space else word)]).tobytes()
-
-    def __missing__(self, part: str) -> bytes:
-        found = self[part] = self.older.pop(part, None) or self._ids(part)
-        return found
+        #: Strings with ids of their own; no part may begin inside one.
+        self.whole = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._empty()
+
+    def _empty(self) -> None:
+        #: Part -> its place among the cached ones; their ids lie one after the other.
+        self.known = _Parts(self._learn)
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def _learn(self, part: str) -> int:
+        """The place of a new part: of a word by the model alone, of anything else by the whole tokenizer."""
+        word = part[1:] if part[:1] == " " else part
+        if word.isalpha():
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.bytes)
+            for token in self.model.tokenize(_SPACE_CHARACTER + word if part[:1] == " " else word):
+                self.ids.append(token.id)
+        else:
+            self.ids.extend(self.tokenizer.encode(part, add_special_tokens=False).ids)
+        self.ends.append(len(self.ids))
+        return len(self.ends) - 2
+
+    def encode(self, data: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the end id, one after the other, and their sizes."""
+        if len(self.known) > CACHED_PARTS or len(self.ids) > CACHED_IDS:
+            self._empty()
+        starts = part_starts(data, bounds, self.whole)
+        # An empty part at the end of each text stands for the end id.
+        last = np.searchsorted(starts, bounds[1:])
+        offsets = np.append(np.insert(starts, last, bounds[1:]), len(data)).astype(np.int32)
+        last += np.arange(len(last))
+        parts = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
+        different = parts.dictionary.to_numpy(zero_copy_only=False)
+        place = np.fromiter(map(self.known.__getitem__, different), np.int64, len(different))
+        own = parts.indices.to_numpy()
+        ends = np.frombuffer(self.ends, np.int64)
+        begin, size = ends[place], ends[place + 1] - ends[place]
+        begin, size = begin[own], size[own]
+        size[last] = 1  # the end id
+        to = np.cumsum(size)
+        at = np.repeat(begin - to + size, size)
+        at += np.arange(len(at))
+        ends_at = to[last] - 1
+        at[ends_at] = 0
+        out = np.append(np.frombuffer(self.ids, np.uint32), np.uint32(end_id))[at]
+        out[ends_at] = end_id
+        return out, np.diff(np.append(0, to[last]))
+
+
+_INNER, _LETTER, _MARK, _QUOTE, _SPACE, _BREAK = range(6)
+_KIND = np.full(256, _INNER, np.uint8)
+_KIND[:128] = _MARK
+_KIND[[k for k in range(128) if chr(k).isalpha()]] = _LETTER
+_KIND[[*range(9, 14), *range(28, 33)]] = _SPACE
+_KIND[39] = _QUOTE
+_SOLID = np.isin(_KIND, (_LETTER, _MARK, _QUOTE))
+_SOLID[48:58] = True
+_KIND[48:58] = _BREAK  # digits: like letters, but a letter and a digit part company
+#: White space beyond ASCII, as bytes; a space or line break after it is no sure cut.
+_WIDE_SPACES = [c.encode() for c in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"]
 
-    def encode(self, texts: list[str], odd: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each with the end id, one after the other, and their sizes.
-
-        ``odd`` marks texts that are cut before spaces only.
-        """
-        if len(self) > CACHED_WORDS:
-            self.older = dict(self)
-            self.clear()
-        end, of, out = struct.pack("<I", end_id), self.__getitem__, []
-        for text, slow in zip(texts, odd.tolist()):
-            if slow:
-                parts = _SAFE_SPLIT.split(text)
-            else:
-                parts = text.replace(" ", "\0 ").replace(".", "\0.").replace(",", "\0,").replace("\n", "\0\n\0").split("\0")
-            out.append(b"".join([*map(of, parts), end]))
-        return np.frombuffer(b"".join(out), "<u4"), np.array([len(x) >> 2 for x in out], np.int64)
-
-
-def odd_texts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Texts in which a space, dot, comma or line break may follow what it belongs together with.
-
-    Plain are: any of them after an ASCII letter or digit or a Latin-1 letter, and a space or
-    line break after any other ASCII mark.
+
+def part_starts(data: np.ndarray, bounds: np.ndarray, whole: list[bytes] = ()) -> np.ndarray:
+    """Where parts of texts begin that encode alone as they do in their text.
+
+    Sure cuts are: a text's begin; a space or line break after what is not white space; a
+    mark after a letter or digit of ASCII; a letter or digit after a mark that is not an
+    apostrophe; what follows a line break that is itself cut off, if that is not white space
+    or is one space before what is not. There are none inside the strings ``whole``.
     """
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
     kind = _KIND[data]
-    before = np.append(np.uint8(_NONE), kind[:-1])
-    latin = np.append(np.zeros(min(2, len(data)), bool), data[:-2] == 0xC3)[: len(data)]
-    latin &= np.append(np.uint8(0), data[:-1])[: len(data)] & 0xBF != 0x97  # not the two signs among the letters
-    latin &= np.append(np.uint8(0), data[:-1])[: len(data)] != 0xB7
-    before[bounds[:-1][bounds[:-1] < len(data)]] = _NONE
-    wide = (before == _WIDE) & ~latin
-    space = (kind == _SPACE) & ((before == _SPACE) | wide)
-    dot = (kind == _DOT) & ((before == _SPACE) | (before == _MARK) | (before == _DOT) | wide)
-    # A line break before white space beyond ASCII, by the first bytes that such may have.
-    gap = np.append(False, data[:-1] == 10)[: len(data)] & np.isin(data, (0xC2, 0xE1, 0xE2, 0xE3))
-    strange = np.append(0, np.cumsum(space | dot | gap | (kind == _NUL)))
-    return strange[bounds[1:]] > strange[bounds[:-1]]
-
-
-_NONE, _WORD, _MARK, _DOT, _SPACE, _WIDE, _NUL = range(7)
-_KIND = np.full(256, _MARK, np.uint8)
-_KIND[[k for k in range(128) if chr(k).isalnum()]] = _WORD
-_KIND[[*range(9, 14), *range(28, 33)]] = _SPACE
-_KIND[[44, 46]] = _DOT
-_KIND[128:] = _WIDE
-_KIND[0] = _NUL
+    solid = _SOLID[data]  # ASCII that is not white space
+    full = solid | (data >= 128)
+    lead = data >= 0xC2
+    if (lead & (data <= 0xE3) & (data != 0xC3)).any():
+        for wide in _WIDE_SPACES:
+            found = data == wide[-1]
+            for k, byte in enumerate(wide[-2::-1], 1):
+                found[k:] &= data[:-k] == byte
+                found[:k] = False
+            for k in range(len(wide)):
+                full[np.flatnonzero(found) - k] = False
+    cut = np.zeros(n, bool)
+    gap = (data == 32) | (data == 10)
+    cut[1:] = gap[1:] & full[:-1]
+    word = (kind == _LETTER) | (kind == _BREAK)
+    mark = (kind == _MARK) | (kind == _QUOTE)
+    cut[1:] |= mark[1:] & word[:-1]
+    cut[1:] |= word[1:] & (kind[:-1] == _MARK)
+    edge = bounds[:-1][bounds[:-1] < n]
+    cut[edge] = False
+    broken = cut & (data == 10)
+    if broken.any():
+        at = np.flatnonzero(broken[:-1])
+        after = full[at + 1] | ((data[at + 1] == 32) & np.append(full, False)[np.minimum(at + 2, n)])
+        first = np.zeros(n + 1, bool)
+        first[bounds] = True
+        inside = ~first[at + 1] & ((data[at + 1] != 32) | ~first[np.minimum(at + 2, n)])
+        cut[at[after & inside] + 1] = True
+    raw = data.tobytes() if len(whole) else b""
+    for string in whole:
+        at = raw.find(string)
+        while at >= 0:
+            cut[at + 1 : at + len(string)] = False
+            at = raw.find(string, at + 1)
+    cut[edge] = True
+    return np.flatnonzero(cut)
 
 
 def _encoded(path: str, end_id: int, width: int):
@@ -227,8 +284,8 @@ def _encoded(path: str, end_id: int, width: int):
         kept_between_tasks()[path] = encoder
         seq = 0
         for batch in batches:
-            for part, data, bounds in text_slices(batch, "text", 1 << 20):
-                ids, sizes = encoder.encode([t or "" for t in part.column(2).to_pylist()], odd_texts(data, bounds), end_id)
+            for part, data, bounds in text_slices(batch, "text", ENCODED_BYTES):
+                ids, sizes = encoder.encode(data, bounds, end_id)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.arange(seq, seq + len(sizes))), part.column(1), pa.array(sizes), pack(ids, sizes, width)], ["part", "seq", "doc_id", "n_tokens", "levels"])
                 seq += len(sizes)
 
@@ -238,12 +295,15 @@ def _encoded(path: str, end_id: int, width: int):
 def write_store(docs: DataFrame, path: str, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", end_id: int = 0, width: int = WIDTH) -> None:
     """Encode every text and write the store to ``path``, in ascending id order.
 
-    Documents are dealt by ranges of their id, so equal ids stay together; repeated rows of
-    one id sort by text.
+    Documents are dealt by ranges of their id, of the head of their text and of its hash, so
+    rows that repeat one id are spread too; they sort in that order, rows that are equal
+    altogether side by side. A range is sorted with spilling and read in bounded batches, so
+    its size is not bounded by memory; the session's partition count says how many there are.
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    order = [F.col("doc_id").asc_nulls_first(), F.substring("text", 1, HEAD), F.xxhash64("text")]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select(F.spark_partition_id().alias("part"), "doc_id", "text").mapInArrow(
         _encoded(tokenizer, end_id, width), f"part int, seq bigint, doc_id {dict(rows.dtypes)['doc_id']}, n_tokens bigint, levels array<{LEVEL}>"
     ).write.option("compression", "zstd").parquet(path)
@@ -270,12 +330,12 @@ def _sums(width: int):
 def document_index(store: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per document, read back from the store: doc_id, start, n_tokens, ids_crc32.
 
-    ``start`` is a prefix sum in two steps: over the parts (a row for each file) and within
-    each part, whose rows are a bounded share of the table.
+    ``start`` is a prefix sum in two steps: over the parts (a row for each file of the store)
+    and within each part.
     """
     kind = dict(store.dtypes)["doc_id"]
     rows = store.select("part", "seq", "doc_id", "levels").mapInArrow(_sums(width), f"part int, seq bigint, doc_id {kind}, n_tokens bigint, ids_crc32 bigint")
     sums = store.groupBy("part").agg(F.sum("n_tokens").alias("sum"))
     before = sums.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("before"))
     inside = Window.partitionBy("part").orderBy("seq")
-    return rows.withColumn("inside", F.sum("n_tokens").over(inside) - F.col("n_tokens")).join(F.broadcast(before), "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.withColumn("inside", F.sum("n_tokens").over(inside) - F.col("n_tokens")).join(before, "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
