@@ -10,17 +10,23 @@ every tree with a probability that does not vanish, and misses all trees with le
 
 In every node the members are compared with the node's pivot. Nodes whose members are then
 in one component need no more work; of the others, large ones branch, down to DEPTH, and
-small ones are compared exhaustively by their tokens and propose a spanning forest of their
-likely pairs (LIKELY equal tokens), likeliest first. A node that is large even at DEPTH is compared in pairs of blocks of bounded
-size. Every proposed pair is confirmed on the two full sets. At last the proposals, links or
-not, join documents into clusters; where a cluster still has several components, all its
-pairs of different components are compared on full sets, whatever their tokens, in tiles of
-bounded size.
+small ones are compared exhaustively by their tokens and propose a spanning forest of the
+pairs with CANDIDATE equal tokens, likeliest first; so are nodes that are large even at
+DEPTH, both cut into pairs of blocks of SIDE members. Every pair with the pivot and every
+proposed pair is decided on the two full sets, unless their sizes alone rule a link out. At
+last the pairs that are NEAR by their full sets, links or not, join documents into clusters;
+where a cluster still has several components, all its pairs of different components are
+compared on full sets, whatever their tokens, in tiles of bounded size.
 Components grow by alternating star operations on the links, as joins and aggregates.
 
-Texts that are null or have no words have empty sets and no links. A text of one to four
-words is one shingle. Repeated doc_ids are judged row by row, under one vertex. Rows with a
-null doc_id get no component and stay. Empty tables give empty tables.
+What can be missed is a pair that no tree's first branch brings together, or that meets in
+small nodes alone and has fewer than CANDIDATE equal tokens (at the threshold 3e-11).
+
+Shingles are compared by 64-bit hashes of 64-bit hashes of words. Texts that are null or
+have no words have empty sets and no links. A text of one to four words is one shingle. Rows
+are judged row by row, whatever their doc_id: those that repeat one with different texts are
+different vertices, and equal rows are one. Rows with a null doc_id get no component and
+stay. Empty tables give empty tables.
 """
 
 from __future__ import annotations
@@ -32,9 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, near_rows, saved, text_slices
+from .common import BROADCAST_IDS, bounded_batches, free_name, saved, text_slices
 from .words import SPACED, mix, shingle_sets, split_words
 
+#: Text bytes that become sets at a time.
+SLICE = 1 << 20
 SHINGLE = 5
 #: Similarity in percent.
 THRESHOLD = 75
@@ -42,15 +50,18 @@ COORDINATES = 64
 TREES = 24
 #: Nodes of up to so many members are compared exhaustively.
 LEAF = 2048
-#: Members to a side of a tile, with their full sets.
-TILE = 512
+#: Members to a side of a tile, and values of their full sets (a larger set is one side).
+TILE, TILE_VALUES = 512, 2 << 20
 #: Values of sets that a tile counts at a time, and columns of the product that counts them.
 PART = 1 << 20
 WIDTH = 4096
-#: Equal coordinates that a candidate pair needs: at the threshold 48 are expected, and fewer
-#: than 33 have a probability of about 1e-5.
-LIKELY = 33
-#: Nodes that are large even so deep down are compared exhaustively, in blocks.
+#: Equal coordinates that a proposal of a small node needs: at the threshold 48 are expected.
+CANDIDATE = 24
+#: Members of a block of a node that is compared exhaustively.
+SIDE = 256
+#: Similarity in percent from which decided pairs join clusters.
+NEAR = 50
+#: Nodes that are large even so deep down are compared exhaustively.
 DEPTH = 3
 BLOCK = 512
 
@@ -60,7 +71,7 @@ _B = mix(np.arange(1001, COORDINATES + 1001, dtype=np.uint64))
 
 def _set_rows(column: str, batches: Iterator[pa.RecordBatch]):
     for batch in batches:
-        for part, data, bounds in text_slices(batch, column):
+        for part, data, bounds in text_slices(batch, column, SLICE):
             words, word_at = split_words(data, bounds, SPACED)
             values, at = shingle_sets(words, word_at, SHINGLE)
             yield part, values, at
@@ -80,26 +91,28 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 part.column(0),
+                part.column(1),
                 pa.array(n, pa.int64()),
                 pa.array(digests[0].view(np.int64)),
                 pa.array(digests[1].view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * COORDINATES, pa.int32()), pa.array(tokens.view(np.int32).ravel())),
             ],
-            ["id", "n", "k1", "k2", "sig"],
+            ["id", "h", "n", "k1", "k2", "sig"],
         )
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, values, at in _set_rows("text", batches):
         sets = [values[at[k] : at[k + 1]].tobytes() for k in range(part.num_rows)]
-        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["id", "members"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["rep", "members"])
 
 
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs that are similar enough on their full sets."""
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether pairs are links, and whether they are near, on their full sets."""
     for batch in batches:
-        keep = [_same(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        shares = [_shares(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column(2), batch.column(3))]
+        link, near = (pa.array([100 * c >= percent * u for c, u in shares], pa.bool_()) for percent in (THRESHOLD, NEAR))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), link, near], ["a", "b", "link", "near"])
 
 
 def _proposals(ids, comps, sigs, blocks, crossing: bool):
@@ -115,7 +128,7 @@ def _proposals(ids, comps, sigs, blocks, crossing: bool):
             same = np.zeros(wanted.shape, np.int16)
             for k in range(COORDINATES):
                 same += sigs[x, k, None] == sigs[None, y, k]
-            p, q = np.nonzero((same >= LIKELY) & wanted)
+            p, q = np.nonzero((same >= CANDIDATE) & wanted)
             # Of the pairs that join the same two components the likeliest one is enough.
             c, d = comps[i + p], comps[j + q]
             order = np.lexsort((-same[p, q], np.maximum(c, d), np.minimum(c, d)))
@@ -160,11 +173,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _exhaustive(nodes: DataFrame, reps: DataFrame) -> DataFrame:
-    """Likely pairs a, b that join the nodes' components, in groups of about LEAF members.
+    """Likely pairs a, b that join the nodes' components.
 
-    A larger node is cut into blocks, and every two blocks are a group.
+    A node is cut into blocks of about SIDE members, and every two blocks are a group.
     """
-    n = F.ceil(F.col("size") / LEAF).cast("int")
+    n = F.ceil(F.col("size") / SIDE).cast("int")
     block = F.pmod(F.xxhash64("rep", F.lit(3)), n).cast("int")
     rows = nodes.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
     group = F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other"))
@@ -198,11 +211,11 @@ def _branches(nodes: DataFrame, reps: DataFrame) -> DataFrame:
     return rows.select(F.xxhash64("node", "j", F.expr("sig[j]")).alias("node"), "rep")
 
 
-def _same(x: np.ndarray, y: np.ndarray) -> bool:
-    """Are two sorted sets similar enough?"""
+def _shares(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
+    """How many values two sorted sets share, and how many they have together."""
     both = np.sort(np.concatenate([x, y]))
     common = int((both[1:] == both[:-1]).sum())
-    return common > 0 and 100 * common >= THRESHOLD * (len(x) + len(y) - common)
+    return common, len(both) - common
 
 
 def _parts(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
@@ -274,14 +287,18 @@ def _tile(rows: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def _within_clusters(decided: DataFrame, found: DataFrame, rows: DataFrame) -> DataFrame | None:
+def _within_clusters(near: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Links between different components of one cluster, saved; None if no cluster has several."""
     edges = found.select(F.col("rep").alias("a"), F.col("component").alias("b"))
-    clusters = components(decided.unionByName(edges)).withColumnRenamed("component", "cluster")
+    clusters = components(near.unionByName(edges)).withColumnRenamed("component", "cluster")
     clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("rep"), "cluster").distinct())
-    members = saved(clusters.join(found, "rep", "left").select("cluster", "rep", F.coalesce("component", "rep").alias("component")), "clusters")
-    sizes = members.groupBy("cluster", "component").count().groupBy("cluster").agg(F.sum("count").alias("size"), F.max("count").alias("largest"), F.max_by("component", F.struct("count", "component")).alias("main"))
-    sizes = sizes.where("size > largest").select("cluster", "main", F.ceil((F.col("size") - F.col("largest")) / TILE).cast("int").alias("lefts"), F.ceil(F.col("size") / TILE).cast("int").alias("rights"))
+    members = clusters.join(found, "rep", "left").select("cluster", "rep", F.coalesce("component", "rep").alias("component"))
+    members = saved(members.join(sets.select("rep", F.octet_length("members").alias("bytes")), "rep"), "clusters")
+    size = [F.count("*").alias("members"), (F.sum("bytes") / 8).alias("values")]
+    sizes = members.groupBy("cluster", "component").agg(*size).groupBy("cluster")
+    sizes = sizes.agg(F.sum("members").alias("members"), F.sum("values").alias("values"), F.max(F.struct("members", "values", "component")).alias("main")).where("members > main.members")
+    blocks = lambda members, values: F.ceil(F.greatest(members / TILE, values / TILE_VALUES)).cast("int")
+    sizes = sizes.select("cluster", F.col("main.component").alias("main"), blocks(F.col("members") - F.col("main.members"), F.col("values") - F.col("main.values")).alias("lefts"), blocks(F.col("members"), F.col("values")).alias("rights"))
     mixed = saved(members.join(sizes, "cluster"), "open")
     if not mixed.limit(1).count():
         return None
@@ -291,21 +308,16 @@ def _within_clusters(decided: DataFrame, found: DataFrame, rows: DataFrame) -> D
     left = mixed.where("component <> main").withColumns({"i": place("lefts", 5), "left": F.lit(True)}).withColumn("j", every("rights"))
     right = mixed.withColumns({"j": place("rights", 6), "left": F.lit(False)}).withColumn("i", every("lefts"))
     both = left.unionByName(right).select("cluster", "i", "j", "left", "rep", "component")
-    sets = near_rows(rows, mixed.select(F.col("rep").alias("wanted")), "id", "wanted").select("id", "text").mapInArrow(_sets, "id bigint, members binary")
-    placed = both.join(saved(sets.withColumnRenamed("id", "rep"), "sets"), "rep")
-    return saved(placed.groupBy("cluster", "i", "j").applyInArrow(_tile, "a bigint, b bigint").distinct(), "links")
+    return saved(both.join(sets, "rep").groupBy("cluster", "i", "j").applyInArrow(_tile, "a bigint, b bigint").distinct(), "links")
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of candidate pairs the likely ones, and of those the links; both saved."""
-    a, b = (reps.select(F.col("rep").alias(x), F.col("sig").alias(f"sig_{x}")) for x in "ab")
-    equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    likely = saved(pairs.distinct().join(a, "a").join(b, "b").where(equal >= LIKELY).select("a", "b").distinct(), "likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    sets = saved(near_rows(rows, wanted, "id", "wanted").select("id", "text").mapInArrow(_sets, "id bigint, members binary"), "sets")
-    x, y = (sets.select(F.col("id").alias(c), F.col("members").alias(f"members_{c}")) for c in "ab")
-    both = likely.join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b")
-    return likely, saved(both.mapInArrow(_confirm, "a bigint, b bigint"), "links")
+def _decided(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, link, near of candidate pairs; those whose sizes rule a link out are no longer there."""
+    a, b = (reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    fits = 100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")
+    x, y = (sets.select(F.col("rep").alias(c), F.col("members").alias(f"members_{c}")) for c in "ab")
+    both = pairs.distinct().join(a, "a").join(b, "b").where(fits).select("a", "b").join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b")
+    return saved(both.mapInArrow(_decide, "a bigint, b bigint, link boolean, near boolean"), "decided")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -334,14 +346,32 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("rep"), F.col("b").alias("component"))
 
 
-def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per document: id, n_shingles, component_id (smallest linked id, itself included), kept."""
+def _rows(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """id, h (a hash of the text as it is), text."""
+    return docs.select(F.col(id_column).cast("bigint").alias("id"), F.xxhash64(text_column).alias("h"), F.col(text_column).alias("text"))
+
+
+def _sets_of(rows: DataFrame, owners: DataFrame, repeated: bool) -> DataFrame:
+    """rep, members: the sets of some vertices, each from the row that owns it; saved."""
+    owners = owners.select("rep", F.col("own.id").alias("own_id"), F.col("own.h").alias("own_h"))
+    if owners.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        owners = F.broadcast(owners)
+    sets = rows.join(owners, (F.col("id") == F.col("own_id")) & (F.col("h") == F.col("own_h"))).select("rep", "text").mapInArrow(_sets, "rep bigint, members binary")
+    return saved(sets.dropDuplicates(["rep"]) if repeated else sets, "sets")
+
+
+def _components_of_rows(docs: DataFrame, id_column: str, text_column: str) -> tuple[DataFrame, bool]:
+    """id, h, n, label (of the component; null without words), first (its smallest id) of every
+    row, and whether any row repeats."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
-    features = saved(rows.mapInArrow(_features, "id bigint, n bigint, k1 bigint, k2 bigint, sig array<int>"), "features")
-    owned = features.where("n > 0 and id is not null").groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.first("sig").alias("sig"))
-    owned = saved(owned, "vertices")
-    reps = owned.select("rep", "sig")
+    rows = _rows(docs, id_column, text_column)
+    features = saved(rows.mapInArrow(_features, "id bigint, h bigint, n bigint, k1 bigint, k2 bigint, sig array<int>"), "features")
+    repeated = features.where("id is not null").groupBy("id", "h").count().where("count > 1").limit(1).count() > 0
+    full = features.where("n > 0 and id is not null")
+    owned = full.groupBy("k1", "k2", "n").agg(F.min(F.struct("id", "h")).alias("own"), F.first("sig").alias("sig"))
+    # The running number is a vertex's name from here on: the table is written once and then only read.
+    owned = saved(owned.withColumn("rep", F.monotonically_increasing_id()), "vertices")
+    reps = owned.select("rep", "n", "sig")
 
     def mixed(rows: DataFrame, found: DataFrame) -> DataFrame:
         """The nodes whose members are in several components, with these."""
@@ -349,9 +379,14 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         several = placed.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("node")
         return saved(placed.join(several, "node", "left_semi"), "mixed")
 
+    def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+        return components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
+
     nodes = saved(_multi(_roots(reps)), "nodes")
-    decided, links = _confirmed(_star(nodes), reps, rows)
-    found = components(links)
+    # Whatever is compared from here on shares a node with another vertex.
+    sets = _sets_of(rows, owned.join(nodes.select("rep").distinct(), "rep", "left_semi"), repeated)
+    decided = _decided(_star(nodes), reps, sets)
+    found = components(decided.where("link").select("a", "b"))
     for depth in range(1, DEPTH + 1):
         active = mixed(nodes, found)
         small = F.col("size") <= LEAF if depth < DEPTH else F.lit(True)
@@ -360,30 +395,45 @@ def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
         if n_large:
             nodes = saved(_multi(_branches(active.where(~small), reps)), "nodes")
             pairs = pairs.unionByName(_star(nodes))
-        more, links = _confirmed(pairs.join(decided, ["a", "b"], "left_anti"), reps, rows)
+        more = _decided(pairs.join(decided, ["a", "b"], "left_anti"), reps, sets)
         decided = decided.unionByName(more)
-        found = components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
+        found = merged(found, more.where("link").select("a", "b"))
         if not n_large:
             break
-    links = _within_clusters(decided, found, rows)
+    links = _within_clusters(decided.where("near").select("a", "b"), found, sets)
     if links is not None:
-        found = components(found.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(links))
+        found = merged(found, links)
+
+    # Each component's smallest id; vertices without a link are their own component.
+    linked = found.unionByName(found.select(F.col("component").alias("rep"), "component").distinct())
+    ids = linked.join(owned.select("rep", F.col("own.id").alias("id")), "rep")
+    firsts = linked.join(ids.groupBy("component").agg(F.min("id").alias("first")), "component")
+    vertex = owned.join(firsts, "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("label"), F.coalesce("first", "own.id").alias("first"))
+    out = full.select("id", "h", "n", "k1", "k2").join(vertex, ["k1", "k2", "n"]).select("id", "h", "n", "label", "first")
+    others = features.where("n = 0 or id is null").select("id", "h", "n", F.lit(None).cast("bigint").alias("label"), F.col("id").alias("first"))
+    return out.unionByName(others), repeated
 
-    vertex = owned.select("k1", "k2", "n", "rep").join(found, "rep", "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"))
-    out = features.select("id", "n", "k1", "k2").join(vertex, ["k1", "k2", "n"], "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+
+def groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Per document: id, n_shingles, component_id (smallest linked id, itself included), kept."""
+    rows, _ = _components_of_rows(docs, id_column, text_column)
+    return rows.select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.col("first").alias("component_id"), F.coalesce(F.col("first") == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns.
 
-    Of rows that repeat a kept id one stays; rows with a null id all stay.
+    Of rows of one group that share that id one stays, and so of rows without words that
+    share an id; rows with a null id all stay.
     """
-    decided = saved(groups(docs, id_column, text_column).select(F.col(id_column).alias("kept_id"), "kept"), "kept")
-    keep = decided.where("kept and kept_id is not null").groupBy("kept_id").agg(F.count("*").alias("rows"))
-    repeats = keep.where("rows > 1").limit(1).count() > 0
-    out = near_rows(docs.where(F.col(id_column).isNotNull()), keep.select("kept_id"), id_column, "kept_id")
-    if repeats:
-        out = out.dropDuplicates([id_column])
+    rows, repeated = _components_of_rows(docs, id_column, text_column)
+    kept_id, kept_h = free_name(docs, "kept_id"), free_name(docs, "kept_h")
+    keep = saved(rows.where("id = first").groupBy("id", "label").agg(F.min("h").alias(kept_h)).select(F.col("id").alias(kept_id), kept_h), "kept")
+    if keep.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        keep = F.broadcast(keep)
+    known = docs.where(F.col(id_column).isNotNull())
+    out = known.join(keep, (F.col(id_column).cast("bigint") == F.col(kept_id)) & (F.xxhash64(text_column) == F.col(kept_h)), "left_semi")
+    if repeated:
+        name = free_name(docs, "text_hash")
+        out = out.withColumn(name, F.xxhash64(text_column)).dropDuplicates([id_column, name]).drop(name)
     return out.unionByName(docs.where(F.col(id_column).isNull()))

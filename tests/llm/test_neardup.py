@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from roadspark.llm import neardup
+from roadspark.llm import neardup, words
 
 
 def shingles(text):
@@ -32,6 +32,11 @@ def plain(rows):
     return sorted((d, len(s), find(d), d == find(d)) for d, s in sets)
 
 
+def same(x, y):
+    common, union = neardup._shares(x, y)
+    return common > 0 and 100 * common >= 75 * union
+
+
 def case(seed, words=60, groups=25):
     rnd = random.Random(seed)
     text = lambda n: [f"w{rnd.randint(0, 400)}" for _ in range(n)]
@@ -62,7 +67,7 @@ def test_against_brute_force(spark):
 
 def test_small_nodes_branch_and_tile(spark, monkeypatch):
     """One dense group near the threshold, with nodes so small that all ways are taken."""
-    for name, value in (("LEAF", 8), ("BLOCK", 4)):
+    for name, value in (("LEAF", 8), ("SIDE", 5), ("BLOCK", 4), ("TILE_VALUES", 500)):
         monkeypatch.setattr(neardup, name, value)
     rnd = random.Random(4)
     base = [f"w{k}" for k in range(80)]
@@ -91,16 +96,73 @@ def test_tiles_compare_full_sets(monkeypatch):
         root = list(range(n))
         for x in range(n):
             for y in range(n):
-                if left[x] and not left[y] and neardup._same(sets[x], sets[y]):
+                if left[x] and not left[y] and same(sets[x], sets[y]):
                     root = [root[x] if r == root[y] else r for r in root]
         mine = list(range(n))
         for a, b in zip(*(c.to_pylist() for c in neardup._tile(table).columns)):
-            assert neardup._same(sets[a], sets[b]) and mine[a] != mine[b]
+            assert same(sets[a], sets[b]) and mine[a] != mine[b]
             mine = [mine[a] if r == mine[b] else r for r in mine]
         assert len(set(root)) < n
         assert [root.index(r) for r in root] == [mine.index(r) for r in mine]
 
 
+def test_a_node_above_leaf(spark):
+    """A group beyond LEAF of which many pairs lie just around the threshold: every link counts."""
+    rnd, base = random.Random(8), [f"w{k}" for k in range(64)]
+    rows = []
+    for k in range(neardup.LEAF + 400):
+        own = list(base)
+        # texts that differ in one of these words are links (55 of 65 shingles), in two not (50 of 70)
+        for at in (10, 30, 50):
+            own[at] = f"e{rnd.randint(0, 59)}"
+        rows.append((k, " ".join(own)))
+    number = {}
+    member = np.zeros((len(rows), 64 + 3 * 60 * 5), np.float32)
+    for k, t in rows:
+        for g in shingles(t):
+            member[k, number.setdefault(g, len(number))] = 1
+    assert len(number) <= member.shape[1]
+    common, n = member @ member.T, member.sum(1)
+    linked = 100 * common >= 75 * (n[:, None] + n[None] - common)
+    label = np.arange(len(rows))
+    while True:
+        after = np.where(linked, label[None], len(rows)).min(1)
+        if (after == label).all():
+            break
+        label = after
+    got = {r.doc_id: r.component_id for r in neardup.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k] for k in range(len(rows))] == label.tolist() and len(set(label.tolist())) > 100
+
+
+def test_ids_that_repeat_a_hundred_times(spark):
+    text = " ".join(f"v{k}" for k in range(60))
+    rows = [(1, text)] * 100 + [(2, text + " end")] * 100 + [(3, "other words than these are here"), (3, text + " fin"), (4, text)]
+    got = sorted(tuple(r) for r in neardup.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == sorted([(1, 56, 1, True)] * 100 + [(2, 57, 1, False)] * 100 + [(3, 2, 3, True), (3, 57, 1, False), (4, 56, 1, False)])
+    kept = neardup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in kept) == [(1, text), (3, "other words than these are here")]
+
+
+def test_words_that_defeat_polynomial_hashes():
+    thue = ["a" if bin(k).count("1") % 2 else "b" for k in range(4096)]
+    one, two = "".join(thue), "".join("b" if c == "a" else "a" for c in thue)
+    data = f"{one} {two}".encode()
+    found, at = words.split_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    assert len(set(found.tolist())) == 2 and at.tolist() == [0, 2]
+
+
+def test_long_texts_split_in_pieces(monkeypatch):
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choice("ab  \n") for _ in range(rnd.choice([0, 3, 50, 400]))).encode() for _ in range(30)] + [b"x" * 200]
+    bounds = np.append(0, np.cumsum([len(t) for t in texts]))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    whole = words.split_words(data, bounds, words.SPACED)
+    for piece in (7, 64):
+        monkeypatch.setattr(words, "PIECE", piece)
+        cut = words.split_words(data, bounds, words.SPACED)
+        assert cut[0].tolist() == whole[0].tolist() and cut[1].tolist() == whole[1].tolist()
+
+
 def test_deduplicate(spark):
     long = " ".join(f"v{k}" for k in range(30_000))
     rows = [(4, "a b c d e f", 1), (2, "a b c d e f", 2), (2, "a b c d e f", 2), (None, "a b c d e f", 3), (5, None, 4), (6, "", 5), (7, long, 6), (8, long + " end", 7)]
