@@ -8,6 +8,10 @@ pass both; and so on until no key is left. Over the corpus's keys membership is
 and a page is judged from its own keys and a few bit arrays, without a join. A second,
 smaller cascade over the listed keys tells blocked from allowed.
 
+Keys are hashed twice, by functions that do not depend on each other. Should levels stop
+shrinking all the same (keys with two equal hashes), the few keys that are left are compared
+as text, so the cascade ends and stays exact whatever the hashes are.
+
 The bit arrays take about log2(keys / rules) bits a rule, so their size follows the list;
 MAX_BITS bounds what is broadcast, and a longer list is an error.
 
@@ -30,6 +34,8 @@ from .common import LETTERS, free_name, saved
 from .words import mix
 
 MAX_BITS = 1 << 31
+#: Keys that may be left to compare as text; more are an error.
+MAX_LEFT = 10_000
 _U = np.uint64
 
 
@@ -54,13 +60,24 @@ class Level:
         return (self.words[at >> _U(6)] >> (at & _U(63)) & _U(1)).all(1)
 
 
-def member(levels: list[Level], hashes: np.ndarray) -> np.ndarray:
+class Left:
+    """The last level where filters no longer tell keys apart: the listed keys themselves."""
+
+    def __init__(self, number: int, keys: list[str]):
+        self.number, self.keys = number, set(keys)
+
+
+def member(levels: list, hashes: np.ndarray, keys: pa.Array) -> np.ndarray:
     """Is each key listed? The first level that lacks a key decides by its number."""
     found, open_ = np.zeros(len(hashes), bool), np.arange(len(hashes))
     for level in levels:
         if not len(open_):
-            break
-        held = level.holds(hashes[open_])
+            return found
+        if isinstance(level, Left):
+            # What this level encodes passed it; anything else did not.
+            held = np.array([k in level.keys for k in keys.take(pa.array(open_)).to_pylist()], bool)
+        else:
+            held = level.holds(hashes[open_])
         found[open_[~held]] = level.number % 2 == 1
         open_ = open_[held]
     found[open_] = len(levels) % 2 == 1
@@ -71,17 +88,32 @@ def _hashes(batch: pa.RecordBatch) -> np.ndarray:
     return np.column_stack([batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in (1, 2)])
 
 
+def hashes_of(key: Column) -> tuple[Column, Column]:
+    """Two hashes of a key; the second starts from a state of its own."""
+    return F.xxhash64(key), F.xxhash64(F.lit(1), key)
+
+
 def hashed(keys: DataFrame) -> DataFrame:
-    return keys.select("key", F.xxhash64("key").alias("h1"), F.xxhash64("key", F.lit(1)).alias("h2"))
+    h1, h2 = hashes_of(F.col("key"))
+    return keys.withColumns({"h1": h1, "h2": h2})
 
 
-def cascade(listed: DataFrame, others: DataFrame) -> list[Level]:
+def cascade(listed: DataFrame, others: DataFrame) -> list:
     """The levels for keys ``listed`` against ``others`` (both: key, h1, h2; no key in both)."""
     spark = listed.sparkSession
     n, m = listed.count(), others.count()
-    levels: list[Level] = []
+    levels: list = []
     inside, outside = listed, others
+    before = None
     while n:
+        if before == (n, m):
+            # Neither side shrank in its last turn: their hashes are equal.
+            keys = [r[0] for r in inside.select("key").limit(MAX_LEFT + 1).collect()]
+            if len(keys) > MAX_LEFT:
+                raise ValueError("too many keys with equal hashes")
+            levels.append(Left(len(levels), keys))
+            break
+        before = (m, n)
         rate = 0.5 if levels else min(0.5, max(1e-9, n * math.sqrt(0.5) / max(1, m)))
         level = Level(len(levels), n, rate)
 
@@ -143,28 +175,29 @@ def judge(pages: DataFrame, rules: DataFrame, url_column: str = "url", default:
     rows = rows.withColumn(keys, candidate_keys(F.col(host), F.col(path), labels, lengths))
 
     by_key = listed.groupBy("key").agg(F.max(F.col("verdict") == "block").alias("blocked"))
-    all_keys = saved(hashed(by_key).join(by_key, "key").select("key", "h1", "h2", "blocked"), "listed")
+    all_keys = saved(hashed(by_key).select("key", "h1", "h2", "blocked"), "listed")
     universe = hashed(rows.select(F.explode(keys).alias("key")).distinct())
     others = saved(universe.join(all_keys, "key", "left_anti"), "universe")
     known = cascade(all_keys.drop("blocked"), others)
     block = cascade(all_keys.where("blocked").drop("blocked"), all_keys.where("not blocked").drop("blocked"))
-    shared = spark.sparkContext.broadcast([[vars(x) for x in levels] for levels in (known, block)])
+    shared = spark.sparkContext.broadcast([[(isinstance(x, Left), vars(x)) for x in levels] for levels in (known, block)])
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def level(values):
-            out = Level.__new__(Level)
+        def level(last, values):
+            kind = Left if last else Level
+            out = kind.__new__(kind)
             out.__dict__ = values
             return out
 
-        known, block = ([level(x) for x in levels] for levels in shared.value)
+        known, block = ([level(*x) for x in levels] for levels in shared.value)
         for batch in batches:
-            lists = batch.column(one)
+            lists, texts = batch.column(one), batch.column(keys).flatten()
             flat = np.column_stack([batch.column(c).flatten().to_numpy(zero_copy_only=False).view(np.uint64) for c in (one, two)])
-            hits, blocked = (pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))), pa.int32()), pa.array(member(levels, flat))) for levels in (known, block))
+            hits, blocked = (pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))), pa.int32()), pa.array(member(levels, flat, texts))) for levels in (known, block))
             keep = [k for k, c in enumerate(batch.schema.names) if c not in (one, two)]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), hits, blocked], [*(batch.schema.names[k] for k in keep), hit, bad])
 
-    probes = rows.withColumns({one: F.transform(keys, lambda k: F.xxhash64(k)), two: F.transform(keys, lambda k: F.xxhash64(k, F.lit(1)))})
+    probes = rows.withColumns({one: F.transform(keys, lambda k: hashes_of(k)[0]), two: F.transform(keys, lambda k: hashes_of(k)[1])})
     schema = rows.sparkSession.createDataFrame([], rows.schema).selectExpr("*", f"cast(null as array<boolean>) as `{hit}`", f"cast(null as array<boolean>) as `{bad}`").schema
     tested = probes.mapInArrow(test, schema)
     fits = F.filter(F.arrays_zip(F.col(keys).alias("key"), F.col(hit).alias("hit"), F.col(bad).alias("bad")), lambda x: x["hit"])

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
 
 from roadspark.llm import urlfilter
 from roadspark.llm.queries import URL_RULES
@@ -49,3 +51,23 @@ def test_empty_tables(spark):
 
 def test_block_wins_over_allow_for_one_key(spark):
     assert judge(spark, ["http://a.com/"], [("a.com", "/", "allow"), ("a.com", "/", "block")])[0][3] == "block"
+
+
+def test_hashes_are_independent(spark):
+    h1, h2 = urlfilter.hashes_of(F.col("key"))
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("key")).select(h1.alias("a"), h2.alias("b"), F.xxhash64("key", F.lit(1)).alias("c")).collect()
+    assert len({r.b for r in rows}) == 1000 and all(r.b not in (r.a, r.c) for r in rows)
+
+
+@pytest.mark.parametrize("different", [1, 3])
+def test_equal_hashes_end_and_stay_exact(spark, monkeypatch, different):
+    """All keys, or a third of them, hash alike: the keys themselves decide."""
+    few = lambda key: F.pmod(F.xxhash64(key), F.lit(different)).cast("bigint")
+    monkeypatch.setattr(urlfilter, "hashes_of", lambda key: (few(key), few(key) + 7))
+    urls = [f"http://{a}example.com/{p}/" for a in ("", "www.", "m.") for p in ("en", "fr", "")] + ["http://a.net/es/x", "http://a.net/de/", "http://b.org/", "http://net/fr/", None]
+    assert judge(spark, urls, URL_RULES) == {k: plain(u, URL_RULES) for k, u in enumerate(urls)}
+
+
+def test_very_long_urls(spark):
+    urls = ["http://" + "a." * 50_000 + "example.com/en/" + "x" * 200_000, "http://net/" + "fr/" * 100_000]
+    assert judge(spark, urls, URL_RULES) == {k: plain(u, URL_RULES) for k, u in enumerate(urls)}
