@@ -55,8 +55,33 @@ def test_odd_vectors(spark):
     assert ann.search(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
-def test_repeated_query_ids(spark):
+def test_repeated_rows(spark):
+    """Every row but the query's own is a candidate; a query id has a list for each different vector."""
+    rng = np.random.default_rng(5)
     rows = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [0.9, 0.1]), (2, [0.2, 0.8]), (3, [0.5, 0.4]), (3, [0.5, 0.4])]
+    some = rng.integers(0, 3, (40, 2)).astype(float)
+    for rows in (rows, [(int(i), v.tolist()) for i, v in zip(rng.choice([20, 40, 5, 6], 40), some) if v.any()]):
+        expected = []
+        for q, v in {(i, tuple(x)) for i, x in rows if i % 20 == 0}:
+            rest = [(i, tuple(x)) for i, x in rows]
+            rest.remove((q, v))
+            near = sorted((-sum(a * b for a, b in zip(v, x)), i) for i, x in rest)[:6]
+            expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(near, 1)]
+        df = spark.createDataFrame(rows * 1, "vec_id long, embedding array<double>")
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(df, F.col("id") % 20 == 0, k=6).collect())
+        assert got == sorted(expected)
+
+
+def test_dimensions_search_among_themselves(spark):
+    rows = [(20, [1.0, 0.0]), (1, [0.5, 0.0]), (40, [1.0]), (41, [3.0]), (42, [2.0]), (43, [1.0, 1.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = sorted((r["rank"], r.vec_id, r.score) for r in ann.search(df, F.col("id") % 20 == 0, k=3).collect())
-    assert got == sorted([(1, 1, 0.9), (2, 3, 0.5), (3, 3, 0.5), (1, 2, 0.8), (2, 3, 0.4), (3, 3, 0.4)])
+    assert found(ann.search(df, F.col("id") % 20 == 0)) == {20: [(1, 0.5)], 40: [(41, 3.0), (42, 2.0)]}
+
+
+def test_small_cells(spark, monkeypatch):
+    """Blocks and chunks of a few rows give what whole shelves give."""
+    df = table(spark, "/root/testdata/sf0.001", "embeddings")
+    whole = found(ann.search(df, F.col("id") % 20 == 0))
+    for name, value in (("CELL_VECTORS", 9), ("CELL_QUERIES", 3), ("SHELF", 3)):
+        monkeypatch.setattr(ann, name, value)
+    assert found(ann.search(df, F.col("id") % 20 == 0)) == whole
