@@ -7,16 +7,20 @@ Turns become text with a mark before and after, by role:
 A control string inside a text or role gets a backslash in front (with those that stand there
 already), so every text reads back exactly. Turns are joined by line breaks.
 
-Prefix sums of turn tokens cut a conversation into spans: a turn that lies within one
-multiple of the span size belongs to that span, one that crosses a multiple is a span of its
-own, so spans align with turns, keep the budget (a single larger turn excepted) and need no
-sequential scan. A window is the system turn (a conversation's first turn if that is its
-role), the turns just before the span within HISTORY tokens, and the span. The loss mask
-covers assistant texts of the span alone: repeated ones are masked, so each counts once.
-
-Prefix sums go by blocks of turn numbers and then within a block, history by an equi-join on
-token buckets, so a conversation of any length is spread over tasks; only what a caller asks
-to be one value per conversation (a digest of all its text) is brought together.
+A conversation is cut into blocks of BLOCK turn numbers, and those into parts of BLOCK turns.
+Prefix sums of turn tokens within a part choose its spans: a span takes turns as long as they
+fit the budget besides the system turn and HISTORY tokens (where that leaves less than
+LEAST_SPAN, besides the system turn alone); a larger turn is a span of its own. A window is
+the system turn (a conversation's first turn if that is its role), the turns just before the
+span as far as HISTORY and the budget allow, and the span. So a window holds at most BUDGET
+tokens, except when the system turn and one single turn together hold more: nothing is cut.
+The loss mask covers assistant texts of the span alone: repeated ones are masked, so each
+counts once.
+
+The rows' texts are shuffled once, by block, so a conversation of any length is spread over
+tasks; the last turns of a block go along with the next one as its history. Only rows that
+share a block's turn numbers are sorted together (with spilling). What a caller asks to be
+one value per conversation (a digest of all its text) is brought together in the end.
 
 Rows go by turn; equal turns by role and text; a null turn is first. Null text is empty, null
 role an empty role. Rows of a null conv_id are one conversation. Repeated rows are turns
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 #: Tokens of a window, and of the history it repeats. A token is four bytes of formatted text.
 BUDGET, HISTORY, LEAST_SPAN = 512, 128, 128
 TOKEN_BYTES = 4
-#: Turn numbers to a block of the prefix sums.
+#: Turn numbers to a block, and turns to a part of one.
 BLOCK = 1024
 CONTROL = r"(?:\[/?(?:SYS|INST|ROLE)\]|\[(?:OUT|TEXT)\]|</?s>)"
 _TURN = r"(?s)\[(?:SYS|INST|OUT|ROLE)\] .*? (?:\[/SYS\]|\[/INST\]|\[/ROLE\]|</s>)"
@@ -55,62 +59,130 @@ def formatted_turn(role: Column, text: Column) -> Column:
     )
 
 
+def _tokens(fmt: Column) -> Column:
+    return F.ceil((F.octet_length(fmt) + 1) / TOKEN_BYTES).cast("bigint")
+
+
+def _marked_blocks(rows: DataFrame) -> DataFrame:
+    """A row for each block of a conversation: its place among them (``number``) and the
+    conversation's system turn, if it has one."""
+    at = F.coalesce("turn", F.lit(-(2**63)))
+    system = F.col("role") == "system"
+    heads = rows.groupBy("k").agg(
+        F.min(at).alias("first"),
+        F.min(F.when(system, at)).alias("first_system"),
+        F.min(F.when(F.col("role") < "system", at)).alias("first_before"),
+        F.first("conv_id").alias("conv_id"),
+        F.array_sort(F.collect_set("block")).alias("blocks"),
+    )
+    opens = (F.col("first") == F.col("first_system")) & (F.col("first_before").isNull() | (F.col("first_before") > F.col("first")))
+    heads = heads.select("k", "conv_id", "blocks", F.when(opens, F.col("first")).alias("first_system"))
+    texts = rows.where(system).groupBy("k", at.alias("first_system")).agg(F.min("text").alias("system"))
+    marked = heads.join(texts, ["k", "first_system"], "left")
+    return marked.select("k", "conv_id", F.posexplode("blocks").alias("number", "block"), "system")
+
+
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, least_span: int = LEAST_SPAN) -> DataFrame:
-    """conv_id, window, formatted, own_from, loss, n_tokens for each window, numbered in order.
+    """conv_id, window, formatted, own_from, loss, n_tokens for each window; numbers grow in order.
 
     ``own_from`` turns at the head repeat other windows; ``loss`` lists the begin and length, in
     code points of ``formatted``, of the (escaped) assistant texts under the loss mask.
     """
     # One key for joins, without nulls; conv_id itself comes along.
-    rows = conversations.select("conv_id", F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null")).alias("k"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("fmt", formatted_turn(F.col("role"), F.col("text"))).withColumn("tokens", F.ceil((F.octet_length("fmt") + 1) / TOKEN_BYTES))
+    key = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null"))
+    rows = conversations.select("conv_id", key.alias("k"), F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))))
 
-    order = [F.col("turn").asc_nulls_first(), "role", "text"]
-    blocks = rows.groupBy("k", "block").agg(F.sum("tokens").alias("sum"), F.min(F.struct(F.coalesce(F.col("turn"), F.lit(-(2**63))).alias("turn"), "role", "text", "tokens")).alias("head"))
-    before = Window.partitionBy("k").orderBy("block")
-    blocks = blocks.select(
+    # kind: -1 a block's mark, 0 turns of the block before, 1 the block's own turns.
+    none = F.lit(None).cast("bigint")
+    marks = _marked_blocks(rows).select("k", "conv_id", "block", F.lit(-1).alias("kind"), none.alias("turn"), F.lit("").alias("role"), F.lit("").alias("text"), "system", F.col("number").cast("bigint").alias("number"))
+    passed_on = F.coalesce(F.pmod(F.col("turn"), F.lit(BLOCK)) >= BLOCK - history, F.lit(False))
+    place = lambda block, kind: F.struct(block.alias("block"), F.lit(kind).alias("kind"))
+    own, again = place(F.col("block"), 1), place(F.col("block") + 1, 0)
+    turns = rows.withColumn("to", F.explode(F.when(passed_on, F.array(own, again)).otherwise(F.array(own))))
+    turns = turns.select("k", "conv_id", "to.block", "to.kind", "turn", "role", "text", F.lit(None).cast("string").alias("system"), none.alias("number"))
+    dealt = marks.unionByName(turns).repartition("k", "block")
+
+    # Prefix sums and ranks within a block.
+    dealt = dealt.withColumn("fmt", F.when(F.col("kind") >= 0, formatted_turn(F.col("role"), F.col("text"))))
+    dealt = dealt.withColumn("tokens", F.coalesce(_tokens(F.col("fmt")), F.lit(0)))
+    order = Window.partitionBy("k", "block").orderBy("kind", F.col("turn").asc_nulls_first(), "role", "text")
+    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dealt = dealt.select(
         "k",
         "block",
-        (F.sum("sum").over(before) - F.col("sum")).alias("before"),
-        (F.row_number().over(before) == 1).alias("opens"),
-        F.first(F.when(F.col("head.role") == "system", F.col("head.tokens")).otherwise(F.lit(0))).over(before).alias("system"),
+        "kind",
+        "conv_id",
+        "role",
+        "fmt",
+        "tokens",
+        F.first("system").over(run).alias("system"),
+        F.first("number").over(run).alias("number"),
+        F.sum("tokens").over(run).alias("end"),
+        (F.sum(F.when(F.col("kind") == 1, 1).otherwise(0)).over(run) - 1).cast("bigint").alias("rank"),
     )
-    inner = Window.partitionBy("k", "block").orderBy(*order)
-    turns = rows.join(blocks, ["k", "block"]).withColumns({"place": F.row_number().over(inner), "end": F.col("before") + F.sum("tokens").over(inner)})
-    turns = turns.withColumn("is_system", F.col("opens") & (F.col("place") == 1) & (F.col("role") == "system"))
-    # Tokens of the system turn are not part of the spans.
-    turns = turns.withColumns({"end": F.when(F.col("is_system"), F.lit(0)).otherwise(F.col("end") - F.col("system")), "size": F.greatest(F.lit(least_span), F.lit(budget - history) - F.col("system"))})
-    turns = turns.withColumn("begin", F.when(F.col("is_system"), F.lit(0)).otherwise(F.col("end") - F.col("tokens")))
-    low, high = F.floor(F.col("begin") / F.col("size")), F.floor((F.col("end") - 1) / F.col("size"))
-    turns = turns.withColumn("window", F.when(F.col("is_system"), F.lit(0)).when(low == high, 2 * low).otherwise(2 * low + 1).cast("bigint"))
-    piece = F.struct(F.col("part"), F.col("block"), F.col("place"), F.col("fmt"), F.col("role"), F.col("tokens"))
-    own = turns.select("k", "conv_id", "window", F.lit(2).alias("part"), "block", "place", "fmt", "role", "tokens")
-
-    # History: turns that end before a span begins and begin at most HISTORY tokens before it.
-    spans = turns.groupBy("k", "window").agg(F.min("begin").alias("start"), F.first("conv_id").alias("conv_id"), F.max("is_system").alias("has_system"))
-    keyed = spans.withColumn("bucket", F.floor(F.col("start") / history))
-    past = turns.where(~F.col("is_system") & (F.col("tokens") <= history)).withColumn("bucket", F.explode(F.sequence(F.floor(F.col("end") / history), F.floor((F.col("begin") + history) / history))))
-    repeated = past.select("k", "bucket", "begin", "end", F.lit(1).alias("part"), "block", "place", "fmt", "role", "tokens").join(keyed, ["k", "bucket"])
-    repeated = repeated.where((F.col("end") <= F.col("start")) & (F.col("begin") >= F.col("start") - history))
-    system = turns.where("is_system").select("k", F.lit(0).alias("part"), "block", "place", "fmt", "role", "tokens")
-    retained = system.join(spans.where(~F.col("has_system")), "k")
-    columns = ["k", "conv_id", "window", piece.alias("piece")]
-    pieces = own.select(*columns).unionByName(repeated.select(*columns)).unionByName(retained.select(*columns))
-
-    # A window holds a bounded number of tokens, and so of turns.
-    out = pieces.groupBy("k", "window").agg(F.first("conv_id").alias("conv_id"), F.array_sort(F.collect_list("piece")).alias("p"))
-    starts = F.transform(F.sequence(F.lit(1), F.size("p")), lambda i: F.aggregate(F.slice("p", F.lit(1), i - 1), F.lit(0), lambda s, x: s + F.length(x["fmt"]) + 1))
-    placed = F.zip_with("p", starts, lambda x, at: F.struct(x["part"].alias("part"), x["role"].alias("role"), (at + len("[OUT] ")).alias("begin"), (F.length(x["fmt"]) - len("[OUT] ") - len(" </s>")).alias("length")))
-    loss = F.transform(F.filter(placed, lambda x: (x["part"] == 2) & (x["role"] == "assistant")), lambda x: F.struct(x["begin"].alias("begin"), x["length"].alias("length")))
-    return out.select(
+    is_system = (F.col("kind") == 1) & (F.col("rank") == 0) & (F.col("number") == 0) & F.col("system").isNotNull()
+    dealt = dealt.where("kind >= 0 and number is not null").withColumns({"begin": F.col("end") - F.col("tokens"), "is_system": is_system})
+
+    # Parts of a block; the last turns of a part go along with the next one.
+    part = F.greatest(F.floor(F.col("rank") / BLOCK), F.lit(0))
+    late = (F.col("kind") == 1) & (F.pmod(F.col("rank"), F.lit(BLOCK)) >= BLOCK - history)
+    place = lambda part, kind: F.struct(part.alias("part"), kind.alias("kind"))
+    own, again = place(part, F.col("kind")), place(part + 1, F.lit(0))
+    dealt = dealt.withColumn("to", F.explode(F.when(late, F.array(own, again)).otherwise(F.array(own))))
+    turn = F.struct("begin", "end", F.col("to.kind").alias("kind"), "is_system", "role", "fmt", "tokens")
+    groups = dealt.groupBy("k", "block", F.col("to.part").alias("part")).agg(
+        F.first("conv_id").alias("conv_id"), F.first("number").alias("number"), F.first("system").alias("system"), F.array_sort(F.collect_list(turn)).alias("t")
+    )  # a part holds a bounded number of turns
+
+    fmt = F.when(F.col("system").isNotNull(), formatted_turn(F.lit("system"), F.col("system")))
+    groups = groups.withColumns({"system": fmt, "system_tokens": F.coalesce(_tokens(fmt), F.lit(0))})
+    groups = groups.withColumns({"mine": F.filter("t", lambda x: (x["kind"] == 1) & ~x["is_system"]), "opening": F.filter("t", lambda x: x["is_system"])})
+    room = F.lit(budget) - F.col("system_tokens")
+    groups = groups.withColumn("room", room).withColumn("limit", F.when(room - history >= least_span, room - history).otherwise(F.greatest(room, F.lit(1))))
+    groups = groups.where((F.size("mine") > 0) | (F.size("opening") > 0))
+
+    empty = F.struct(none.alias("start"), F.array().cast("array<bigint>").alias("starts"))
+
+    def take(state: Column, x: Column) -> Column:
+        fits = x["end"] - state["start"] <= F.col("limit")
+        return F.when(fits, state).otherwise(F.struct(x["begin"].alias("start"), F.array_append(state["starts"], x["begin"]).alias("starts")))
+
+    starts = F.aggregate("mine", empty, take, lambda state: state["starts"])
+    groups = groups.withColumn("starts", F.when(F.size("mine") > 0, starts).otherwise(F.array(F.lit(0).cast("bigint"))))
+    spans = groups.select("*", F.posexplode("starts").alias("at", "start"))
+    stop = F.coalesce(F.get("starts", F.col("at") + 1), F.lit(2**62))
+    spans = spans.withColumn("span", F.filter("mine", lambda x: (x["begin"] >= F.col("start")) & (x["begin"] < stop)))
+    left = F.col("room") - F.aggregate("span", F.lit(0).cast("bigint"), lambda s, x: s + x["tokens"])
+    spans = spans.withColumn("from", F.col("start") - F.greatest(F.least(F.lit(history), left), F.lit(0)))
+    before = F.filter("t", lambda x: ~x["is_system"] & (x["end"] <= F.col("start")) & (x["begin"] >= F.col("from")))
+    # The system turn itself is in the window that it opens, and repeated in all others.
+    owned = (F.col("at") == 0) & (F.size("opening") > 0)
+    retained = F.when(F.col("system").isNotNull() & ~owned, F.array(F.struct(F.lit("system").alias("role"), F.col("system").alias("fmt"), F.col("system_tokens").alias("tokens"))))
+    slim = lambda turns: F.transform(turns, lambda x: F.struct(x["role"].alias("role"), x["fmt"].alias("fmt"), x["tokens"].alias("tokens")))
+    nothing = F.array().cast("array<struct<role:string,fmt:string,tokens:bigint>>")
+    repeated = F.concat(F.coalesce(retained, nothing), slim(before))
+    spans = spans.select(
         "conv_id",
-        "window",
-        F.array_join(F.transform("p", lambda x: x["fmt"]), "\n").alias("formatted"),
-        F.size(F.filter("p", lambda x: x["part"] < 2)).alias("own_from"),
-        loss.alias("loss"),
-        F.aggregate("p", F.lit(0).cast("bigint"), lambda s, x: s + x["tokens"]).alias("n_tokens"),
+        (F.col("number") * 2**32 + F.col("part") * 2**11 + F.col("at")).alias("window"),
+        repeated.alias("repeated"),
+        F.concat(F.when(owned, slim(F.col("opening"))).otherwise(nothing), slim(F.col("span"))).alias("own"),
+    )
+    texts = F.transform(F.concat("repeated", "own"), lambda x: x["fmt"])
+    head = F.aggregate("repeated", F.lit(0), lambda s, x: s + F.length(x["fmt"]) + 1)
+    # Where each of the window's own turns begins, and the assistant texts among them.
+    mark, close = len("[OUT] "), len(" </s>")
+    loss = F.aggregate(
+        "own",
+        F.struct(head.alias("at"), F.array().cast("array<struct<begin:int,length:int>>").alias("loss")),
+        lambda s, x: F.struct(
+            (s["at"] + F.length(x["fmt"]) + 1).alias("at"),
+            F.when(x["role"] == "assistant", F.array_append(s["loss"], F.struct((s["at"] + mark).alias("begin"), (F.length(x["fmt"]) - mark - close).alias("length")))).otherwise(s["loss"]).alias("loss"),
+        ),
+        lambda s: s["loss"],
     )
+    total = F.aggregate(F.concat("repeated", "own"), F.lit(0).cast("bigint"), lambda s, x: s + x["tokens"])
+    return spans.select("conv_id", "window", F.array_join(texts, "\n").alias("formatted"), F.size("repeated").alias("own_from"), loss.alias("loss"), total.alias("n_tokens"))
 
 
 def parsed(formatted: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .chat import BUDGET, HISTORY, LEAST_SPAN, TOKEN_BYTES
+from .chat import BLOCK, BUDGET, HISTORY, LEAST_SPAN, TOKEN_BYTES
 from .common import LETTERS
 from .licenses import CONTAINED, PHRASES, TEMPLATES
 
@@ -12,7 +12,7 @@ _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _CONTROL = r"(\\*(?:\[/?(?:SYS|INST|ROLE)\]|\[(?:OUT|TEXT)\]|</?s>))"
 _ESCAPED = rf"regexp_replace(text, '{_CONTROL}', '\\\1', 'g')"
 OP1 = rf"""
-WITH given AS (
+WITH RECURSIVE given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 turns AS (
@@ -21,22 +21,28 @@ turns AS (
       WHEN 'assistant' THEN '[OUT] ' || {_ESCAPED} || ' </s>'
       ELSE '[ROLE] ' || regexp_replace(role, '{_CONTROL}', '\\\1', 'g') || ' [TEXT] ' || {_ESCAPED} || ' [/ROLE]' END AS fmt
   FROM given),
-counted AS (SELECT *, CAST(ceil((strlen(fmt) + 1) / {TOKEN_BYTES}) AS BIGINT) AS tokens, n = 1 AND role = 'system' AS sys FROM turns),
-summed AS (SELECT *, max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS system_tokens,
-    sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY n) AS e FROM counted),
-placed AS (SELECT *, CASE WHEN sys THEN 0 ELSE e - tokens END AS b, greatest({LEAST_SPAN}, {BUDGET - HISTORY} - system_tokens) AS size FROM summed),
-owned AS (SELECT *, CASE WHEN sys THEN 0 WHEN floor(b / size) = floor((e - 1) / size) THEN 2 * floor(b / size) ELSE 2 * floor(b / size) + 1 END AS win FROM placed),
-spans AS (SELECT conv_id, win, min(b) AS start, bool_or(sys) AS has_system FROM owned GROUP BY conv_id, win),
+counted AS (SELECT *, coalesce('c' || conv_id, 'null') AS k, CAST(ceil((strlen(fmt) + 1) / {TOKEN_BYTES}) AS BIGINT) AS tokens, n = 1 AND role = 'system' AS sys,
+    coalesce(CAST(floor(turn / {BLOCK}) AS BIGINT), -9) AS blk FROM turns),
+summed AS (SELECT *, {BUDGET} - max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY k) AS room,
+    sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY k ORDER BY n) AS e,
+    (row_number() OVER (PARTITION BY k, blk ORDER BY n) - 1) // {BLOCK} AS sub, sum(CASE WHEN sys THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY n) AS m FROM counted),
+placed AS (SELECT *, e - tokens AS b, CASE WHEN room - {HISTORY} >= {LEAST_SPAN} THEN room - {HISTORY} ELSE greatest(room, 1) END AS lim FROM summed),
+plain AS (SELECT k, m, b, e, blk, sub, lim FROM placed WHERE NOT sys),
+walk AS (SELECT k, m, blk, sub, b AS start FROM plain WHERE m = 1
+  UNION ALL SELECT p.k, p.m, p.blk, p.sub, CASE WHEN p.e - w.start > p.lim OR p.blk <> w.blk OR p.sub <> w.sub THEN p.b ELSE w.start END
+  FROM walk w JOIN plain p ON p.k = w.k AND p.m = w.m + 1),
+spans AS (SELECT w.k, w.blk, w.sub, w.start, max(p.e) AS stop, min(p.m) = 1 AS head, min(p.room) AS room FROM walk w JOIN placed p ON p.k = w.k AND p.m = w.m AND NOT p.sys GROUP BY ALL),
 pieces AS (
-  SELECT conv_id, win, fmt FROM owned
-  UNION ALL SELECT s.conv_id, s.win, o.fmt FROM spans s JOIN owned o ON o.conv_id = s.conv_id
-    AND NOT o.sys AND o.tokens <= {HISTORY} AND o.e <= s.start AND o.b >= s.start - {HISTORY}
-  UNION ALL SELECT s.conv_id, s.win, o.fmt FROM spans s JOIN owned o ON o.conv_id = s.conv_id AND o.sys WHERE NOT s.has_system),
-sizes AS (SELECT conv_id, sum(c) AS formatted_chars, count(*) AS n_windows FROM (SELECT conv_id, win, sum(length(fmt)) + count(*) - 1 AS c FROM pieces GROUP BY conv_id, win) GROUP BY conv_id),
+  SELECT w.k, w.start, p.fmt FROM walk w JOIN placed p ON p.k = w.k AND p.m = w.m AND NOT p.sys
+  UNION ALL SELECT s.k, s.start, p.fmt FROM spans s JOIN placed p ON p.k = s.k AND NOT p.sys
+    AND p.e <= s.start AND p.b >= s.start - greatest(0, least({HISTORY}, s.room - (s.stop - s.start)))
+    AND ((p.blk = s.blk AND p.sub >= s.sub - 1) OR (s.sub = 0 AND p.blk = s.blk - 1 AND ((p.turn % {BLOCK}) + {BLOCK}) % {BLOCK} >= {BLOCK - HISTORY}))
+  UNION ALL SELECT p.k, coalesce(s.start, 0), p.fmt FROM placed p LEFT JOIN spans s ON s.k = p.k WHERE p.sys),
+sizes AS (SELECT k, sum(c) AS formatted_chars, count(*) AS n_windows FROM (SELECT k, start, sum(length(fmt)) + count(*) - 1 AS c FROM pieces GROUP BY k, start) GROUP BY k),
 texts AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
   coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY n), '') AS loss FROM turns GROUP BY conv_id)
 SELECT t.conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars, n_windows
-FROM texts t JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM t.conv_id
+FROM texts t JOIN sizes s ON s.k = coalesce('c' || t.conv_id, 'null')
 """
 
 _RULES = [("www.example.com", "/en/", "allow"), ("example.com", "/en/", "block"), ("net", "/es/", "block"), ("net", "/fr/", "block"), ("com", "/", "allow")]

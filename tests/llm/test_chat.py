@@ -51,6 +51,43 @@ def test_budget_history_and_mask(spark):
     assert read_back(spark, rows) == truth(rows)
 
 
+def test_budget_with_turns_of_hundreds_of_tokens(spark):
+    """Long turns and a long system turn keep the budget unless one turn and the system turn alone exceed it."""
+    rnd = random.Random(3)
+    for system, largest in ((0, 500), (200, 300), (450, 500)):
+        rows = [(1, 0, "system", "s" * (4 * system - 12))] if system else []
+        rows += [(1, k, "user" if k % 2 else "assistant", "t" * (4 * rnd.randint(300 if largest > 300 else 20, largest) - 16)) for k in range(1, 300)]
+        for w in chat.windows(spark.createDataFrame(rows, SCHEMA)).collect():
+            turns = w.formatted.split("\n")
+            others = sum(not t.startswith("[SYS]") for t in turns)  # besides the system turn
+            assert w.n_tokens == sum(-(-(len(t) + 1) // 4) for t in turns)
+            assert w.n_tokens <= chat.BUDGET or others == 1, (w.n_tokens, others)
+        assert read_back(spark, rows) == truth(rows)
+
+
+def test_windows_are_well_filled(spark):
+    rnd = random.Random(4)
+    rows = [(1, k, "user" if k % 2 else "assistant", "word " * rnd.randint(4, 100)) for k in range(3000)]
+    sizes = [r.n_tokens for r in chat.windows(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert max(sizes) <= chat.BUDGET and sum(sizes) / len(sizes) > 0.8 * chat.BUDGET
+
+
+def test_many_turns_of_one_number(spark):
+    """A block of more turns than fit one part, blocks apart from each other, and no turn numbers."""
+    rows = [(1, 5, "user", f"q {k:05d}") for k in range(3000)] + [(1, 10**15, "assistant", "late"), (1, 10**15 + 1500, "user", "later")]
+    rows += [(None, None, "assistant", f"a {k:05d}") for k in range(2500)] + [(2, -3000 + k, "user", str(k)) for k in range(5000)]
+    assert read_back(spark, rows) == truth(rows)
+    assert chat.windows(spark.createDataFrame(rows, SCHEMA)).agg(F.max("n_tokens")).first()[0] <= chat.BUDGET
+
+
+def test_who_is_the_system_turn(spark):
+    rows = [(1, 0, "system", "b"), (1, 0, "system", "a"), (1, 1, "user", "x"), (2, 0, "assistant", "first"), (2, 0, "system", "second"), (3, 1, "user", "x"), (3, 2, "system", "no"), (4, 0, "system", "alone"), (5, None, "system", "null"), (5, 0, "user", "x")]
+    found = {r.conv_id: r.formatted for r in chat.windows(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[1] == "[SYS] a [/SYS]\n[SYS] b [/SYS]\n[INST] x [/INST]" and found[4] == "[SYS] alone [/SYS]"
+    assert found[2].startswith("[OUT] first") and found[3].startswith("[INST] x") and found[5].startswith("[SYS] null")
+    assert read_back(spark, rows) == truth(rows)
+
+
 def test_one_turn_larger_than_the_budget(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "long " * 5000), (1, 2, "user", "r"), (1, 3, "assistant", "s")]
     assert read_back(spark, rows) == truth(rows)
