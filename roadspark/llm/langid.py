@@ -7,14 +7,19 @@ so that samples of different sizes compare; the least cost wins.
 
 The automaton is a table over (state, symbol). Where no longer match exists the entry holds,
 bit-inverted, the state after a fresh start, so that a parse is one table look-up a symbol
-and many texts are parsed side by side. Texts are cut into segments of SEGMENT symbols for
-that; each segment starts a phrase.
+and many texts are parsed side by side. For that, texts are cut into segments of SEGMENT
+symbols; afterwards the state at a segment's end is carried into the next one, which is
+parsed again until both parses are in the same state, so the phrases are those of the whole
+text.
 
 Symbols are the bytes of the lower-cased text, other ASCII than letters being one symbol
-that does not repeat. The sample of a language is bounded (SAMPLE symbols, from texts chosen by
-a hash); prediction covers every text whole. Texts that are null or have no letter are
-``und`` with score 0, and so is every text if nothing was learned. Null labels are not
-learned from. Repeated rows and null ids are predicted each; empty tables stay empty.
+that does not repeat. The sample of a language is bounded: TEXTS rows chosen by a hash of id
+and text give an equal share of SAMPLE symbols, each from a place in its text that the hash
+chooses (fewer symbols if there are so many languages that the tables would exceed
+TABLE_BYTES); more than LANGUAGES languages are an error. Prediction covers every text whole.
+Texts that are null or have no letter are ``und`` with score 0, and so is every text if
+nothing was learned. Null labels are not learned from. Repeated rows and null ids are
+predicted each, and equal rows are learned from once; empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -24,22 +29,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, free_name, not_held_out, received, ship, text_slices
 
 #: Bound on the labelled symbols a language's automaton is built from.
 SAMPLE = 32_768
-#: Texts asked for from each language to reach it.
+#: Rows of each language that share it.
 TEXTS = 60
-#: Bound on the number of languages.
+#: Bound on the number of languages, and on the bytes of all their tables, which are broadcast.
 LANGUAGES = 512
+TABLE_BYTES = 256 << 20
 SEGMENT = 512
+#: Text bytes that are parsed at a time (a longer text is parsed alone).
+SLICE = 1 << 20
 #: How sharply a difference of a bit a symbol counts in the score.
 SHARPNESS = 10.0
-#: Predictions that score less are rejected by :func:`accepted`.
-LEAST_SCORE = 0.25
+#: Bits that a symbol takes as it is; a text that the best language's sample describes in no
+#: fewer is in no known language.
+SYMBOL_BITS = 8
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -86,16 +95,66 @@ def automaton(sample: np.ndarray) -> list[dict[int, int]]:
 
 
 def parse_table(sample: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
-    """The automaton as a flat table over alphabet columns; states are multiplied by its width."""
+    """The automaton as a flat table over alphabet columns; states are multiplied by its width.
+
+    The last state stands before a phrase: every symbol begins one there. A symbol that the
+    sample lacks is a phrase of its own, with the next phrase to begin after it.
+    """
     width = int(alphabet.max()) + 1
     steps = automaton(alphabet[sample])
-    table = np.full((len(steps), width), -1, np.int32)
+    table = np.full((len(steps) + 1, width), -1, np.int32)
     for state, known in enumerate(steps):
         table[state, list(known)] = list(known.values())
-    fresh = np.maximum(table[0], 0) * width
+    fresh = np.where(table[0] >= 0, table[0], len(steps)) * width
     return np.where(table >= 0, table * width, ~fresh).astype(np.int32).ravel()
 
 
+def _segments(table: np.ndarray, fresh: int, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, live: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Phrases that begin in each segment, in one language."""
+    state, count = np.full(len(begin), fresh, np.int32), np.zeros(len(begin), np.int64)
+    passed = []  # the state of every segment after each symbol
+    for k, n in enumerate(live.tolist()):
+        if not n:
+            break
+        found = table[state[:n] + flat[begin[:n] + k]]
+        sign = found >> 31
+        count[:n] -= sign
+        state[:n] = found ^ sign
+        passed.append(state[:n].copy())
+    # Segments that follow another start in its last state instead, until both parses agree.
+    source = np.flatnonzero(following >= 0)
+    starts = np.full(len(begin), fresh, np.int32)
+    while len(source):
+        where, given = following[source], state[source]
+        open_ = starts[where] != given
+        where, given = where[open_], given[open_]
+        old, starts[where] = starts[where], given
+        changed = []
+        for k in range(SEGMENT):
+            inside = length[where] > k
+            if not inside.all():
+                ended = where[~inside]
+                state[ended] = given[~inside]
+                changed.append(ended)
+                where, given, old = where[inside], given[inside], old[inside]
+            if not len(where):
+                break
+            symbol = flat[begin[where] + k]
+            found, before = table[given + symbol], table[old + symbol]
+            sign = found >> 31
+            count[where] += (before >> 31) - sign
+            given, old = found ^ sign, passed[k][where]
+            passed[k][where] = given
+            apart = given != old
+            where, given, old = where[apart], given[apart], old[apart]
+        if len(where):  # apart through a whole segment
+            state[where] = given
+            changed.append(where)
+        source = np.concatenate(changed) if changed else where
+        source = source[following[source] >= 0]
+    return count
+
+
 class Model:
     """Parse tables of all languages."""
 
@@ -107,6 +166,7 @@ class Model:
         # Column 0 is for symbols that no sample has; they begin no phrase anywhere.
         self.alphabet = np.where(used, np.cumsum(used), 0).astype(np.int32)
         self.tables = [parse_table(samples[x], self.alphabet) for x in self.languages]
+        self.begin = [len(t) - int(self.alphabet.max()) - 1 for t in self.tables]
         self.bits = np.array([np.log2(len(samples[x]) + 2) for x in self.languages])
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -117,78 +177,93 @@ class Model:
         begin = (np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)) * SEGMENT + np.repeat(np.cumsum(sizes) - sizes, parts)
         length = np.minimum(SEGMENT, np.repeat(np.cumsum(sizes), parts) - begin)
         order = np.argsort(-length, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        after = np.append(owner[1:] == owner[:-1], False)
+        # Of each segment, by length: where its text's next one is among them (-1: nowhere).
+        following = np.where(after[order], rank[np.minimum(order + 1, len(order) - 1)], -1) if len(order) else order
         owner, begin, length = owner[order], begin[order], length[order]
         flat = self.alphabet[np.concatenate(texts)] if texts else np.zeros(0, np.int32)
         live = np.searchsorted(-length, -np.arange(1, SEGMENT + 1), "right")
         out = np.zeros((len(texts), len(self.languages)), np.int64)
-        states = [np.zeros(len(owner), np.int32) for _ in self.tables]
-        counts = [np.ones(len(owner), np.int32) for _ in self.tables]
-        for k in range(SEGMENT):
-            n = live[k]
-            if not n:
-                break
-            symbol = flat[begin[:n] + k]
-            for table, state, count in zip(self.tables, states, counts):
-                found = table[state[:n] + symbol]
-                sign = found >> 31
-                count[:n] -= sign
-                state[:n] = found ^ sign
-        for j, count in enumerate(counts):
-            out[:, j] = np.bincount(owner, count, len(texts)).astype(np.int64)
+        for j, (table, fresh) in enumerate(zip(self.tables, self.begin)):
+            out[:, j] = np.bincount(owner, _segments(table, fresh, flat, begin, length, live, following), len(texts)).astype(np.int64)
         return out
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Each text's language, its score, and whether the text is in a known language at all."""
         lettered = np.array([bool(t) and _LETTER.search(t) is not None for t in texts], bool)
-        found, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+        found, score, known = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         if not self.languages or not lettered.any():
-            return found, score
+            return found, score, known
         rows = np.flatnonzero(lettered)
         coded = [symbols(texts[k]) for k in rows]
         sizes = np.maximum([len(x) for x in coded], 1)
-        cost = self.phrases(coded) * self.bits / sizes[:, None]
+        phrases = self.phrases(coded)
+        cost = phrases * self.bits / sizes[:, None]
         best = cost.argmin(1)
         weight = np.exp(-SHARPNESS * (cost - cost.min(1, keepdims=True)))
         score[rows] = 1 / weight.sum(1)
         for k, b in zip(rows, best):
             found[k] = self.languages[b]
-        return found, score
+        # The text's end cuts its last phrase short: that one does not count against it.
+        known[rows] = (phrases[np.arange(len(rows)), best] - 1) * self.bits[best] < SYMBOL_BITS * sizes
+        return found, score, known
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", learnable: Column | None = None) -> Model:
     """Build the automata from a bounded sample of the labelled rows that may be learned from."""
     rule = not_held_out(F.col(id_column)) if learnable is None else learnable
     rows = docs.where(rule & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
-    counts = rows.groupBy(lang_column).count().orderBy(F.desc("count"), lang_column).limit(LANGUAGES).collect()
+    counts = rows.groupBy(F.col(lang_column).alias("lang")).count().limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     if not counts:
         return Model({})
-    order = F.pmod(F.xxhash64(id_column, F.lit(2)), F.lit(1 << 30))
-    bound = F.create_map(*[F.lit(x) for r in counts for x in (r[0], min(1 << 30, int((1 << 30) * TEXTS / r[1])))])
-    chosen = rows.where(order < F.element_at(bound, F.col(lang_column))).select(F.col(lang_column).alias("lang"), order.alias("order"), F.substring(text_column, 1, SAMPLE).alias("text"))
-    found: dict[str, list] = {}
-    for r in sorted(chosen.collect()):
-        found.setdefault(r[0], []).append(symbols(r[2] + " "))
-    samples = {k: np.concatenate(v)[:SAMPLE] for k, v in found.items()}
+    # A state and its clone for each symbol, at most, with a column for each of 155 symbols.
+    size = min(SAMPLE, TABLE_BYTES // (len(counts) * 2 * 155 * 4))
+    order = F.xxhash64(id_column, text_column)
+    place, lang = F.pmod(order, F.lit(1 << 30)), F.col(lang_column)
+    by_language = lambda value: F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r[0], value(r[1]))]), lang)
+    chosen = rows.where(place <= by_language(lambda n: min(1 << 30, 2 * TEXTS * (1 << 30) // n)))
+    # An equal share of each text, with room for symbols of several bytes and dropped ones.
+    share = by_language(lambda n: -(-2 * size // min(n, TEXTS)))
+    start = 1 + F.pmod(F.xxhash64(order), F.greatest(F.lit(1), F.length(text_column) - share + 1))
+    chosen = chosen.select(lang.alias("lang"), order.alias("order"), F.substring(F.col(text_column), start.cast("int"), share).alias("text")).dropDuplicates(["lang", "order"])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    taken: dict[str, list] = {}
+    for r in chosen.withColumn("first", first).where(F.col("first") <= TEXTS).orderBy("lang", "order").collect():
+        taken.setdefault(r[0], []).append(symbols(r[2] + " "))
+    samples = {}
+    for k, v in taken.items():
+        each = -(-size // len(v))
+        samples[k] = np.concatenate([x[:each] for x in v])[:size]
     return Model({k: v for k, v in samples.items() if len(v)})
 
 
 def predict(docs: DataFrame, model: Model, text_column: str = "text") -> tuple[DataFrame, str, str]:
     """All columns, the predicted language and its score; the new columns' names are returned too."""
+    found, lang, score, known = _judged(docs, model, text_column)
+    return found.drop(known), lang, score
+
+
+def _judged(docs: DataFrame, model: Model, text_column: str) -> tuple[DataFrame, str, str, str]:
     bounded_batches(docs.sparkSession)
-    lang, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    lang, score, known = free_name(docs, "lang_pred"), free_name(docs, "score"), free_name(docs, "known")
     shared = ship(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = received(Model, shared)
         for batch in batches:
-            for part, _, _ in text_slices(batch, text_column):
-                found, scores = own.predict(part.column(text_column).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(scores)], [*part.schema.names, lang, score])
+            for part, _, _ in text_slices(batch, text_column, SLICE):
+                found, scores, sure = own.predict(part.column(text_column).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.string()), pa.array(scores), pa.array(sure)], [*part.schema.names, lang, score, known])
 
-    schema = docs.sparkSession.createDataFrame([], docs.schema).selectExpr("*", f"cast(null as string) as `{lang}`", f"cast(null as double) as `{score}`").schema
-    return docs.mapInArrow(run, schema), lang, score
+    schema = docs.sparkSession.createDataFrame([], docs.schema).selectExpr("*", f"cast(null as string) as `{lang}`", f"cast(null as double) as `{score}`", f"cast(null as boolean) as `{known}`").schema
+    return docs.mapInArrow(run, schema), lang, score, known
 
 
 def accepted(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """The documents whose language is known well enough."""
-    found, lang, score = predict(docs, model, text_column)
-    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= LEAST_SCORE)).drop(lang, score)
+    """The documents of a known language; ``und`` ones go, and those that no sample explains."""
+    found, lang, score, known = _judged(docs, model, text_column)
+    return found.where(known).drop(lang, score, known)

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from roadspark.llm import langid
@@ -21,14 +22,19 @@ def greedy(sample: bytes, text: bytes) -> int:
     return count
 
 
-def test_phrases_equal_brute_force():
+def test_phrases_equal_brute_force(monkeypatch):
     rnd = random.Random(3)
     word = lambda n: "".join(rnd.choice("abc ") for _ in range(n))
     samples = {"x": langid.symbols(word(300)), "y": langid.symbols(word(200) + "ddd")}
     model = langid.Model(samples)
     texts = [langid.symbols(word(rnd.randint(1, 900)) + rnd.choice(["", "d", "éq"])) for _ in range(40)]
-    expected = [[sum(greedy(samples[k].tobytes(), t[s : s + langid.SEGMENT].tobytes()) for s in range(0, len(t), langid.SEGMENT)) for k in model.languages] for t in texts]
+    unknown = "éqé"
+    texts += [langid.symbols("".join(rnd.choice("abd" + unknown) for _ in range(n))) for n in (1, 2, 3, 9, 600, 2100)] + [langid.symbols("q"), langid.symbols("éé"), langid.symbols("ab" * 1500)]
+    expected = [[greedy(samples[k].tobytes(), t.tobytes()) for k in model.languages] for t in texts]
     assert model.phrases(texts).tolist() == expected
+    for segment in (1, 2, 7):  # whatever the cuts
+        monkeypatch.setattr(langid, "SEGMENT", segment)
+        assert model.phrases(texts).tolist() == expected
 
 
 def test_held_out_accuracy(spark):
@@ -51,3 +57,21 @@ def test_odd_rows(spark):
     none = docs.limit(0)
     assert langid.predict(none, langid.train(none))[0].count() == 0
     assert {r[0] for r in langid.predict(docs, langid.train(none))[0].select("lang_pred_").collect()} == {"und"}
+
+
+def test_what_is_no_known_language_goes(spark):
+    rows = [(k, "the cat and the dog sat on a mat " * 3 + str(k), "en") for k in range(20)] + [(50, "это совсем другой язык и письмо", None), (51, "a", None), (52, "dog", None), (53, "12", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in langid.accepted(docs, langid.train(docs, learnable=F.lit(True))).collect()}
+    assert kept == {*range(20), 51, 52}
+
+
+def test_bounded_training(spark, monkeypatch):
+    """Rows that repeat count once, each row gives its share, and more languages than the bound are an error."""
+    rows = [(1, "the dog " * 50_000, "en")] * 300 + [(k, f"a cat number {k} sat on the mat", "en") for k in range(2, 40)] + [(99, "der hund und die katze " * 20, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, learnable=F.lit(True))
+    assert model.languages == ["de", "en"] and model.predict(["a cat sat on the mat", "die katze"])[0] == ["en", "de"]
+    monkeypatch.setattr(langid, "LANGUAGES", 1)
+    with pytest.raises(ValueError, match="languages"):
+        langid.train(docs, learnable=F.lit(True))
