@@ -9,9 +9,11 @@ matches, whose longest per item and document is returned with its location.
 A window is ``size`` consecutive words of an item; a shorter item, but not an empty one, is
 one window. Words are runs of ASCII letters (lower-cased), digits and non-ASCII characters.
 
-The benchmark's size is checked: at most BLOCK_BYTES of its text are broadcast at a time, a
-larger one makes several passes, each adding to the same column. Null texts have no words.
-Item ids that repeat count once; a null item id is written as ``null``. Repeated and
+The benchmark's size is checked: the index of at most BLOCK_BYTES of its text is broadcast at
+a time (INDEX_BYTES bounds the index itself; a single item beyond it is an error), a larger
+benchmark makes several passes, each adding to the same column. Words are compared by 64-bit
+hashes. Null texts have no words. Item ids that repeat count once; a null item id is written
+as ``null``, and an item whose id is that word is the same item. Repeated and
 null-id documents are judged row by row, and all their columns stay. Empty tables are fine:
 without items nothing is hit.
 """
@@ -30,8 +32,10 @@ from .common import bounded_batches, free_name, received, ship, text_slices
 from .words import split_words
 
 WINDOW = 13
-#: Benchmark text in one broadcast.
-BLOCK_BYTES = 16 << 20
+#: Benchmark text in one broadcast, and the bytes of its index at most.
+BLOCK_BYTES, INDEX_BYTES = 4 << 20, 256 << 20
+#: Document text that becomes a suffix array at a time (a longer text is one of its own).
+SHARD_BYTES = 2 << 20
 STATE = "struct<n_words:bigint,n_hit:bigint,matches:array<struct<item_id:string,item_start:int,doc_start:int,length:int>>,hits:array<struct<begin:int,end:int>>>"
 STATE_ARROW = pa.struct(
     [
@@ -56,12 +60,15 @@ class Items:
         self.vocabulary = np.unique(words)
         numbers = np.searchsorted(self.vocabulary, words) + 1
         windows = np.where(counts >= size, counts - size + 1, (counts > 0).astype(int))
-        self.item = np.repeat(np.arange(len(texts)), windows)
-        self.start = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-        self.length = np.minimum(counts, size)[self.item]
+        self.item = np.repeat(np.arange(len(texts), dtype=np.int32), windows)
+        self.start = (np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
+        self.length = np.minimum(counts, size).astype(np.int16)[self.item]
         self.shortest = int(self.length.min()) if len(self.length) else 0
         self.bits = max(1, int(math.ceil(math.log2(len(self.vocabulary) + 2))))
         self.low, self.high = (pack_keys(np.append(numbers, 0), at[self.item] + self.start, self.length, size, self.bits, fill) for fill in (False, True))
+        held = sum(x.nbytes for x in (self.vocabulary, self.item, self.start, self.length, *self.low, *self.high))
+        if held > INDEX_BYTES:
+            raise ValueError(f"the index of one block of the benchmark takes {held} bytes of {INDEX_BYTES}")
 
 
 def pack_keys(numbers: np.ndarray, places: np.ndarray, lengths: np.ndarray, size: int, bits: int, fill: bool) -> list[np.ndarray]:
@@ -138,7 +145,7 @@ def _pass(items_var, column: str, state: str, first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = received(Items, items_var)
         for batch in batches:
-            for part, data, bounds in text_slices(batch, column):
+            for part, data, bounds in text_slices(batch, column, SHARD_BYTES):
                 words, word_at = split_words(data, bounds)
                 window, place, length = shard_matches(items, words, word_at)
                 doc = np.searchsorted(word_at, place, "right") - 1

@@ -1,17 +1,16 @@
 """License notices by an exact set-similarity join (op 6), in DataFrame operations only.
 
-A text's blocks are its lines. A block matches a template when it holds at least CONTAINED of
-the template's distinct words. The join is exact and filters by prefix, length and position:
-template words are ordered by how often the whole corpus uses them, rarest first; a match
-must hold one of a template's first (size - needed + 1) words, so only blocks with such a
-word meet the template; their first common word's places on both sides and the block's size
-bound the overlap; what is left is counted.
-
-Lines alone lose notices that are wrapped over several lines, and take words scattered over
-a long line for a notice. With ``wrapped`` the blocks are therefore runs of consecutive words
-of the whole text, whatever its line breaks: every run of SPAN times as many words as the
-template has. Each match holds a prefix word, so only the surroundings of prefix words are
-looked at, and those are looked at whole.
+A text's blocks are runs of consecutive words, whatever its line breaks: for each template
+every run of SPAN times as many words as the template has (or the whole text, if that is
+shorter). So notices that are wrapped over lines are found, and words scattered over a long
+line are none. A block matches a template when it holds at least CONTAINED of the template's
+distinct words. The join is exact and filters by prefix, length and position: template words
+are ordered by how often the whole corpus uses them, rarest first; a match must hold one of a
+template's first (size - needed + 1) words, so only the surroundings of such a word meet the
+template, and those are looked at whole; what is left is counted.
+
+With ``wrapped=False`` the blocks are lines instead: their first common word's places on both
+sides and the line's size bound the overlap before it is counted.
 
 Besides, base phrases are found wherever their words stand consecutively in the text.
 
@@ -146,11 +145,11 @@ def phrase_places(words: Column, phrase: str) -> Column:
     return F.filter(starts, here)
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, contained: float = CONTAINED, wrapped: bool = False) -> DataFrame:
+def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, contained: float = CONTAINED, wrapped: bool = True) -> DataFrame:
     """Per document: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     The score is the best containment of a template in a block, 0 without a match. Blocks
-    are lines, or with ``wrapped`` runs of words.
+    are runs of words, or lines if not ``wrapped``.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     keys = [F.xxhash64("id", "text").alias("key1"), F.xxhash64("text", F.lit(6)).alias("key2")]

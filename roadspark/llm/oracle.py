@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .chat import BLOCK, BUDGET, HISTORY, LEAST_SPAN, TOKEN_BYTES
 from .common import LETTERS
-from .licenses import CONTAINED, PHRASES, TEMPLATES
+from .licenses import CONTAINED, PHRASES, SPAN, TEMPLATES
 
 _LOW = f"translate(coalesce(text, ''), '{LETTERS}', '{LETTERS.lower()}')"
 _WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -92,11 +92,16 @@ def _named(label: str, phrase: str) -> str:
 
 _ALL_PLACES = "flatten([" + ", ".join(_place_list(p) for p, _ in PHRASES) + "])"
 _TEMPLATE_ROWS = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(TEMPLATES))
-OP6 = rf"""
+_WITH = rf"""
 WITH d AS (SELECT doc_id, {_LOW} AS low, {_WORDS} AS w FROM documents),
-templates AS (SELECT label, list_distinct(string_split(text, ' ')) AS t FROM (VALUES {_TEMPLATE_ROWS}) AS v(k, label, text)),
-blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b FROM d, unnest(string_split(low, chr(10))) AS r(line)),
-matched AS (SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS part FROM blocks, templates WHERE len(list_intersect(b, t)) >= ceil({CONTAINED} * len(t) - 1e-9)),
+templates AS (SELECT label, {SPAN} * len(string_split(text, ' ')) AS span, list_distinct(string_split(text, ' ')) AS t FROM (VALUES {_TEMPLATE_ROWS}) AS v(k, label, text)),
+"""
+_RUNS = "blocks AS (SELECT doc_id, label, t, list_distinct(w[i : i + span - 1]) AS b FROM d, templates, unnest(range(1, greatest(len(w) - span, 0) + 2)) AS r(i)),"
+_LINES = r"""
+lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b FROM d, unnest(string_split(low, chr(10))) AS r(line)),
+blocks AS (SELECT doc_id, label, t, b FROM lines, templates),"""
+_REST = rf"""
+matched AS (SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS part FROM blocks WHERE len(list_intersect(b, t)) >= ceil({CONTAINED} * len(t) - 1e-9)),
 found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(part) AS score FROM matched GROUP BY doc_id),
 base AS (SELECT doc_id, len(w) AS n_words, {_ALL_PLACES} AS p, list_filter([{", ".join(_named(label, p) for p, label in PHRASES)}], lambda x: x IS NOT NULL) AS named FROM d)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_base, CAST(list_min(p) AS BIGINT) AS first_word, CAST(list_max(p) AS BIGINT) AS last_word,
@@ -104,6 +109,7 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(p) AS BIGINT) AS n_b
   coalesce(score, 0.0) AS score
 FROM base LEFT JOIN found USING (doc_id)
 """
+OP6, OP6_LINES = _WITH + _RUNS + _REST, _WITH + _LINES + _REST
 
 OP7 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\x20\x09-\x0D]+') AS w FROM documents),

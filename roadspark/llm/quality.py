@@ -7,8 +7,8 @@ the weights, so a document's score is its log-odds of being preferred. The cut i
 quantile of the labelled scores: the quantile that best separates the labels. Scores map to
 (0, 1) by a logistic curve whose value at the cut is CUT.
 
-Training rows are a bounded sample (MAX_LABELLED rows at most, chosen by a hash of the id);
-scoring covers every text whole. Null text is empty; an empty text has a score like any
+Training rows are a bounded sample (MAX_LABELLED ids at most, chosen by a hash of the id, one
+row each); scoring covers every text whole. Null text is empty; an empty text has a score like any
 other. Labels that are null or contradict each other for a doc_id are not used; without
 labels of both kinds all documents score 0.5. Repeated rows and rows with a null id are
 scored each; an empty table gives an empty table.
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, free_name, not_held_out, text_slices
 from .words import SPACED, split_words
 
+#: Text bytes that are looked at at a time (a longer text is looked at alone).
+SLICE = 1 << 20
 #: Bound on the labelled rows that are learned from.
 MAX_LABELLED = 20_000
 #: Preference pairs drawn for each step of the fit.
@@ -136,7 +138,7 @@ def scores(model: dict, x: np.ndarray) -> np.ndarray:
 
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, data, bounds in text_slices(batch, "text"):
+        for part, data, bounds in text_slices(batch, "text", SLICE):
             x = features(data, bounds)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
 
@@ -150,6 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     share = min(1.0, 0.9 * max_labelled / total)
     sample = agreed.where(F.pmod(F.xxhash64("label_id", F.lit(8)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(max_labelled)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(sample), F.col("id") == F.col("label_id"))
+    # Of rows that repeat an id one is learned from, so what reaches the driver is bounded.
+    rows = rows.groupBy("label_id").agg(F.first("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
     found = rows.select("y", "text").mapInArrow(_vectors, "y int, x array<double>").toArrow()
     y = found.column("y").to_numpy()
     x = np.array(found.column("x").to_pylist(), float) if len(y) else features(np.zeros(0, np.uint8), np.zeros(2, np.int64))[:0]
@@ -165,7 +169,7 @@ def score(docs: DataFrame, model: dict, text_column: str = "text") -> tuple[Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, bounds in text_slices(batch, text_column):
+            for part, data, bounds in text_slices(batch, text_column, SLICE):
                 found = scores(shared.value, features(data, bounds))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, name])
 

@@ -49,8 +49,9 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-def op6_licenses_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
+def op6_licenses_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with lines as blocks."""
+    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=False)
 
 
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +79,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_token_store": op5_token_store,
     "op6_licenses": op6_licenses,
-    "op6_licenses_wrapped": op6_licenses_wrapped,
+    "op6_licenses_lines": op6_licenses_lines,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,
@@ -90,5 +91,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_url_filter": oracle.OP3,
     "op4_decontamination": oracle.OP4,
     "op6_licenses": oracle.OP6,
+    "op6_licenses_lines": oracle.OP6_LINES,
     "op7_near_duplicates": oracle.OP7,
 }

@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from roadspark.llm import decontam
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -74,3 +76,17 @@ def test_filter_keeps_columns_and_empty_tables(spark):
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b", 2)]
     assert decontam.decontaminate(docs.limit(0), items).count() == 0
     assert decontam.decontaminate(docs, items.limit(0)).count() == 2
+
+
+def test_the_index_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 1000)
+    items = [(k, " ".join(f"w{j}" for j in range(k, k + 20))) for k in range(30)]
+    with pytest.raises(ValueError, match="index"):
+        run(spark, [(1, "w1 w2")], items)
+    assert run(spark, [(1, items[3][1])], items[:2], block_bytes=100) == plain([(1, items[3][1])], items[:2])
+
+
+def test_null_and_the_word_null_are_one_item(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c"), ("null", "d e f")], "item_id string, text string")
+    assert {(r.doc_id, r.n_items, r.items_sha256) for r in decontam.verdicts(docs, items).collect()} == {(k, 1, hashlib.sha256(b"null").hexdigest()) for k in (1, 2)}

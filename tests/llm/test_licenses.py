@@ -29,7 +29,7 @@ def plain(text):
     return len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score
 
 
-def test_against_plain_python(spark):
+def test_lines_against_plain_python(spark):
     rnd = random.Random(5)
     texts = [None, "", "mit license", "MIT  License-mit license cc by CC-BY cc by", "mit\nlicense", "the permit license", "émit license", "Kmit license", "mit licenseé"]
     for _, template in licenses.TEMPLATES:
@@ -39,7 +39,7 @@ def test_against_plain_python(spark):
             texts += [", ".join(some), "pad line\n" + " ".join(some) + " more words " * rnd.randint(0, 9) + "\nend", "\n".join(some)]
     texts.append("word " * 100_000 + "\nreleased under the mit license")
     docs = spark.createDataFrame([(rnd.choice([k, None, 1]), t, k) for k, t in enumerate(texts)] * 2, "doc_id long, text string, labels int")
-    got = sorted((str(tuple(r)[1:]) for r in licenses.scan(docs).collect()))
+    got = sorted((str(tuple(r)[1:]) for r in licenses.scan(docs, wrapped=False).collect()))
     assert got == sorted(str(plain(t)) for t in texts * 2)
 
 
@@ -48,8 +48,9 @@ def test_empty_table(spark):
 
 
 def test_no_python_in_the_plan(spark):
-    plan = licenses.scan(spark.createDataFrame([(1, "mit license")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|MapInArrow", plan)
+    for wrapped in (True, False):
+        plan = licenses.scan(spark.createDataFrame([(1, "mit license")], "doc_id long, text string"), wrapped=wrapped)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|MapInArrow", plan)
 
 
 def plain_wrapped(text):
@@ -77,6 +78,6 @@ def test_wrapped_notices(spark):
             some = [x for w in rnd.sample(words, max(0, len(words) - drop)) for x in [w] + ["pad"] * rnd.choice([0, 0, 1, 2, 3])]
             texts += ["\n".join(some), "pad " * rnd.randint(0, 80) + "\r\n * ".join(some).upper() + "\nend" * rnd.randint(0, 80)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, wrapped=True).collect()}
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs).collect()}
     assert got == {k: plain_wrapped(t) for k, t in enumerate(texts)}
     assert [got[k][0] for k in range(2, 8)] == ["mit", "bsd", "gpl", "reserved", "", "mit"]
