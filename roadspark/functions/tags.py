@@ -19,7 +19,7 @@ def is_value(value: Column, *wanted: str) -> Column:
 
 
 def _class_of(value: Column, classes: dict[str, str], otherwise: Column) -> Column:
-    table = F.create_map(*[F.lit(x) for name, members in classes.items() for m in members.split() for x in (m, name)])
+    table = F.create_map(*[F.lit(x) for pair in classes.items() for x in pair])
     return F.coalesce(table[value], otherwise)
 
 
@@ -49,6 +49,16 @@ def way_id_of(feature_id: Column) -> Column:
     return F.nullif(F.regexp_extract(feature_id, "^w([0-9]+)", 1), F.lit("")).try_cast("bigint")
 
 
+#: What counts as white space at the ends of a value: that of Unicode's separators and of
+#: ASCII's controls, and the byte order mark.
+_BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
+
+
+def trimmed(value: Column) -> Column:
+    """The value without white space at its ends."""
+    return F.regexp_replace(value, f"^{_BLANK}|{_BLANK}$", "")
+
+
 def split_values(value: Column) -> Column:
-    """The values of a tag that lists several, trimmed of any white space."""
-    return F.transform(F.split(value, ";"), lambda v: F.regexp_replace(v, r"^[\s ﻿]+|[\s ﻿]+$", ""))
+    """The values of a tag that lists several, trimmed."""
+    return F.transform(F.split(value, ";"), trimmed)

@@ -38,6 +38,14 @@ def bridge_rows() -> Column:
     return F.when(f.is_line() & f.bridge_or_tunnel(), F.array(_calming_row(kind, _first(), F.element_at("pts", -1), way_id_of(F.col("id")))))
 
 
+def calming_rules() -> list[Column]:
+    return [calming_rows(), camera_rows(), bridge_rows()]
+
+
+def roundabout_rules() -> list[Column]:
+    return [mini_roundabout_rows(), roundabout_rows()]
+
+
 def _emit(features: DataFrame, *rules: Column) -> DataFrame:
     """The union of what the rules give for each feature, in one pass."""
     usable = features.where(F.size("pts") > 0)
@@ -78,21 +86,25 @@ def _with_bounds(features: DataFrame) -> DataFrame:
 _BOUNDS = ["coords", "min_lat", "max_lat", "min_lon", "max_lon"]
 
 
+def is_road_way(service_filter: bool = True) -> Column:
+    return f.is_line() & f.tagged("highway") & f.enough_vertices() & (f.public_service() if service_filter else F.lit(True))
+
+
+def is_road_surface(service_filter: bool = True) -> Column:
+    return f.is_line() & f.tagged("surface") & f.enough_vertices() & (f.public_service() if service_filter else F.lit(True))
+
+
 def road_ways(features: DataFrame, service_filter: bool = True, with_surface: bool = True) -> DataFrame:
     """Roads with their surface (null if missing or unknown) and bounds; drop the private
     service roads and the surface by the two options for the plain variant."""
-    rows = features.where(f.is_line() & f.tagged("highway") & f.enough_vertices())
-    if service_filter:
-        rows = rows.where(f.public_service())
+    rows = features.where(is_road_way(service_filter))
     surface = [way_surface(tag("surface")).alias("surface")] if with_surface else []
     return _with_bounds(rows).select("region", *[c for c in ("way_id",) if c in rows.columns], tag("highway").alias("highway"), *surface, *_BOUNDS)
 
 
 def road_surfaces(features: DataFrame, service_filter: bool = True) -> DataFrame:
     """Roads with a surface tag, normalised (unknown values stay, as ``unknown``), and bounds."""
-    rows = features.where(f.is_line() & f.tagged("surface") & f.enough_vertices())
-    if service_filter:
-        rows = rows.where(f.public_service())
+    rows = features.where(is_road_surface(service_filter))
     return _with_bounds(rows).select("region", *[c for c in ("way_id",) if c in rows.columns], surface_type(tag("surface")).alias("surface"), *_BOUNDS)
 
 

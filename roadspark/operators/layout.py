@@ -51,6 +51,7 @@ def with_ids(df: DataFrame, *order: str) -> DataFrame:
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     ranges.withColumns({"range_": F.spark_partition_id(), "place_": place}).write.parquet(path)
     rows = df.sparkSession.read.parquet(path)
+    # A row for each range; whether they are broadcast is left to their measured size.
     sizes = rows.groupBy("range_").agg(F.count("*").alias("n_"))
     before = sizes.select("range_", (F.sum("n_").over(Window.orderBy("range_")) - F.col("n_")).alias("before_"))
-    return rows.join(F.broadcast(before), "range_").select((F.col("before_") + F.col("place_") + 1).alias("id"), *df.columns)
+    return rows.join(before, "range_").select((F.col("before_") + F.col("place_") + 1).alias("id"), *df.columns)

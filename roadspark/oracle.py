@@ -3,20 +3,30 @@
 from __future__ import annotations
 
 from . import fixtures as fx
-from .vocabulary import CALMING, CALMING_CLASSES, DRIVABLE, SURFACE_CLASSES
 
 _PLAIN = {t: t for t in "part orders customer nation region lineitem".split()}
 
 
-def _list(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
-def _case(column: str, classes: dict[str, str], otherwise: str) -> str:
-    return f"CASE {' '.join(f'WHEN {column} IN ({_list(members.split())}) THEN {name!r}' for name, members in classes.items())} ELSE {otherwise} END"
-
-
-SURFACE = _case("surface", SURFACE_CLASSES, "'unknown'")
+# The vocabularies, written out once more so that a wrong one shows.
+DRIVABLE = """'motorway', 'motorway_link', 'trunk', 'trunk_link', 'primary', 'primary_link', 'secondary', 'secondary_link',
+ 'tertiary', 'tertiary_link', 'residential', 'unclassified', 'living_street', 'service', 'track', 'road'"""
+CALMING = """'bump', 'mini_bumps', 'hump', 'table', 'cushion', 'dynamic_bump', 'dip', 'double_dip', 'chicane', 'choker', 'island'"""
+CALMING_CLASS = """CASE
+ WHEN v IN ('bump', 'mini_bumps', 'hump', 'table', 'cushion', 'dynamic_bump') THEN 'speed_bump'
+ WHEN v IN ('dip', 'double_dip') THEN 'dip'
+ WHEN v IN ('choker') THEN 'narrowing'
+ ELSE v END"""
+SURFACE = """CASE
+ WHEN surface IN ('asphalt') THEN 'asphalt'
+ WHEN surface IN ('concrete', 'concrete:plates', 'concrete:lanes') THEN 'concrete'
+ WHEN surface IN ('paved') THEN 'paved'
+ WHEN surface IN ('cobblestone', 'cobblestone:flattened', 'paving_stones', 'sett') THEN 'cobblestone'
+ WHEN surface IN ('gravel', 'fine_gravel', 'pebblestone') THEN 'gravel'
+ WHEN surface IN ('compacted') THEN 'compacted'
+ WHEN surface IN ('dirt', 'earth', 'mud', 'sand') THEN 'dirt'
+ WHEN surface IN ('grass', 'grass_paver') THEN 'grass'
+ WHEN surface IN ('unpaved', 'ground') THEN 'unpaved'
+ ELSE 'unknown' END"""
 CTE = f"""
 WITH nodes AS ({fx.NODES.format(**_PLAIN)}),
 ways AS ({fx.WAYS.format(**_PLAIN)}),
@@ -32,7 +42,7 @@ shape AS (SELECT way_id, count(*) AS n_points, min(lat) AS min_lat, max(lat) AS
 features AS (SELECT w.*, s.* EXCLUDE (way_id), CASE WHEN w.area = 'yes' AND s.n_points >= 4 AND s.ring THEN 'Polygon' ELSE 'LineString' END AS geom
   FROM ways w JOIN shape s ON s.way_id = w.way_id),
 roads AS (SELECT *, NOT (highway = 'service' AND coalesce(service, '') IN ('driveway', 'parking_aisle')) AS open_road
-  FROM features WHERE geom = 'LineString' AND highway IN ({_list(DRIVABLE)}))
+  FROM features WHERE geom = 'LineString' AND highway IN ({DRIVABLE}))
 """
 ROUNDED = ", ".join(f"round({c} + 1e-9, 6) AS {c}" for c in ("min_lat", "max_lat", "min_lon", "max_lon"))
 WAY_SURFACE = f"CASE WHEN surface <> '' AND {SURFACE} <> 'unknown' THEN {SURFACE} END AS surface"
@@ -46,8 +56,8 @@ def _tags(*pairs: tuple[str, str]) -> str:
 NODE_TAGS = _tags(("name", "name"), ("maxspeed", "maxspeed"), ("highway", "highway"))
 WAY_TAGS = _tags(("surface", "surface"), ("highway", "highway"), ("ref", "ref"))
 AT = "round(lat + 1e-9, 6) AS lat, round(lon + 1e-9, 6) AS lon"
-CALMING_ROWS = f"""SELECT region, {AT}, {_case("v", CALMING_CLASSES, "v")} AS type, {NODE_TAGS}
-FROM (SELECT *, trim(unnest(string_split(traffic_calming, ';'))) AS v FROM nodes WHERE traffic_calming <> '') WHERE v IN ({_list(CALMING)})"""
+CALMING_ROWS = f"""SELECT region, {AT}, {CALMING_CLASS} AS type, {NODE_TAGS}
+FROM (SELECT *, trim(unnest(string_split(traffic_calming, ';'))) AS v FROM nodes WHERE traffic_calming <> '') WHERE v IN ({CALMING})"""
 CAMERA_ROWS = f"SELECT region, {AT}, 'speed_camera' AS type, {NODE_TAGS} FROM nodes WHERE highway = 'speed_camera' OR enforcement = 'maxspeed'"
 BRIDGE_ROWS = f"""SELECT region, round(lat0 + 1e-9, 6) AS lat, round(lon0 + 1e-9, 6) AS lon, CASE WHEN bridge = 'yes' THEN 'bridge' ELSE 'tunnel' END AS type,
 round(lat1 + 1e-9, 6) AS end_lat, round(lon1 + 1e-9, 6) AS end_lon, CASE WHEN way_id % 4 <> 0 THEN way_id END AS way_id, {WAY_TAGS}
@@ -115,5 +125,26 @@ unnest(['2026-01-01', region, '2026-01-01T00:00:00.000Z', {_HAS.format("road_sur
     "geojsonseq_scan": "SELECT count(*) FILTER (way_id % 10 NOT IN (3, 7)) AS features, count(*) FILTER (way_id % 10 = 7) AS blank, count(*) FILTER (way_id % 10 = 3) AS rejected FROM roads",
     "geojsonseq_ways": f"SELECT 'all' AS region, highway, {WAY_SURFACE}, {ROUNDED}, n_points FROM roads WHERE open_road AND way_id % 10 NOT IN (3, 7)",
     "bundle_roundtrip": f"""SELECT '2026-01-01' AS version, region, max(CASE WHEN table_name = 'traffic_calming' THEN n END) AS n_calming, max(CASE WHEN table_name = 'roundabouts' THEN n END) AS n_roundabouts FROM ({COUNTS}) GROUP BY region""",
+    "collection_roundabouts": f"""SELECT 'all' AS region, lat, lon, radius, type FROM ({ROUND_ROWS.replace("FROM features f", "FROM (SELECT w.*, s.* EXCLUDE (way_id) FROM ways w JOIN shape s ON s.way_id = w.way_id WHERE s.n_points >= 4 AND s.ring) f")})""",
+    "catalogue_rows": "SELECT row_number() OVER (ORDER BY id) - 1 AS position, * FROM region_catalogue",
+    "region_lookup": "SELECT r.id, r.continent, a.file, a.size FROM artifacts a, region_catalogue r WHERE r.id = 'nation_4' AND regexp_matches(a.file, '^nation_4[.-]')",
+    "artifact_scan": "SELECT CAST(length(content) + 1 AS BIGINT) AS size, left(sha256(content || chr(10)), 16) AS checksum FROM artifacts",
+    "manifest_rows": f"SELECT '2026-01-01' AS version, '2026-01-01T00:00:00.000Z' AS generated_at, region, name, size, checksum, surface_size, way_size, sqlite_size, sqlite_checksum FROM ({MANIFEST})",
+    "slim_rows": "SELECT '2026-01-01' AS version, row_number() OVER (ORDER BY id) - 1 AS position, id, name, b3, estimated_size, CAST(NULL AS VARCHAR) AS continent FROM region_catalogue",
+    "feature_ids": "SELECT 'w' || way_id AS id, way_id FROM ways UNION ALL SELECT 'n' || node_id, NULL FROM nodes",
+    "run_stamps": "SELECT r_name AS region, '2026-01-01' AS version, '2026-01-01T00:00:00.000Z' AS created_at, true AS is_today, true AS is_iso FROM region",
+    "lines_roundtrip": f"""SELECT 'road_ways' AS table_name, region, highway AS kind, surface, min_lat AS lat, max_lon AS lon, n_points FROM ({ROAD_WAYS})
+UNION ALL SELECT 'road_surfaces', region, NULL, surface, min_lat, max_lon, n_points FROM ({SURFACES} AND open_road)
+UNION ALL SELECT 'traffic_calming', region, type, NULL, lat, lon, NULL FROM ({CALMING_ALL})
+UNION ALL SELECT 'roundabouts', region, type, NULL, lat, lon, NULL FROM ({MINI_ROWS} UNION ALL {ROUND_ROWS})""",
+    "lines_metadata": f"""SELECT region, unnest(['version', 'region', 'createdAt', 'hasSurfaceData', 'hasWayData']) AS key,
+unnest(['2026-01-01', region, '2026-01-01T00:00:00.000Z', 'false', CASE WHEN region <> 'ASIA' AND n > 0 THEN 'true' ELSE 'false' END]) AS value FROM ({COUNTS}) WHERE table_name = 'road_ways'""",
+    "written_tables": f"""SELECT table_name, region, count(*) AS n, round(min(min_lat) + 1e-9, 6) AS min_lat, round(max(max_lat) + 1e-9, 6) AS max_lat FROM (
+SELECT 'road_ways' AS table_name, region, min_lat, max_lat FROM roads WHERE open_road UNION ALL SELECT 'road_surfaces', region, min_lat, max_lat FROM roads WHERE surface <> '' AND open_road
+UNION ALL SELECT 'traffic_calming', region, lat, lat FROM ({CALMING_ALL}) UNION ALL SELECT 'roundabouts', region, lat, lat FROM ({MINI_ROWS})
+UNION ALL SELECT 'roundabouts', region, lat, lat FROM ({ROUND_ROWS}) WHERE region <> 'ASIA'
+UNION ALL SELECT 'metadata', region, NULL, NULL FROM (SELECT DISTINCT region FROM ways), range(5)) GROUP BY table_name, region""",
+    "bbox_stored": f"SELECT * EXCLUDE (way_id), way_id FROM ({ROAD_WAYS}) WHERE max_lat >= 50.02 AND min_lat <= 50.03 AND max_lon >= -0.9 AND min_lon <= -0.89",
+    "size_report": "SELECT folder, true AS some, true AS smaller, CAST(1.5 AS DOUBLE) AS seconds FROM (SELECT unnest(['road_ways', 'road_surfaces']) AS folder)",
 }
 ORACLE_SQL = {name: CTE + body for name, body in _BODY.items()}

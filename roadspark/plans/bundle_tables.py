@@ -16,12 +16,15 @@ def _bounded(items: DataFrame) -> DataFrame:
     return items.withColumns(flat_bbox(F.col("coords")))
 
 
-def tables_from_bundles(spark: SparkSession, core: str, ways: str, surfaces: str) -> dict[str, DataFrame]:
-    """The four tables. The core bundle must exist; without the others their tables are empty."""
+def tables_from_bundles(spark: SparkSession, core: str, ways: str, surfaces: str, rounds: str | None = None) -> dict[str, DataFrame]:
+    """The four tables. The core bundle must exist; without the others their tables are empty.
+
+    ``rounds`` names the roundabouts where they are lines in a folder of their own.
+    """
     calming = bundles.read_optional(spark, core, "trafficCalming", required=True).withColumnsRenamed(_CALMING)
     return {
         "traffic_calming": calming.select("region", "lat", "lon", "type", "end_lat", "end_lon", "way_id", "tags"),
-        "roundabouts": bundles.read_items(spark, core, "roundabouts"),
+        "roundabouts": bundles.read_optional(spark, rounds or core, "roundabouts", required=True),
         "road_surfaces": _bounded(bundles.read_optional(spark, surfaces, "roadSurfaces")),
         "road_ways": _bounded(bundles.read_optional(spark, ways, "roadWays")),
     }

@@ -26,9 +26,8 @@ def region_of(file: Column) -> Column:
 
 
 def region_names(regions: DataFrame) -> DataFrame:
-    """One name for each id: the last one of the catalogue."""
-    position = F.col("position") if "position" in regions.columns else F.lit(0)
-    return regions.groupBy("id").agg(F.max_by("name", position).alias("name"))
+    """One name for each id: the last one of the catalogue, by its ``position``."""
+    return regions.groupBy("id").agg(F.max_by("name", "position").alias("name"))
 
 
 def manifest_regions(artifacts: DataFrame, regions: DataFrame) -> DataFrame:

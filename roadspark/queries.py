@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from . import sinks
-from .functions import geo
+from .functions import geo, time
 from .functions.tags import surface_type, way_id_of
 from .operators import features as x
 from .operators import filters as f
-from .operators.geometry import assemble_geometry, point_features, referenced_nodes
+from .operators.geometry import assemble_geometry, point_features, referenced_nodes, way_feature_id
 from .operators.layout import bbox_query, dedup_segments
 from .plans import extract, manifest
+from .plans.bundle_tables import bundle_metadata, tables_from_bundles
 from .sources import bundles, geojson
-from .sources.catalogue import slim_regions
+from .sources.catalogue import find_region, read_artifacts, read_regions, slim_regions
 from .storage import scratch_path
 
 VERSION, CREATED_AT = "2026-01-01", "2026-01-01T00:00:00.000Z"
@@ -61,9 +63,8 @@ def road_ways(spark, sf_dir):
 
 
 def road_ways_vertices(spark, sf_dir):
-    rows = x.road_ways(_roads(spark, sf_dir)).select("region", "way_id", F.posexplode("coords").alias("at", "value"), "coords")
-    lon = rows.where("at % 2 = 0")
-    return _tidy(lon.select("region", "way_id", (F.col("at") / 2 + 1).cast("bigint").alias("seq"), F.col("value").alias("lon"), F.get("coords", F.col("at") + 1).alias("lat")))
+    roads = _roads(spark, sf_dir).where(x.is_road_way())
+    return _tidy(roads.select("region", "way_id", F.posexplode("pts").alias("at", "p")).select("region", "way_id", (F.col("at") + 1).cast("bigint").alias("seq"), "p.lon", "p.lat"))
 
 
 def road_ways_plain(spark, sf_dir):
@@ -133,7 +134,7 @@ def referenced(spark, sf_dir):
 
 def _counts(spark, sf_dir):
     ways, nodes, refs = _tables(spark, sf_dir)
-    return extract.region_counts(extract.extract(ways, nodes, refs, **KEY), ways.select("region"))
+    return extract.counted(ways, nodes, refs, **KEY)
 
 
 def region_counts(spark, sf_dir):
@@ -164,8 +165,14 @@ def checksum16(spark, sf_dir):
     return docs.select("doc_id", manifest.checksum16(F.encode("text", "UTF-8")).alias("checksum"))
 
 
+def _catalogue(spark, sf_dir) -> DataFrame:
+    """The catalogue with positions, in the order of its ids."""
+    rows = fx.region_catalogue(spark, sf_dir)
+    return rows.withColumn("position", F.row_number().over(Window.orderBy("id")) - 1)  # one row a region
+
+
 def manifest_regions(spark, sf_dir):
-    return manifest.manifest_regions(fx.artifacts(spark, sf_dir), fx.region_catalogue(spark, sf_dir))
+    return manifest.manifest_regions(fx.artifacts(spark, sf_dir), _catalogue(spark, sf_dir))
 
 
 def manifest_totals(spark, sf_dir):
@@ -201,6 +208,136 @@ def bundle_roundtrip(spark, sf_dir):
     return heads.join(counts[0], "region", "left").join(counts[1], "region", "left").select("version", "region", F.coalesce("n_calming", F.lit(0)).alias("n_calming"), F.coalesce("n_roundabouts", F.lit(0)).alias("n_roundabouts"))
 
 
+def collection_roundabouts(spark, sf_dir):
+    """Closed ways as polygons of FeatureCollection documents, with heights and holes, read back."""
+    path = scratch_path(spark, "collections")
+    rings = assemble_geometry(fx.ways(spark, sf_dir).where(f.roundabout()), fx.nodes(spark, sf_dir), fx.way_nodes(spark, sf_dir), closed="polygon", **KEY).where(f.is_polygon())
+    outer = F.transform("pts", lambda p: F.array(p["lon"], p["lat"], F.lit(7.5)))
+    hole = F.array(F.array(F.lit(0.0), F.lit(0.0)), F.array(F.lit(1.0), F.lit(1.0)))
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(outer, hole).alias("coordinates"))
+    feature = F.struct(F.lit("Feature").alias("type"), F.col("id"), F.struct("tags.junction").alias("properties"), geometry.alias("geometry"))
+    # A document for every so many ways; the reader takes one in a task.
+    documents = rings.groupBy(F.floor(F.col("way_id") / 4096).alias("part")).agg(F.collect_list(feature).alias("features"))
+    documents.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return _tidy(x.roundabouts(geojson.read_collection(spark, path, "all"), mini=False))
+
+
+def catalogue_scan(spark, sf_dir):
+    """The catalogue written as a document and read back."""
+    path = scratch_path(spark, "catalogue")
+    entry = F.struct("id", "name", "continent", "bbox", F.col("source_path").alias("geofabrikPath"), "estimatedSize")
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("position", entry.alias("entry")))), lambda r: r["entry"])
+    sinks.write_document(_catalogue(spark, sf_dir).agg(listed.alias("regions")).select(F.to_json(F.struct("regions")).alias("value")), path)
+    return read_regions(spark, path)
+
+
+def catalogue_rows(spark, sf_dir):
+    rows = catalogue_scan(spark, sf_dir)
+    return rows.select(F.col("position").cast("bigint").alias("position"), "id", "name", "continent", *[F.get("bbox", F.lit(k)).alias(f"b{k}") for k in range(4)], F.col("geofabrikPath").alias("source_path"), F.col("estimatedSize").alias("estimated_size"))
+
+
+def region_lookup(spark, sf_dir):
+    """Artifacts of one region that the catalogue is asked for."""
+    found = find_region(catalogue_scan(spark, sf_dir), "nation_4")
+    return fx.artifacts(spark, sf_dir).where(F.col("file").rlike(f"^{found.id}[.-]")).select(F.lit(found.id).alias("id"), F.lit(found.continent).alias("continent"), "file", "size")
+
+
+def artifact_scan(spark, sf_dir):
+    """Files written and read back as artifacts: their sizes and checksums."""
+    path = scratch_path(spark, "artifacts")
+    fx.artifacts(spark, sf_dir).select(F.decode("content", "UTF-8").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return read_artifacts(spark, f"{path}/part-*").select("size", manifest.checksum16(F.col("content")).alias("checksum"))
+
+
+def manifest_rows(spark, sf_dir):
+    """The manifest document, taken apart again."""
+    document = manifest.manifest_document(manifest_regions(spark, sf_dir), VERSION, CREATED_AT)
+    kind = "version string, generatedAt string, regions map<string, struct<name:string, size:bigint, checksum:string, surfaceSize:bigint, waySize:bigint, sqliteSize:bigint, sqliteChecksum:string>>"
+    rows = document.select(F.from_json("value", kind).alias("m")).select("m.version", F.col("m.generatedAt").alias("generated_at"), F.explode("m.regions").alias("region", "r"))
+    return rows.select("version", "generated_at", "region", "r.name", "r.size", "r.checksum", F.col("r.surfaceSize").alias("surface_size"), F.col("r.waySize").alias("way_size"), F.col("r.sqliteSize").alias("sqlite_size"), F.col("r.sqliteChecksum").alias("sqlite_checksum"))
+
+
+def slim_rows(spark, sf_dir):
+    """The slim catalogue document, taken apart again."""
+    document = manifest.slim_document(slim_regions(_catalogue(spark, sf_dir)), VERSION, CREATED_AT)
+    kind = "version string, regions array<struct<id:string, name:string, bbox:array<double>, estimatedSize:bigint, continent:string>>"
+    rows = document.select(F.from_json("value", kind).alias("m")).select("m.version", F.posexplode("m.regions").alias("position", "r"))
+    return rows.select("version", F.col("position").cast("bigint").alias("position"), "r.id", "r.name", F.get("r.bbox", F.lit(3)).alias("b3"), F.col("r.estimatedSize").alias("estimated_size"), "r.continent")
+
+
+def feature_ids(spark, sf_dir):
+    """Ids made of element kinds and numbers, and the way numbers read from them."""
+    ways = way_feature_id(fx.ways(spark, sf_dir).select("way_id")).select("id")
+    return ways.unionByName(_points(spark, sf_dir).select("id")).select("id", way_id_of(F.col("id")).alias("way_id"))
+
+
+def run_stamps(spark, sf_dir):
+    """Stamps of a run for each region, given and by the clock."""
+    regions = spark.read.parquet(f"{sf_dir}/region.parquet")
+    today = time.version() == F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd")
+    return regions.select(F.col("r_name").alias("region"), time.version(VERSION).alias("version"), time.instant(CREATED_AT).alias("created_at"), (today & (time.version("") == time.version())).alias("is_today"), time.instant().rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$").alias("is_iso"))
+
+
+def lines_roundtrip(spark, sf_dir):
+    """Ways, surfaces and the core written as JSON lines, and the tables made of them."""
+    path = scratch_path(spark, "lines")
+    tables = extract.extract(*_tables(spark, sf_dir), **KEY)
+    sinks.write_lines(tables["road_ways"], f"{path}/ways", VERSION)
+    sinks.write_lines(tables["road_surfaces"], f"{path}/surfaces", VERSION)
+    core, rounds = sinks.write_core_lines(tables["traffic_calming"], tables["roundabouts"], VERSION, f"{path}/core")
+    found = tables_from_bundles(spark, core, f"{path}/ways", f"{path}/surfaces", rounds)
+    none = lambda kind: F.lit(None).cast(kind)
+    roads = [_tidy(found[t]).select(F.lit(t).alias("table_name"), "region", (F.col("highway") if t == "road_ways" else none("string")).alias("kind"), "surface", F.col("min_lat").alias("lat"), F.col("max_lon").alias("lon"), "n_points") for t in ("road_ways", "road_surfaces")]
+    points = [_tidy(found[t]).select(F.lit(t).alias("table_name"), "region", F.col("type").alias("kind"), none("string").alias("surface"), "lat", "lon", none("bigint").alias("n_points")) for t in ("traffic_calming", "roundabouts")]
+    return reduce(DataFrame.unionByName, roads + points)
+
+
+def lines_metadata(spark, sf_dir):
+    """Metadata from lines: version and region are read from the lines themselves."""
+    path = scratch_path(spark, "lines")
+    tables = extract.extract(*_tables(spark, sf_dir), **KEY)
+    sinks.write_lines(tables["road_ways"].where("region <> 'ASIA'"), f"{path}/ways", VERSION)
+    core, rounds = sinks.write_core_lines(tables["traffic_calming"], tables["roundabouts"], VERSION, f"{path}/core")
+    found = tables_from_bundles(spark, core, f"{path}/ways", f"{path}/none", rounds)
+    return bundle_metadata(spark, core, found, CREATED_AT)
+
+
+def _written(spark, sf_dir) -> str:
+    path = scratch_path(spark, "tables")
+    ways, nodes, refs = _tables(spark, sf_dir)
+    tables = extract.extract(ways, nodes, refs, **KEY)
+    sinks.write_tables(tables, extract.metadata(extract.region_counts(tables, ways.select("region")), VERSION, CREATED_AT), path)
+    # One region of one table is written again; the others stay.
+    sinks.write_table(tables["roundabouts"].where("region = 'ASIA' and type = 'mini_roundabout'"), "roundabouts", path)
+    return path
+
+
+def written_tables(spark, sf_dir):
+    """All tables written by region in spatial order, with a region replaced, and read back."""
+    path = _written(spark, sf_dir)
+    parts = [spark.read.parquet(f"{path}/{t}").select(F.lit(t).alias("table_name"), "region", *(["min_lat", "max_lat"] if t.startswith("road_") else [F.col("lat").alias("min_lat"), F.col("lat").alias("max_lat")])) for t in extract.TABLES]
+    parts.append(spark.read.parquet(f"{path}/metadata").select(F.lit("metadata").alias("table_name"), "region", F.lit(None).cast("double").alias("min_lat"), F.lit(None).cast("double").alias("max_lat")))
+    return _tidy(reduce(DataFrame.unionByName, parts).groupBy("table_name", "region").agg(F.count("*").alias("n"), F.min("min_lat").alias("min_lat"), F.max("max_lat").alias("max_lat")))
+
+
+def bbox_stored(spark, sf_dir):
+    """A box of a table that is written and ordered, where file statistics prune."""
+    path = scratch_path(spark, "ordered")
+    sinks.write_table(x.road_ways(_roads(spark, sf_dir)), "road_ways", path)
+    return _tidy(bbox_query(spark.read.parquet(f"{path}/road_ways"), 50.02, 50.03, -0.9, -0.89))
+
+
+def size_report(spark, sf_dir):
+    """What a run reports of its files: there are some, and they are smaller than their rows."""
+    path = scratch_path(spark, "sized")
+    tables = extract.extract(*_tables(spark, sf_dir), **KEY)
+    for name in ("road_ways", "road_surfaces"):
+        sinks.write_lines(tables[name], f"{path}/{name}", VERSION)
+    raw = {name: sinks.json_bytes(spark.read.json(f"{path}/{name}")) for name in ("road_ways", "road_surfaces")}
+    found = sinks.write_metrics(spark, path, raw, 1.5)
+    return found.select("folder", (F.col("files") > 0).alias("some"), F.col("smaller_percent").between(1, 99).alias("smaller"), "seconds")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "road_ways": road_ways,
     "road_ways_vertices": road_ways_vertices,
@@ -230,4 +367,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geojsonseq_scan": geojsonseq_scan,
     "geojsonseq_ways": geojsonseq_ways,
     "bundle_roundtrip": bundle_roundtrip,
+    "collection_roundabouts": collection_roundabouts,
+    "catalogue_rows": catalogue_rows,
+    "region_lookup": region_lookup,
+    "artifact_scan": artifact_scan,
+    "manifest_rows": manifest_rows,
+    "slim_rows": slim_rows,
+    "feature_ids": feature_ids,
+    "run_stamps": run_stamps,
+    "lines_roundtrip": lines_roundtrip,
+    "lines_metadata": lines_metadata,
+    "written_tables": written_tables,
+    "bbox_stored": bbox_stored,
+    "size_report": size_report,
 }

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.layout import checked, spatial_order
+from .storage import saved
+
+#: Items that a single document may hold.
+DOCUMENT_ITEMS = 1_000_000
 
 
 def write_table(df: DataFrame, name: str, path: str) -> None:
@@ -25,25 +31,43 @@ def calming_items(df: DataFrame) -> DataFrame:
     return df.select("region", F.struct("lat", "lon", "type", "tags", F.col("end_lat").alias("endLat"), F.col("end_lon").alias("endLon"), F.col("way_id").alias("wayId")).alias("item"))
 
 
-def core_bundles(calming: DataFrame, rounds: DataFrame, version: str) -> DataFrame:
-    """region and ``value``: a region's core bundle as one JSON document. For small data: a
-    document is one value; the road tables are written as lines instead."""
+def core_bundles(calming: DataFrame, rounds: DataFrame, version: str, most: int = DOCUMENT_ITEMS) -> DataFrame:
+    """region and ``value``: a region's core bundle as one JSON document, an export for small data.
+
+    A document is one value, so a region of more than ``most`` items is an error; lines
+    (:func:`write_core_lines`) have no such bound.
+    """
     items = calming_items(calming).select("region", F.col("item").alias("c"), F.lit(None).cast("struct<lat:double,lon:double,radius:double,type:string>").alias("r"))
     items = items.unionByName(rounds.select("region", F.lit(None).cast(items.schema["c"].dataType).alias("c"), F.struct("lat", "lon", "radius", "type").alias("r")))
+    largest = items.groupBy("region").count().agg(F.max("count")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"a core bundle of {largest} items is no single document; write lines")
     bundles = items.groupBy("region").agg(F.collect_list("c").alias("trafficCalming"), F.collect_list("r").alias("roundabouts"))
     return bundles.select("region", F.to_json(F.struct(F.lit(version).alias("version"), "region", "trafficCalming", "roundabouts")).alias("value"))
 
 
 def write_core_bundles(calming: DataFrame, rounds: DataFrame, version: str, path: str) -> None:
     """Gzip documents, a folder for each region."""
-    bundles = core_bundles(calming, rounds, version)
+    bundles = core_bundles(saved(calming, "calming"), saved(rounds, "rounds"), version)
     bundles.withColumnRenamed("region", "folder").repartition("folder").write.mode("overwrite").partitionBy("folder").option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
 
 
-def write_lines(df: DataFrame, path: str) -> None:
+def _write_json_lines(df: DataFrame, version: str, path: str) -> None:
+    df.select("region", F.lit(version).alias("version"), *[c for c in df.columns if c != "region"]).write.mode("overwrite").partitionBy("region").option("compression", "gzip").json(path)
+
+
+def write_core_lines(calming: DataFrame, rounds: DataFrame, version: str, path: str) -> tuple[str, str]:
+    """The core bundle as gzip JSON lines, as many files as tasks, with version and region in
+    each line. Returns the two folders."""
+    folders = f"{path}/trafficCalming", f"{path}/roundabouts"
+    _write_json_lines(calming_items(calming).select("region", "item.*"), version, folders[0])
+    _write_json_lines(rounds.select("region", "lat", "lon", "radius", "type"), version, folders[1])
+    return folders
+
+
+def write_lines(df: DataFrame, path: str, version: str = "") -> None:
     """Road ways or surfaces as gzip JSON lines, a folder for each region."""
-    columns = [c for c in ("coords", "highway", "surface") if c in df.columns]
-    df.select("region", *columns).write.mode("overwrite").partitionBy("region").option("compression", "gzip").json(path)
+    _write_json_lines(df.select("region", *[c for c in ("coords", "highway", "surface") if c in df.columns]), version, path)
 
 
 def write_document(document: DataFrame, path: str) -> None:
@@ -51,7 +75,19 @@ def write_document(document: DataFrame, path: str) -> None:
     document.select("value").coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes below a path, by its first folder: the sizes a run reports."""
+def write_metrics(spark: SparkSession, path: str, raw: dict[str, int] | None = None, seconds: float | None = None) -> DataFrame:
+    """Files and bytes below a path, by its first folder: the sizes a run reports.
+
+    With ``raw`` (bytes before compression, by folder) also how much smaller the files are, in
+    percent; with ``seconds`` the time the run took.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
-    return files.groupBy(F.regexp_extract("path", r"/([^/]+)/[^/]*/?[^/]+$", 1).alias("folder")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    folder = F.regexp_extract("path", re.escape(path.rstrip("/").rsplit("/", 1)[-1]) + r"/([^/]+)/", 1)
+    found = files.groupBy(folder.alias("folder")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
+    known = F.element_at(F.create_map(*[F.lit(x) for k, v in raw.items() for x in (k, int(v))]), F.col("folder")) if raw else F.lit(None).cast("bigint")
+    return found.select("folder", "files", "bytes", known.alias("raw_bytes"), F.when(known > 0, F.round((1 - F.col("bytes") / known) * 100, 1)).alias("smaller_percent"), F.lit(seconds).cast("double").alias("seconds"))
+
+
+def json_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as JSON lines, before compression."""
+    return df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))) + 1), F.lit(0))).first()[0]

@@ -1,7 +1,12 @@
-"""Bundles: JSON documents or lines of a region's features, with version and region."""
+"""Bundles of a region's features, with version and region.
+
+A bundle is either a JSON document that holds arrays of items, or a folder of JSON lines with
+an item, its version and its region each. Both are read alike.
+"""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,26 +17,57 @@ SURFACE_ITEM = "struct<coords:array<double>, surface:string>"
 ARRAYS = {"trafficCalming": CALMING_ITEM, "roundabouts": ROUNDABOUT_ITEM, "roadWays": WAY_ITEM, "roadSurfaces": SURFACE_ITEM}
 
 
-def _documents(spark: SparkSession, path: str, *arrays: str) -> DataFrame:
-    fields = "".join(f", {a} array<{ARRAYS[a]}>" for a in arrays)
-    return spark.read.schema(f"version string, region string{fields}").option("multiLine", True).json(path)
+#: A field that every item has, whatever its array.
+_SURE = {"trafficCalming": "lat", "roundabouts": "lat", "roadWays": "coords", "roadSurfaces": "coords"}
+_CORRUPT = "corrupt_line"
+
+
+def _rows(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """One row for each line, or for each file where a document spans several lines."""
+    schema = f"version string, region string{fields}, {_CORRUPT} string"
+    lines = spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    # A line that is no JSON object by itself belongs to a document of several lines.
+    first = spark.read.text(path).where("trim(value) <> ''").select(F.try_parse_json("value").isNotNull().alias("whole")).first()
+    if first is not None and not first.whole:
+        return spark.read.schema(schema).option("columnNameOfCorruptRecord", _CORRUPT).option("multiLine", True).json(path)
+    return lines
 
 
 def read_header(spark: SparkSession, path: str) -> DataFrame:
-    """version and region of each bundle; a missing one is empty."""
-    return _documents(spark, path).select(F.coalesce("version", F.lit("")).alias("version"), F.coalesce("region", F.lit("")).alias("region"))
+    """version and region of each bundle, once; a missing one is empty."""
+    return _rows(spark, path, "").select(F.coalesce("version", F.lit("")).alias("version"), F.coalesce("region", F.lit("")).alias("region")).distinct()
 
 
 def read_items(spark: SparkSession, path: str, array: str) -> DataFrame:
-    """One row for each item of an array of the bundles, with the bundle's region."""
-    return _documents(spark, path, array).select("region", F.explode(array).alias("item")).select("region", "item.*")
+    """One row for each item of an array of the bundles, with the bundle's region.
+
+    Files that hold neither such an array nor such items, but something else, are an error;
+    a document may lack the array if another one has it.
+    """
+    item = ARRAYS[array]
+    rows = _rows(spark, path, f", {array} array<{item}>, {item[len('struct<') : -1].replace(':', ' ')}")
+    known = F.col(array).isNotNull() | F.col(_SURE[array]).isNotNull()
+    if rows.limit(1).count() and not rows.where(known).limit(1).count() and not _holds_other_arrays(spark, path):
+        raise ValueError(f"{path} holds no {array}")
+    names = spark.createDataFrame([], f"item {item}").select("item.*").columns
+    items = F.coalesce(array, F.when(F.col(_SURE[array]).isNotNull(), F.array(F.struct(*names).cast(item))))
+    return rows.select("region", F.explode(items).alias("item")).select("region", "item.*")
+
+
+def _holds_other_arrays(spark: SparkSession, path: str) -> bool:
+    fields = "".join(f", {a} array<{kind}>" for a, kind in ARRAYS.items())
+    return _rows(spark, path, fields).where(F.coalesce(*[F.size(a) for a in ARRAYS]).isNotNull()).limit(1).count() > 0
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Is there a file or folder at the path, in whatever store it names?"""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def read_optional(spark: SparkSession, path: str, array: str, required: bool = False) -> DataFrame:

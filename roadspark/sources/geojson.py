@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.tags import trimmed
 from ..vocabulary import TAGS
 
 #: ``coordinates`` stays JSON text: its depth depends on the geometry's type.
@@ -43,26 +44,33 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     A line is trimmed and may begin with a record separator. Blank lines are skipped; lines
     that are not one JSON object, or lack geometry or properties, are rejected.
     """
-    text = F.regexp_replace(F.regexp_replace(F.col(column), r"^[\s ﻿]+|[\s ﻿]+$", ""), "^\\x1e", "")
+    text = F.regexp_replace(trimmed(F.col(column)), "^\\x1e", "")
     schema = FEATURE[len("struct<") : -1] + ", corrupt:string"
     rows = lines.select(text.alias("line")).withColumn("f", F.from_json("line", f"struct<{schema}>", _OPTIONS))
     bad = F.col("f.corrupt").isNotNull() | ~F.col("line").endswith("}") | F.col("f.geometry").isNull() | F.col("f.properties").isNull()
     return rows.select(F.col("f"), (F.col("line") == "").alias("blank"), ((F.col("line") != "") & F.coalesce(bad, F.lit(True))).alias("rejected"))
 
 
-def features_of_lines(lines: DataFrame, region: str, column: str = "value") -> DataFrame:
-    return _features(parse_lines(lines, column).where("not blank and not rejected"), region)
+def features_of_lines(lines: DataFrame, region: str, column: str = "value", counts: Observation | None = None) -> DataFrame:
+    """Features of the good lines. ``counts`` gets features, blank and rejected from the same pass."""
+    parsed = parse_lines(lines, column)
+    if counts is not None:
+        parsed = parsed.observe(counts, *_counts())
+    return _features(parsed.where("not blank and not rejected"), region)
 
 
-def read_sequence(spark: SparkSession, path: str, region: str) -> DataFrame:
+def read_sequence(spark: SparkSession, path: str, region: str, counts: Observation | None = None) -> DataFrame:
     """Features of GeoJSON text-sequence files."""
-    return features_of_lines(spark.read.text(path), region)
+    return features_of_lines(spark.read.text(path), region, counts=counts)
+
+
+def _counts() -> list[Column]:
+    return [F.count_if(~F.col("blank") & ~F.col("rejected")).alias("features"), F.count_if("blank").alias("blank"), F.count_if("rejected").alias("rejected")]
 
 
 def count_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row: features, blank and rejected lines."""
-    parsed = parse_lines(lines, column)
-    return parsed.agg(F.count_if(~F.col("blank") & ~F.col("rejected")).alias("features"), F.count_if("blank").alias("blank"), F.count_if("rejected").alias("rejected"))
+    return parse_lines(lines, column).agg(*_counts())
 
 
 def read_collection(spark: SparkSession, path: str, region: str) -> DataFrame:

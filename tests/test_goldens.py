@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from roadspark.functions import geo
@@ -41,6 +42,23 @@ def rounds(spark, *lines):
 TWO = [[1, 2], [3, 4]]
 
 
+@pytest.mark.parametrize("end", ["\u3000", "\u2003", "\u00a0", "\ufeff", "\t"])
+def test_lines_are_trimmed_of_all_white_space(spark, end):
+    assert ways(spark, end + line({"highway": "track"}, [[1, 2], [3, 4]]) + end) == [((1, 2, 3, 4), "track", None)]
+
+
+def test_counts_of_the_same_pass(spark):
+    good = line({"highway": "track"}, [[1, 2], [3, 4]])
+    counts = Observation("lines")
+    df = geojson.features_of_lines(spark.createDataFrame([(t,) for t in (good, " ", "{bad", good)], "value string"), "r", counts=counts)
+    assert x.road_ways(df).count() == 2 and counts.get == {"features": 2, "blank": 1, "rejected": 1}
+
+
+def test_the_last_name_of_an_id(spark):
+    regions = spark.createDataFrame([(k, "a", f"name {k}") for k in range(50)], "position int, id string, name string").repartition(7)
+    assert manifest.region_names(regions).first().name == "name 49"
+
+
 def test_sequence_lines(spark):
     good = line({"highway": "track"}, TWO)
     text = ["\x1e" + good, "", "  \x1e ", "{bad", good + " xyz", "null", '{"type":"Feature","properties":null,"geometry":null}', "[1]"]

@@ -182,10 +182,49 @@ def test_tables_from_bundles(spark, tables, tmp_path):
 
 
 def test_lines_documents_and_metrics(spark, tables, tmp_path):
-    sinks.write_lines(tables["road_ways"], str(tmp_path / "out" / "ways"))
-    back = spark.read.schema("region string, highway string, surface string, coords array<double>").json(str(tmp_path / "out" / "ways"))
-    assert rows(back) == rows(tables["road_ways"].select(back.columns))
+    out = tmp_path / "out"
+    sinks.write_lines(tables["road_ways"], str(out / "ways"), "v1")
+    back = spark.read.schema("region string, version string, highway string, surface string, coords array<double>").json(str(out / "ways"))
+    assert rows(back.drop("version")) == rows(tables["road_ways"].select("region", "highway", "surface", "coords"))
+    assert {r.version for r in back.collect()} == {"v1"}
     regions = spark.createDataFrame([(0, "a", "A", [1.0, 2.0], 3)], "position int, id string, name string, bbox array<double>, estimatedSize long")
-    sinks.write_document(manifest.slim_document(regions, "v", "t"), str(tmp_path / "out" / "regions"))
-    assert json.loads(spark.read.text(str(tmp_path / "out" / "regions")).first().value)["version"] == "v"
-    assert sinks.write_metrics(spark, str(tmp_path / "out")).agg(F.sum("bytes")).first()[0] > 0
+    sinks.write_document(manifest.slim_document(regions, "v", "t"), str(out / "regions"))
+    assert json.loads(spark.read.text(str(out / "regions")).first().value)["version"] == "v"
+    size = sinks.json_bytes(back)
+    found = {r.folder: r for r in sinks.write_metrics(spark, str(out), {"ways": size}, 2.0).collect()}
+    assert found["ways"].raw_bytes == size and found["ways"].smaller_percent == round((1 - found["ways"].bytes / size) * 100, 1) > 0
+    assert found["regions"].smaller_percent is None and found["regions"].seconds == 2.0
+
+
+def test_what_lines_hold_reads_back(spark, tables, tmp_path):
+    from roadspark.plans.bundle_tables import bundle_metadata, tables_from_bundles
+
+    plain = lambda d: d.withColumn("tags", F.to_json("tags")) if "tags" in d.columns else d
+    sinks.write_lines(tables["road_ways"], str(tmp_path / "ways"), "v1")
+    sinks.write_lines(tables["road_surfaces"], str(tmp_path / "surfaces"), "v1")
+    core, rounds = sinks.write_core_lines(tables["traffic_calming"], tables["roundabouts"], "v1", str(tmp_path / "core"))
+    found = tables_from_bundles(spark, core, str(tmp_path / "ways"), str(tmp_path / "surfaces"), rounds)
+    for name, df in tables.items():
+        assert rows(plain(found[name]).select(plain(df).columns)) == rows(plain(df)), name
+    meta = {(r.region, r.key): r.value for r in bundle_metadata(spark, core, found, "now").collect()}
+    assert (meta["ASIA", "version"], meta["ASIA", "hasWayData"], meta["ASIA", "hasSurfaceData"]) == ("v1", "true", "true")
+    # Files of another kind are an error; a document of several lines, and no items at all, are not.
+    with pytest.raises(ValueError, match="holds no roadWays"):
+        bundles.read_items(spark, str(tmp_path / "core" / "roundabouts"), "roadWays")
+    (tmp_path / "long.json").write_text(json.dumps({"version": "v", "region": "r", "roadWays": [{"coords": [1, 2, 3, 4], "highway": "track"}]}, indent=2))
+    assert [tuple(r) for r in bundles.read_items(spark, str(tmp_path / "long.json"), "roadWays").collect()] == [("r", [1, 2, 3, 4], "track", None)]
+    sinks.write_lines(tables["road_ways"].limit(0), str(tmp_path / "none"), "v1")
+    assert bundles.read_items(spark, str(tmp_path / "none"), "roadWays").count() == 0
+
+
+def test_a_document_is_bounded(tables):
+    with pytest.raises(ValueError, match="no single document"):
+        sinks.core_bundles(tables["traffic_calming"], tables["roundabouts"], "v", most=3)
+
+
+def test_counts_from_elements_equal_those_of_the_tables(elements, tables):
+    ways, nodes, refs = elements
+    counted = extract.counted(ways, nodes, refs, node_key=("node_id",))
+    assert rows(counted) == rows(extract.region_counts(tables, ways.select("region")))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("collect_list") <= 4  # one assembly: a partial and a final aggregate, twice in the text
