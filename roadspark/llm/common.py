@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadspark.storage import scratch_path
+from roadspark.storage import saved  # noqa: F401 (the operators take it from here)
 
 #: Text bytes that a task works on at a time (a longer text is one slice of its own).
 SLICE_BYTES = 4 << 20
@@ -26,14 +26,6 @@ BROADCAST_IDS = 1_000_000
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
