@@ -12,15 +12,16 @@ In every node the members are compared with the node's pivot. Nodes whose member
 in one component need no more work; of the others, large ones branch, down to DEPTH, and
 small ones are compared exhaustively by their tokens and propose a spanning forest of the
 pairs with CANDIDATE equal tokens, likeliest first; so are nodes that are large even at
-DEPTH, both cut into pairs of blocks of SIDE members. Every pair with the pivot and every
-proposed pair is decided on the two full sets, unless their sizes alone rule a link out. At
-last the pairs that are NEAR by their full sets, links or not, join documents into clusters;
+DEPTH, both cut into pairs of blocks of SIDE members. Pairs with the pivot and proposed pairs
+are decided on the two full sets, unless their sizes rule a link out or fewer than CANDIDATE
+tokens are equal. At last the pairs that are NEAR by their full sets, links or not, join documents into clusters;
 where a cluster still has several components, all its pairs of different components are
 compared on full sets, whatever their tokens, in tiles of bounded size.
 Components grow by alternating star operations on the links, as joins and aggregates.
 
-What can be missed is a pair that no tree's first branch brings together, or that meets in
-small nodes alone and has fewer than CANDIDATE equal tokens (at the threshold 3e-11).
+What can be missed is a pair that no tree's first branch brings together, or that has fewer
+than CANDIDATE equal tokens (at the threshold with a probability of 3e-11), and that no
+cluster brings together either.
 
 Shingles are compared by 64-bit hashes of 64-bit hashes of words. Texts that are null or
 have no words have empty sets and no links. A text of one to four words is one shingle. Rows
@@ -55,10 +56,10 @@ TILE, TILE_VALUES = 512, 2 << 20
 #: Values of sets that a tile counts at a time, and columns of the product that counts them.
 PART = 1 << 20
 WIDTH = 4096
-#: Equal coordinates that a proposal of a small node needs: at the threshold 48 are expected.
+#: Equal coordinates of 64 that a candidate pair needs: at the threshold 48 are expected.
 CANDIDATE = 24
 #: Members of a block of a node that is compared exhaustively.
-SIDE = 256
+SIDE = 1024
 #: Similarity in percent from which decided pairs join clusters.
 NEAR = 50
 #: Nodes that are large even so deep down are compared exhaustively.
@@ -312,11 +313,21 @@ def _within_clusters(near: DataFrame, found: DataFrame, sets: DataFrame) -> Data
 
 
 def _decided(pairs: DataFrame, reps: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, link, near of candidate pairs; those whose sizes rule a link out are no longer there."""
-    a, b = (reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    """a, b, link, near of candidate pairs; those that sizes or tokens rule out are no longer there."""
+    a, b = (reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("sig").alias(f"sig_{x}")) for x in "ab")
     fits = 100 * F.least("n_a", "n_b") >= THRESHOLD * F.greatest("n_a", "n_b")
-    x, y = (sets.select(F.col("rep").alias(c), F.col("members").alias(f"members_{c}")) for c in "ab")
-    both = pairs.distinct().join(a, "a").join(b, "b").where(fits).select("a", "b").join(x, "a").join(y, "b").select("a", "b", "members_a", "members_b")
+    equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    likely = saved(pairs.distinct().join(a, "a").join(b, "b").where(fits & (equal >= CANDIDATE)).select("a", "b"), "likely")
+
+    def side(name: str) -> DataFrame:
+        """The sets that this side of the pairs needs."""
+        wanted = likely.select(F.col(name).alias("wanted")).distinct()
+        own = sets
+        if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+            own = sets.join(F.broadcast(wanted), F.col("rep") == F.col("wanted"), "left_semi")
+        return own.select(F.col("rep").alias(name), F.col("members").alias(f"members_{name}"))
+
+    both = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "members_a", "members_b")
     return saved(both.mapInArrow(_decide, "a bigint, b bigint, link boolean, near boolean"), "decided")
 
 
