@@ -63,10 +63,9 @@ def counted(ways: DataFrame, nodes: DataFrame, way_nodes: DataFrame | None = Non
     features = point_features(f.tag_filter(nodes, "n")).select(columns).unionByName(lines.select(columns))
     is_node, is_core = f.is_point(), f.tag_condition("w", f.CORE_RULES)
     emitted = lambda *rules: F.aggregate(F.array(*[F.coalesce(F.size(r), F.lit(0)) for r in rules]), F.lit(0), lambda s, n: s + n)
-    in_core = F.when(is_node | is_core, F.lit(1)).otherwise(F.lit(0))
     numbers = {
-        "traffic_calming": F.sum(in_core * emitted(*x.calming_rules())),
-        "roundabouts": F.sum(in_core * emitted(*x.roundabout_rules())),
+        "traffic_calming": F.sum(F.when(is_node | is_core, emitted(*x.calming_rules()))),
+        "roundabouts": F.sum(F.when(is_node | is_core, emitted(*x.roundabout_rules()))),
         "road_ways": F.count_if(f.drivable() & x.is_road_way()),
         "road_surfaces": F.count_if(f.drivable() & x.is_road_surface()),
     }

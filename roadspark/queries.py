@@ -201,8 +201,8 @@ def geojsonseq_ways(spark, sf_dir):
 def bundle_roundtrip(spark, sf_dir):
     """Core bundles written as gzip JSON documents and read back."""
     path = scratch_path(spark, "bundles")
-    calming, rounds = x.core(extract.core_features(*_tables(spark, sf_dir), **KEY))
-    sinks.write_core_bundles(calming, rounds, VERSION, path)
+    tables = extract.extract(*_tables(spark, sf_dir), **KEY)
+    sinks.write_core_bundles(tables["traffic_calming"], tables["roundabouts"], VERSION, path)
     heads = bundles.read_header(spark, path)
     counts = [bundles.read_items(spark, path, a).groupBy("region").agg(F.count("*").alias(c)) for a, c in (("trafficCalming", "n_calming"), ("roundabouts", "n_roundabouts"))]
     return heads.join(counts[0], "region", "left").join(counts[1], "region", "left").select("version", "region", F.coalesce("n_calming", F.lit(0)).alias("n_calming"), F.coalesce("n_roundabouts", F.lit(0)).alias("n_roundabouts"))
