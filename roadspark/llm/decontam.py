@@ -4,7 +4,9 @@ Documents are read in shards of a few MB. A task numbers a shard's words by the
 vocabulary and sorts the suffixes that could begin a window of benchmark words: the shard's
 suffix array. Every suffix of every benchmark item is then looked up by binary search; the
 interval it finds holds all places of its window. Places on one diagonal join into verbatim
-matches, whose longest per item and document is returned with its location.
+matches, whose longest per item and document is returned with its location. ``item_matches``
+sorts all suffixes of a shard and searches every suffix of every item, so that each item gets
+its longest verbatim match in the corpus however short that is.
 
 A window is ``size`` consecutive words of an item; a shorter item, but not an empty one, is
 one window. Words are runs of ASCII letters (lower-cased), digits and non-ASCII characters.
@@ -22,9 +24,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,15 +62,15 @@ class Items:
         counts = np.diff(at)
         self.ids, self.size = ids, size
         self.vocabulary = np.unique(words)
-        numbers = np.searchsorted(self.vocabulary, words) + 1
+        self.numbers, self.word_at = np.append(np.searchsorted(self.vocabulary, words) + 1, 0).astype(np.int32), at
         windows = np.where(counts >= size, counts - size + 1, (counts > 0).astype(int))
         self.item = np.repeat(np.arange(len(texts), dtype=np.int32), windows)
         self.start = (np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
         self.length = np.minimum(counts, size).astype(np.int16)[self.item]
         self.shortest = int(self.length.min()) if len(self.length) else 0
         self.bits = max(1, int(math.ceil(math.log2(len(self.vocabulary) + 2))))
-        self.low, self.high = (pack_keys(np.append(numbers, 0), at[self.item] + self.start, self.length, size, self.bits, fill) for fill in (False, True))
-        held = sum(x.nbytes for x in (self.vocabulary, self.item, self.start, self.length, *self.low, *self.high))
+        self.low, self.high = (pack_keys(self.numbers, at[self.item] + self.start, self.length, size, self.bits, fill) for fill in (False, True))
+        held = sum(x.nbytes for x in (self.vocabulary, self.numbers, self.word_at, self.item, self.start, self.length, *self.low, *self.high))
         if held > INDEX_BYTES:
             raise ValueError(f"the index of one block of the benchmark takes {held} bytes of {INDEX_BYTES}")
 
@@ -105,30 +109,30 @@ def bisect(sorted_keys: list[np.ndarray], wanted: list[np.ndarray], right: bool)
     return low
 
 
-def shard_matches(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All occurrences of item windows in a shard: window number, place, length."""
-    none = np.zeros(0, np.int64)
-    if not len(items.item) or not len(words):
-        return none, none, none
+def suffix_array(items: Items, words: np.ndarray, word_at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The number of each word of a shard (0: not in the benchmark), and the places of suffixes
+    of at least ``least`` known words in sorted order, the known words of each, their keys.
+
+    A suffix ends at the first unknown word or at the end of its document.
+    """
     number = np.searchsorted(items.vocabulary, words)
     number = np.where(items.vocabulary[np.minimum(number, len(items.vocabulary) - 1)] == words, number + 1, 0)
-    # How many known words follow without a break, up to the end of the document.
     n = len(words)
     stop = np.zeros(n + 1, bool)
     stop[:n] = number == 0
     stop[n] = True
-    brk = np.flatnonzero(stop)
-    edges = np.union1d(brk, word_at[1:])
+    edges = np.union1d(np.flatnonzero(stop), word_at[1:])
     known = np.flatnonzero(~stop[:n])
     run = edges[np.searchsorted(edges, known, "right")] - known
-    places = known[run >= items.shortest]
-    if not len(places):
-        return none, none, none
-    left = run[run >= items.shortest]
-    padded = np.append(number, 0)
-    keys = pack_keys(padded, places, np.minimum(left, items.size), items.size, items.bits, False)
+    places, run = known[run >= least], run[run >= least]
+    number = np.append(number, 0)
+    keys = pack_keys(number, places, np.minimum(run, items.size), items.size, items.bits, False)
     order = np.lexsort(keys[::-1])
-    suffixes, keys = places[order], [k[order] for k in keys]
+    return number, places[order], run[order], [k[order] for k in keys]
+
+
+def window_places(items: Items, suffixes: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All occurrences of item windows among sorted suffixes: window number, place, length."""
     low, high = bisect(keys, items.low, False), bisect(keys, items.high, True)
     found = np.maximum(high - low, 0)
     window = np.repeat(np.arange(len(found)), found)
@@ -136,6 +140,50 @@ def shard_matches(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple
     return window, place, items.length[window]
 
 
+def shard_matches(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All occurrences of item windows in a shard: window number, place, length."""
+    none = np.zeros(0, np.int64)
+    if not len(items.item) or not len(words):
+        return none, none, none
+    _, suffixes, _, keys = suffix_array(items, words, word_at, items.shortest)
+    return window_places(items, suffixes, keys) if len(suffixes) else (none, none, none)
+
+
+def shard_longest(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The longest verbatim match in a shard of each item that has one: item, length, the
+    match's first word in the item, and in the shard."""
+    none = np.zeros(0, np.int64)
+    if not len(items.item) or not len(words):
+        return none, none, none, none
+    number, suffixes, run, keys = suffix_array(items, words, word_at, 1)
+    if not len(suffixes):
+        return none, none, none, none
+    # What agrees with a suffix longest is next to its place in the order.
+    total = len(items.numbers) - 1
+    at, item = np.arange(total), np.repeat(np.arange(len(items.ids)), np.diff(items.word_at))
+    left = items.word_at[1:][item] - at
+    below = bisect(keys, pack_keys(items.numbers, at, np.minimum(left, items.size), items.size, items.bits, False), False)
+    found = []
+    for near in (np.maximum(below - 1, 0), np.minimum(below, len(suffixes) - 1)):
+        place, most = suffixes[near], np.minimum(left, run[near])
+        same, common = np.ones(total, bool), np.zeros(total, np.int64)
+        for k in range(items.size):
+            same &= (k < most) & (number[np.minimum(place + k, len(words))] == items.numbers[np.minimum(at + k, total)])
+            common += same
+        found.append((item, common, at - items.word_at[item], place))
+    # Matches of a window and more are joined from windows.
+    window, place, length = window_places(items, suffixes, keys)
+    doc = np.searchsorted(word_at, place, "right") - 1
+    number_of = {name: k for k, name in enumerate(items.ids)}
+    joined = [(number_of[m["item_id"]], m["length"], m["item_start"], m["doc_start"] + word_at[d]) for d, own in longest(items, window, place - word_at[doc], doc, length).items() for m in own]
+    found.append(tuple(np.array(joined, np.int64).reshape(-1, 4).T))
+    item, length, start, place = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((place, start, -length, item))
+    order = order[length[order] > 0]
+    order = order[np.append(True, np.diff(item[order]) != 0)[: len(order)]]
+    return item[order], length[order], start[order], place[order]
+
+
 def _intervals(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -195,25 +243,61 @@ def longest(items: Items, window: np.ndarray, place: np.ndarray, doc: np.ndarray
     return out
 
 
-def match(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
-    """All columns of ``docs`` and a struct (its name is returned too): n_words, n_hit, the
-    longest matches with their items and places, and the spans of hit words."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+def _item_pass(items_var: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = received(Items, items_var)
+        for batch in batches:
+            for part, data, bounds in text_slices(batch, "text", SHARD_BYTES):
+                words, word_at = split_words(data, bounds)
+                item, length, start, place = shard_longest(items, words, word_at)
+                doc = np.searchsorted(word_at, place, "right") - 1
+                named = pa.array(items.ids, pa.string()).take(pa.array(item))
+                yield pa.RecordBatch.from_arrays([named, pa.array(length), pa.array(start), part.column("doc_id").take(pa.array(doc)), pa.array(place - word_at[doc])], ["item_id", "length", "item_start", "doc_id", "doc_start"])
+
+    return run
+
+
+def blocks_of(benchmark: DataFrame, item_column: str, item_text: str, size: int, block_bytes: int) -> Iterator[Broadcast]:
+    """The index of one block of the benchmark after the other."""
+    spark = benchmark.sparkSession
     texts = benchmark.select(F.coalesce(F.col(item_column).cast("string"), F.lit("null")).alias("i"), F.col(item_text).alias("t")).where("t is not null")
     total = texts.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
-    state = free_name(docs, "contamination")
-    out = docs
     for k in range(blocks):
         rows = texts.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).distinct().collect()
         rows.sort()
-        items = ship(spark, Items([r[0] for r in rows], [r[1] for r in rows], size))
+        yield ship(spark, Items([r[0] for r in rows], [r[1] for r in rows], size))
+
+
+def match(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
+    """All columns of ``docs`` and a struct (its name is returned too): n_words, n_hit, the
+    longest matches with their items and places, and the spans of hit words."""
+    bounded_batches(docs.sparkSession)
+    state = free_name(docs, "contamination")
+    out = docs
+    for k, items in enumerate(blocks_of(benchmark, item_column, item_text, size, block_bytes)):
         schema = docs.sparkSession.createDataFrame([], docs.schema).selectExpr("*", f"cast(null as {STATE}) as `{state}`").schema
         out = out.mapInArrow(_pass(items, text_column, state, k == 0), schema)
     return out, state
 
 
+def item_matches(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """item_id, length, item_start, doc_id, doc_start for every item id: its longest verbatim
+    match in all of ``docs``, in words, and one of the places of that length.
+
+    Items that share no word with the corpus have length 0 and no place. Each block of the
+    benchmark reads the documents once; a shard passes on one row an item.
+    """
+    bounded_batches(docs.sparkSession)
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    schema = f"item_id string, length bigint, item_start bigint, doc_id {texts.schema['doc_id'].dataType.simpleString()}, doc_start bigint"
+    parts = [texts.mapInArrow(_item_pass(items), schema) for items in blocks_of(benchmark, item_column, item_text, size, block_bytes)]
+    place = F.struct("length", "item_start", "doc_id", "doc_start")
+    best = reduce(DataFrame.unionByName, parts).groupBy("item_id").agg(F.max(place).alias("m"))
+    every = benchmark.select(F.coalesce(F.col(item_column).cast("string"), F.lit("null")).alias("item_id")).distinct()
+    return every.join(best, "item_id", "left").select("item_id", F.coalesce("m.length", F.lit(0)).cast("bigint").alias("length"), "m.item_start", "m.doc_id", "m.doc_start")
+
+
 def contaminated(state: str):
     """The rule: some word is hit, and at least one in twenty."""
     hit, words = F.col(f"`{state}`.n_hit"), F.col(f"`{state}`.n_words")

@@ -39,6 +39,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def benchmark_longest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest verbatim match of every benchmark item in the documents, of any length."""
+    return decontam.item_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     tokenstore.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
@@ -77,6 +82,7 @@ QUERIES = {
     "op2_language": op2_language,
     "op3_url_filter": op3_url_filter,
     "op4_decontamination": op4_decontamination,
+    "benchmark_longest_matches": benchmark_longest_matches,
     "op5_token_store": op5_token_store,
     "op6_licenses": op6_licenses,
     "op6_licenses_lines": op6_licenses_lines,

@@ -90,3 +90,34 @@ def test_null_and_the_word_null_are_one_item(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(None, "a b c"), ("null", "d e f")], "item_id string, text string")
     assert {(r.doc_id, r.n_items, r.items_sha256) for r in decontam.verdicts(docs, items).collect()} == {(k, 1, hashlib.sha256(b"null").hexdigest()) for k in (1, 2)}
+
+
+def test_longest_match_of_every_item(spark):
+    """Lengths as by trying all places; the place given holds such a match."""
+    for seed in (3, 4):
+        docs, items = case(seed)
+        docs, items = docs[:25], items + [(97, "nowhere at all"), (96, "zz e zz")]
+        expected = {}
+        for item_id, item in items:
+            v, most = words(item), 0
+            for _, text in docs:
+                w, above = words(text), {}
+                for x in w:
+                    above = {j: above.get(j - 1, 0) + 1 for j in range(len(v)) if v[j] == x}
+                    most = max(most, *above.values(), 0)
+            name = "null" if item_id is None else str(item_id)
+            expected[name] = max(most, expected.get(name, 0))
+        d = spark.createDataFrame(docs, "doc_id long, text string")
+        b = spark.createDataFrame(items, "item_id long, text string")
+        for options in ({}, {"block_bytes": 200}):
+            rows = decontam.item_matches(d, b, **options).collect()
+            assert {r.item_id: r.length for r in rows} == expected and len(rows) == len(expected)
+            for r in rows:
+                if r.length:
+                    have = {tuple(words(t)[r.doc_start : r.doc_start + r.length]) for k, t in docs if k == r.doc_id}
+                    want = {tuple(words(t)[r.item_start : r.item_start + r.length]) for k, t in items if ("null" if k is None else str(k)) == r.item_id}
+                    assert any(len(x) == r.length for x in have & want)
+                else:
+                    assert r.item_start is None and r.doc_id is None and r.doc_start is None
+    assert {r.length for r in decontam.item_matches(d.limit(0), b).collect()} == {0}
+    assert decontam.item_matches(d, b.limit(0)).count() == 0
