@@ -20,7 +20,7 @@ compared on full sets, whatever their tokens, in tiles of bounded size.
 Components grow by alternating star operations on the links, as joins and aggregates.
 
 What can be missed is a pair that no tree's first branch brings together, or that has fewer
-than CANDIDATE equal tokens (at the threshold with a probability of 3e-11), and that no
+than CANDIDATE equal tokens (at the threshold with a probability of 5e-11), and that no
 cluster brings together either.
 
 Shingles are compared by 64-bit hashes of 64-bit hashes of words. Texts that are null or
