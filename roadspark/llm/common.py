@@ -38,13 +38,6 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def near_rows(df: DataFrame, ids: DataFrame, left: str, right: str, how: str = "left_semi") -> DataFrame:
-    """Join ``df`` with a table of ids: broadcast when a count proves it small, else shuffled."""
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    return df.join(ids, df[left] == ids[right], how)
-
-
 def not_held_out(doc_id: Column) -> Column:
     """Rows that may be learned from: crc32 of the id's text, mod 4, is not 2."""
     return (F.crc32(doc_id.cast("string").cast("binary")) % 4) != 2
@@ -72,9 +65,14 @@ def kept_between_tasks() -> dict:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Let Spark hand texts to Python in Arrow batches of 16 MB at most."""
+    """Let Spark hand texts to Python in Arrow batches of 16 MB at most.
+
+    A session whose own bound is smaller keeps it, in whatever form (``4m``, ``4194304b``) it is
+    written; a larger one, or none, is lowered for the jobs that run from then on.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+    bound = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < bound <= BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
 

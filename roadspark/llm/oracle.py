@@ -121,3 +121,30 @@ reach(id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.b, r.c FROM reach r
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(c) AS component_id FROM reach GROUP BY id) m ON m.id = d.doc_id
 """
+
+OP11 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id WHERE p.k <= 5 AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
+_TERMS = rf"regexp_extract_all(translate(text, '{LETTERS}', '{LETTERS.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12 = rf"""
+WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents WHERE text IS NOT NULL),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark WHERE text IS NOT NULL) GROUP BY item_id, term),
+d AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS documents, sum(n) AS total FROM d),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c GROUP BY term, documents),
+m AS (SELECT doc_id, 100 - 75 + ((75 * n * documents) // total) AS m FROM d, c),
+s AS (SELECT q.item_id, f.doc_id, CAST(sum(q.times * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM q JOIN f ON f.term = q.term JOIN w ON w.term = q.term JOIN m ON m.doc_id = f.doc_id GROUP BY q.item_id, f.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from roadspark.storage import scratch_path
 
-from . import ann, chat, decontam, langid, licenses, neardup, oracle, pieces, quality, tokenstore, urlfilter
+from . import ann, chat, decontam, langid, lexical, licenses, neardup, negatives, oracle, pieces, quality, secretscan, tokenstore, urlfilter
 from .common import held_out, table
 
 
@@ -77,6 +77,21 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), F.col("id") % 50 == 0)
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secretscan.digests(docs, secretscan.train(docs))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_language": op2_language,
@@ -90,6 +105,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_neighbours": op9_neighbours,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_secrets": op13_secrets,
 }
 #: The others learn a model, search approximately, or need a tokenizer.
 ORACLE_SQL: dict[str, str] = {
@@ -99,4 +117,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_licenses": oracle.OP6,
     "op6_licenses_lines": oracle.OP6_LINES,
     "op7_near_duplicates": oracle.OP7,
+    "op11_hard_negatives": oracle.OP11,
+    "op12_lexical_search": oracle.OP12,
 }
