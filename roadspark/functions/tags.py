@@ -51,12 +51,12 @@ def way_id_of(feature_id: Column) -> Column:
 
 #: What counts as white space at the ends of a value: that of Unicode's separators and of
 #: ASCII's controls, and the byte order mark.
-_BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
+_BLANK = "\t\n\x0b\f\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def trimmed(value: Column) -> Column:
     """The value without white space at its ends."""
-    return F.regexp_replace(value, f"^{_BLANK}|{_BLANK}$", "")
+    return F.btrim(value, F.lit(_BLANK))
 
 
 def split_values(value: Column) -> Column:

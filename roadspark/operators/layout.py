@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import REQUIRED
@@ -11,7 +14,7 @@ from ..storage import scratch_path
 
 def bbox_query(df: DataFrame, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
     """Rows whose bounds, or place, overlap a box. Plain ranges, so Parquet statistics prune."""
-    low_lat, high_lat, low_lon, high_lon = ("min_lat", "max_lat", "min_lon", "max_lon") if "min_lat" in df.columns else ("lat", "lat", "lon", "lon")
+    low_lat, high_lat, low_lon, high_lon = bound_columns(df)
     return df.where((F.col(high_lat) >= min_lat) & (F.col(low_lat) <= max_lat) & (F.col(high_lon) >= min_lon) & (F.col(low_lon) <= max_lon))
 
 
@@ -22,11 +25,77 @@ def dedup_segments(df: DataFrame) -> DataFrame:
     return ways.unionByName(df.where("way_id is null"))
 
 
-def spatial_order(df: DataFrame, cell: float = 0.1) -> DataFrame:
-    """Rows dealt and sorted by region and grid cell, for narrow Parquet statistics."""
-    lat, lon = ("min_lat", "min_lon") if "min_lat" in df.columns else ("lat", "lon")
-    keys = [F.col("region"), F.floor(F.col(lat) / cell), F.floor(F.col(lon) / cell)]
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys, lat, lon)
+def _spread(value: Column) -> Column:
+    """The low 32 bits of a number, moved to every second place: four at a time."""
+    moved = F.array(*[F.lit(sum(((n >> k) & 1) << (2 * k) for k in range(4))).cast("bigint") for n in range(16)])
+    part = lambda k: F.shiftleft(F.get(moved, F.shiftright(value, 4 * k).bitwiseAND(F.lit(15)).cast("int")), 8 * k)
+    return reduce(Column.bitwiseOR, [part(k) for k in range(8)])
+
+
+def z_order(lat: Column, lon: Column) -> Column:
+    """The bits of latitude and longitude, 31 each, interleaved: places that are near each other
+    mostly have near keys, at whatever scale. What is beyond the poles or the date line counts as
+    there; a null or NaN has no key."""
+
+    def scaled(value: Column, least: float, most: float) -> Column:
+        share = (F.greatest(F.lit(least), F.least(F.lit(most), value)) - least) / (most - least)
+        return F.when(value.isNotNull() & ~F.isnan(value), F.floor(share * (2**31 - 1)))
+
+    return _spread(scaled(lat, -90.0, 90.0)).bitwiseOR(F.shiftleft(_spread(scaled(lon, -180.0, 180.0)), 1))
+
+
+def bound_columns(df: DataFrame) -> tuple[str, str, str, str]:
+    """The columns of lowest and highest latitude and longitude: bounds, or a place's own."""
+    return ("min_lat", "max_lat", "min_lon", "max_lon") if "min_lat" in df.columns else ("lat", "lat", "lon", "lon")
+
+
+def spatial_order(df: DataFrame) -> DataFrame:
+    """Rows dealt and sorted by region and by Z-order of their middle, for narrow Parquet statistics.
+
+    The ranges are cut where the rows are, so dense places get files of their own and no cell
+    size has to be chosen; a busy region is cut into as many ranges as it needs.
+    """
+    low_lat, high_lat, low_lon, high_lon = bound_columns(df)
+    key = z_order((F.col(low_lat) + F.col(high_lat)) / 2, (F.col(low_lon) + F.col(high_lon)) / 2)
+    order = _free(df, "order")  # computed once, and carried through the exchange
+    return df.withColumn(order, key).repartitionByRange("region", order).sortWithinPartitions("region", order).drop(order)
+
+
+def _free(df: DataFrame, name: str) -> str:
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+#: Files that are named one by one; a box that touches more reads the whole table with a filter.
+NAMED_FILES = 10_000
+
+
+def write_file_bounds(spark: SparkSession, path: str) -> None:
+    """Beside a table, in ``<path>_files``: each of its files with its rows and bounds."""
+    df = spark.read.parquet(path)
+    low_lat, high_lat, low_lon, high_lon = bound_columns(df)
+    rows = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), F.min(low_lat).alias("min_lat"), F.max(high_lat).alias("max_lat"), F.min(low_lon).alias("min_lon"), F.max(high_lon).alias("max_lon"))
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{path}_files")
+
+
+def files_of_box(spark: SparkSession, path: str, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> list[str] | None:
+    """The files of a table whose bounds overlap a box; None if they are more than NAMED_FILES,
+    or have names that Spark would take for patterns."""
+    found = bbox_query(spark.read.parquet(f"{path}_files"), min_lat, max_lat, min_lon, max_lon).select("file").limit(NAMED_FILES + 1).collect()
+    files = sorted(unquote(r.file) for r in found)  # the column holds URIs
+    return files if len(files) <= NAMED_FILES and not any(set(f) & set("[]{}*?") for f in files) else None
+
+
+def read_box(spark: SparkSession, path: str, min_lat: float, max_lat: float, min_lon: float, max_lon: float) -> DataFrame:
+    """The rows of a table that overlap a box, from the files alone that can have some.
+
+    The table's file bounds (:func:`write_file_bounds`) must be those of its present files.
+    """
+    files = files_of_box(spark, path, min_lat, max_lat, min_lon, max_lon)
+    whole = spark.read.parquet(path)
+    some = whole if files is None else spark.read.schema(whole.schema).option("basePath", path).parquet(*files) if files else whole.limit(0)
+    return bbox_query(some.select(whole.columns), min_lat, max_lat, min_lon, max_lon)
 
 
 def checked(df: DataFrame, table: str) -> DataFrame:

@@ -84,6 +84,10 @@ CROSS JOIN (SELECT unnest(['traffic_calming', 'roundabouts', 'road_ways', 'road_
 LEFT JOIN (SELECT region, 'traffic_calming' AS table_name FROM ({CALMING_ALL}) UNION ALL SELECT region, 'roundabouts' FROM ({MINI_ROWS} UNION ALL {ROUND_ROWS})
  UNION ALL SELECT region, 'road_ways' FROM roads WHERE open_road UNION ALL SELECT region, 'road_surfaces' FROM roads WHERE surface <> '' AND open_road) c
 ON c.region = r.region AND c.table_name = t.table_name GROUP BY r.region, t.table_name"""
+ALL_REGIONS = "SELECT unnest(['AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST', 'ATLANTIS']) AS region"
+PUBLISHED = f"""SELECT 'road_ways' AS table_name, region FROM roads WHERE open_road UNION ALL SELECT 'road_surfaces', region FROM roads WHERE surface <> '' AND open_road
+UNION ALL SELECT 'traffic_calming', region FROM ({CALMING_ROWS} UNION ALL {CAMERA_ROWS}) UNION ALL SELECT 'roundabouts', region FROM ({MINI_ROWS})
+UNION ALL SELECT 'metadata', region FROM ({ALL_REGIONS}), range(5)"""
 _HAS = "CASE WHEN max(CASE WHEN table_name = '{}' THEN n END) > 0 THEN 'true' ELSE 'false' END"
 MANIFEST = """SELECT c.region, coalesce(nullif(r.name, ''), c.region) AS name, c.size, c.checksum,
 s.size AS surface_size, s.checksum AS surface_checksum, w.size AS way_size, w.checksum AS way_checksum, d.size AS sqlite_size, d.checksum AS sqlite_checksum
@@ -132,7 +136,8 @@ unnest(['2026-01-01', region, '2026-01-01T00:00:00.000Z', {_HAS.format("road_sur
     "manifest_rows": f"SELECT '2026-01-01' AS version, '2026-01-01T00:00:00.000Z' AS generated_at, region, name, size, checksum, surface_size, way_size, sqlite_size, sqlite_checksum FROM ({MANIFEST})",
     "slim_rows": "SELECT '2026-01-01' AS version, row_number() OVER (ORDER BY id) - 1 AS position, id, name, b3, estimated_size, CAST(NULL AS VARCHAR) AS continent FROM region_catalogue",
     "feature_ids": "SELECT 'w' || way_id AS id, way_id FROM ways UNION ALL SELECT 'n' || node_id, NULL FROM nodes",
-    "run_stamps": "SELECT r_name AS region, '2026-01-01' AS version, '2026-01-01T00:00:00.000Z' AS created_at, true AS is_today, true AS is_iso FROM region",
+    "run_stamps": """SELECT n_name, CASE WHEN n_nationkey % 3 = 0 THEN '2026-' || n_nationkey ELSE 'today' END AS version,
+CASE WHEN n_nationkey % 3 = 0 THEN '2026-' || n_nationkey ELSE 'now' END AS instant, '2026-01-01' AS fixed FROM nation""",
     "lines_roundtrip": f"""SELECT 'road_ways' AS table_name, region, highway AS kind, surface, min_lat AS lat, max_lon AS lon, n_points FROM ({ROAD_WAYS})
 UNION ALL SELECT 'road_surfaces', region, NULL, surface, min_lat, max_lon, n_points FROM ({SURFACES} AND open_road)
 UNION ALL SELECT 'traffic_calming', region, type, NULL, lat, lon, NULL FROM ({CALMING_ALL})
@@ -145,6 +150,29 @@ UNION ALL SELECT 'traffic_calming', region, lat, lat FROM ({CALMING_ALL}) UNION
 UNION ALL SELECT 'roundabouts', region, lat, lat FROM ({ROUND_ROWS}) WHERE region <> 'ASIA'
 UNION ALL SELECT 'metadata', region, NULL, NULL FROM (SELECT DISTINCT region FROM ways), range(5)) GROUP BY table_name, region""",
     "bbox_stored": f"SELECT * EXCLUDE (way_id), way_id FROM ({ROAD_WAYS}) WHERE max_lat >= 50.02 AND min_lat <= 50.03 AND max_lon >= -0.9 AND min_lon <= -0.89",
-    "size_report": "SELECT folder, true AS some, true AS smaller, CAST(1.5 AS DOUBLE) AS seconds FROM (SELECT unnest(['road_ways', 'road_surfaces']) AS folder)",
+    "size_report": f"""SELECT table_name AS folder, region, n, true AS some, true AS smaller, CAST(1.5 AS DOUBLE) AS seconds FROM ({COUNTS}) WHERE table_name LIKE 'road_%'""",
+    "road_ways_by_node": ROAD_WAYS,
+    "header_metadata": f"""SELECT region, unnest(['version', 'region', 'createdAt', 'hasSurfaceData', 'hasWayData']) AS key,
+unnest(['2026-01-01', region, '2026-01-01T00:00:00.000Z', 'false', CASE WHEN n > 0 THEN 'true' ELSE 'false' END]) AS value
+FROM (SELECT a.region, count(r.region) AS n FROM ({ALL_REGIONS}) a LEFT JOIN roads r ON r.region = a.region AND r.open_road AND r.region <> 'ASIA' GROUP BY a.region)""",
+    "replaced_region": f"""SELECT a.region, count(m.region) AS n, CASE WHEN a.region IN ('ASIA', 'EUROPE') THEN count(m.region) END AS written
+FROM ({ALL_REGIONS}) a LEFT JOIN ({MINI_ROWS}) m ON m.region = a.region AND a.region <> 'EUROPE' AND (a.region <> 'ASIA' OR m.lat < 50.1) WHERE a.region <> 'ATLANTIS' GROUP BY a.region""",
+    "published_tables": f"""SELECT number, table_name, region, count(*) AS n FROM ({PUBLISHED}), (SELECT unnest([0, 1]) AS number)
+WHERE number = 0 OR region NOT IN ('ASIA', 'EUROPE') OR (region = 'ASIA' AND table_name <> 'road_surfaces') OR table_name = 'metadata' GROUP BY number, table_name, region""",
+    "published_metadata": f"""SELECT region, unnest(['version', 'region', 'createdAt', 'hasSurfaceData', 'hasWayData']) AS key,
+unnest([CASE region WHEN 'ASIA' THEN '2026-02-01' WHEN 'EUROPE' THEN '2026-02-02' ELSE '2026-01-01' END, region, '2026-01-01T00:00:00.000Z',
+  CASE WHEN surfaces > 0 AND region NOT IN ('ASIA', 'EUROPE') THEN 'true' ELSE 'false' END, CASE WHEN ways > 0 AND region <> 'EUROPE' THEN 'true' ELSE 'false' END]) AS value
+FROM (SELECT a.region, count(*) FILTER (p.table_name = 'road_surfaces') AS surfaces, count(*) FILTER (p.table_name = 'road_ways') AS ways FROM ({ALL_REGIONS}) a LEFT JOIN ({PUBLISHED}) p ON p.region = a.region GROUP BY a.region)""",
+    "streamed_tables": f"""WITH ok AS (SELECT * FROM roads WHERE way_id % 10 NOT IN (3, 7)),
+made AS (SELECT 'road_ways' AS name, min_lat AS lat FROM ok WHERE open_road UNION ALL SELECT 'road_surfaces', min_lat FROM ok WHERE surface <> '' AND open_road
+  UNION ALL SELECT 'traffic_calming', lat FROM ({CALMING_ROWS} UNION ALL {CAMERA_ROWS}) UNION ALL SELECT 'traffic_calming', lat0 FROM ok WHERE bridge = 'yes' OR tunnel = 'yes'
+  UNION ALL SELECT 'roundabouts', lat FROM ({MINI_ROWS}) UNION ALL SELECT 'roundabouts', mean_lat FROM ok WHERE junction = 'roundabout')
+SELECT name, count(*) AS n, round(min(lat) + 1e-9, 6) AS low, round(max(lat) + 1e-9, 6) AS high FROM made GROUP BY name
+UNION ALL SELECT 'counted ' || name, count(*), NULL, NULL FROM made GROUP BY name
+UNION ALL SELECT 'counted features', (SELECT count(*) FROM ok) + (SELECT count(*) FROM nodes), NULL, NULL
+UNION ALL SELECT 'counted blank', count(*) FILTER (way_id % 10 = 7), NULL, NULL FROM roads
+UNION ALL SELECT 'counted rejected', count(*) FILTER (way_id % 10 = 3), NULL, NULL FROM roads
+UNION ALL SELECT 'rejected lines', count(*) FILTER (way_id % 10 = 3), NULL, NULL FROM roads""",
 }
-ORACLE_SQL = {name: CTE + body for name, body in _BODY.items()}
+#: A body that has tables of its own adds them to the common ones.
+ORACLE_SQL = {name: CTE + ("," + body[len("WITH") :] if body.startswith("WITH ") else body) for name, body in _BODY.items()}

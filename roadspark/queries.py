@@ -9,18 +9,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
-from . import sinks
+from . import publication, sinks
 from .functions import geo, time
 from .functions.tags import surface_type, way_id_of
 from .operators import features as x
 from .operators import filters as f
-from .operators.geometry import assemble_geometry, point_features, referenced_nodes, way_feature_id
-from .operators.layout import bbox_query, dedup_segments
+from .operators.geometry import assemble_geometry, point_features, referenced_nodes, stored_by_node, way_feature_id
+from .operators.layout import bbox_query, dedup_segments, read_box, write_file_bounds
 from .plans import extract, manifest
 from .plans.bundle_tables import bundle_metadata, tables_from_bundles
 from .sources import bundles, geojson
 from .sources.catalogue import find_region, read_artifacts, read_regions, slim_regions
-from .storage import scratch_path
+from .storage import saved, scratch_path
+from .streaming import geojson as stream
 
 VERSION, CREATED_AT = "2026-01-01", "2026-01-01T00:00:00.000Z"
 #: One node table serves all regions of the fixture.
@@ -179,16 +180,20 @@ def manifest_totals(spark, sf_dir):
     return manifest.totals(manifest_regions(spark, sf_dir))
 
 
-def _sequence_lines(spark, sf_dir) -> DataFrame:
+def _sequence_lines(spark, sf_dir, tags=("highway", "service", "surface")) -> DataFrame:
     """The fixture's drivable lines as GeoJSON text, some with a separator in front, some broken."""
     roads = _roads(spark, sf_dir).where(f.is_line())
-    properties = F.create_map(*[v for t in ("highway", "service", "surface") for v in (F.lit(t), F.col(f"tags.{t}"))])
-    geometry = F.struct(F.lit("LineString").alias("type"), F.transform("pts", lambda p: F.array(p["lon"], p["lat"])).alias("coordinates"))
-    text = F.to_json(F.struct(F.lit("Feature").alias("type"), "id", F.map_filter(properties, lambda _, v: v.isNotNull()).alias("properties"), geometry.alias("geometry")))
+    text = _geojson(tags, "LineString", F.transform("pts", lambda p: F.array(p["lon"], p["lat"])))
     k = F.col("way_id")
     return roads.select("way_id", F.when(k % 10 == 0, F.concat(F.lit("\x1e"), text)).when(k % 10 == 3, F.concat(text, F.lit(" x"))).when(k % 10 == 7, F.lit("  ")).otherwise(text).alias("value"))
 
 
+def _geojson(tags, kind: str, coordinates: Column) -> Column:
+    properties = F.create_map(*[v for t in tags for v in (F.lit(t), F.col(f"tags.{t}"))])
+    geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+    return F.to_json(F.struct(F.lit("Feature").alias("type"), "id", F.map_filter(properties, lambda _, v: v.isNotNull()).alias("properties"), geometry.alias("geometry")))
+
+
 def geojsonseq_scan(spark, sf_dir):
     return geojson.count_lines(_sequence_lines(spark, sf_dir))
 
@@ -201,8 +206,7 @@ def geojsonseq_ways(spark, sf_dir):
 def bundle_roundtrip(spark, sf_dir):
     """Core bundles written as gzip JSON documents and read back."""
     path = scratch_path(spark, "bundles")
-    tables = extract.extract(*_tables(spark, sf_dir), **KEY)
-    sinks.write_core_bundles(tables["traffic_calming"], tables["roundabouts"], VERSION, path)
+    sinks.write_core_bundles(*x.core(extract.core_features(*_tables(spark, sf_dir), **KEY)), VERSION, path)
     heads = bundles.read_header(spark, path)
     counts = [bundles.read_items(spark, path, a).groupBy("region").agg(F.count("*").alias(c)) for a, c in (("trafficCalming", "n_calming"), ("roundabouts", "n_roundabouts"))]
     return heads.join(counts[0], "region", "left").join(counts[1], "region", "left").select("version", "region", F.coalesce("n_calming", F.lit(0)).alias("n_calming"), F.coalesce("n_roundabouts", F.lit(0)).alias("n_roundabouts"))
@@ -272,10 +276,13 @@ def feature_ids(spark, sf_dir):
 
 
 def run_stamps(spark, sf_dir):
-    """Stamps of a run for each region, given and by the clock."""
-    regions = spark.read.parquet(f"{sf_dir}/region.parquet")
-    today = time.version() == F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd")
-    return regions.select(F.col("r_name").alias("region"), time.version(VERSION).alias("version"), time.instant(CREATED_AT).alias("created_at"), (today & (time.version("") == time.version())).alias("is_today"), time.instant().rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$").alias("is_iso"))
+    """Stamps of runs that name a version, an empty one or none: the given one, or that of the clock."""
+    k = F.col("n_nationkey")
+    runs = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", F.when(k % 3 == 0, F.concat(F.lit("2026-"), k)).when(k % 3 == 1, F.lit("")).alias("given"))
+    clock = F.date_format(F.from_utc_timestamp(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "UTC"), "yyyy-MM-dd")
+    stamped = runs.select("n_name", time.version(F.col("given")).alias("v"), time.instant(F.col("given")).alias("i"), time.version(VERSION).alias("fixed"))
+    is_iso = F.col("i").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{3}Z$")
+    return stamped.select("n_name", F.when(F.col("v") == clock, "today").otherwise(F.col("v")).alias("version"), F.when(is_iso & F.col("i").startswith(clock), "now").otherwise(F.col("i")).alias("instant"), "fixed")
 
 
 def lines_roundtrip(spark, sf_dir):
@@ -321,21 +328,98 @@ def written_tables(spark, sf_dir):
 
 
 def bbox_stored(spark, sf_dir):
-    """A box of a table that is written and ordered, where file statistics prune."""
+    """A box of a table that is written in spatial order, from the files alone that can have rows."""
     path = scratch_path(spark, "ordered")
     sinks.write_table(x.road_ways(_roads(spark, sf_dir)), "road_ways", path)
-    return _tidy(bbox_query(spark.read.parquet(f"{path}/road_ways"), 50.02, 50.03, -0.9, -0.89))
+    write_file_bounds(spark, f"{path}/road_ways")
+    return _tidy(read_box(spark, f"{path}/road_ways", 50.02, 50.03, -0.9, -0.89))
 
 
 def size_report(spark, sf_dir):
-    """What a run reports of its files: there are some, and they are smaller than their rows."""
+    """What a run reports of its files, as the writes counted it: rows, and that the files are
+    smaller than the lines in them."""
     path = scratch_path(spark, "sized")
     tables = extract.extract(*_tables(spark, sf_dir), **KEY)
-    for name in ("road_ways", "road_surfaces"):
-        sinks.write_lines(tables[name], f"{path}/{name}", VERSION)
-    raw = {name: sinks.json_bytes(spark.read.json(f"{path}/{name}")) for name in ("road_ways", "road_surfaces")}
-    found = sinks.write_metrics(spark, path, raw, 1.5)
-    return found.select("folder", (F.col("files") > 0).alias("some"), F.col("smaller_percent").between(1, 99).alias("smaller"), "seconds")
+    written = {name: sinks.write_lines(tables[name], f"{path}/{name}", VERSION, REGIONS) for name in ("road_ways", "road_surfaces")}
+    found = sinks.write_metrics(spark, path, {name: w.raw_bytes for name, w in written.items()}, 1.5)
+    counts = spark.createDataFrame([(name, region, n) for name, w in written.items() for region, n in w.by_region.items()], "folder string, region string, n bigint")
+    return found.join(counts, "folder").select("folder", "region", "n", (F.col("files") > 0).alias("some"), F.col("smaller_percent").between(1, 99).alias("smaller"), "seconds")
+
+
+#: The fixture's regions, and one that has no data at all.
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+EMPTY_REGION = "ATLANTIS"
+
+
+def road_ways_by_node(spark, sf_dir):
+    """Road ways from nodes and references that are stored in buckets by node."""
+    ways, nodes, refs = _tables(spark, sf_dir)
+    nodes, refs = stored_by_node(nodes, refs, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))), **KEY)
+    return _tidy(x.road_ways(extract.road_features(ways, nodes, refs, by_node=True, **KEY)))
+
+
+def header_metadata(spark, sf_dir):
+    """Metadata of a run in line form in which EUROPE has no calming points, ASIA no ways, and
+    one region nothing at all: the header table names them all."""
+    path = scratch_path(spark, "lines")
+    points, regions = _points(spark, sf_dir), [*REGIONS, EMPTY_REGION]
+    sinks.write_lines(x.road_ways(_roads(spark, sf_dir)).where("region <> 'ASIA'"), f"{path}/ways", VERSION, regions)
+    core, rounds = sinks.write_core_lines(x.traffic_calming(points).where("region <> 'EUROPE'"), x.roundabouts(points), VERSION, f"{path}/core", regions)
+    header = f"{path}/core/{bundles.HEADER}"
+    found = tables_from_bundles(spark, core, f"{path}/ways", f"{path}/none", rounds, header)
+    return bundle_metadata(spark, core, found, CREATED_AT, header)
+
+
+def replaced_region(spark, sf_dir):
+    """A table written for all regions, then again for two: of the second one nothing is left."""
+    path = scratch_path(spark, "replaced")
+    rounds = x.roundabouts(_points(spark, sf_dir), full=False)
+    sinks.write_table(rounds, "roundabouts", path, REGIONS)
+    again = sinks.write_table(rounds.where("region = 'ASIA' and lat < 50.1"), "roundabouts", path, ["ASIA", "EUROPE"])
+    counted = spark.createDataFrame(list(again.by_region.items()), "region string, written bigint")
+    return spark.read.parquet(f"{path}/roundabouts").groupBy("region").agg(F.count("*").alias("n")).join(counted, "region", "full").select("region", F.coalesce("n", F.lit(0)).alias("n"), "written")
+
+
+def _published(spark, sf_dir) -> str:
+    """Two runs: all regions and one without data; then EUROPE and ASIA anew, EUROPE without rows."""
+    path = scratch_path(spark, "published")
+    points, roads = _points(spark, sf_dir), saved(_roads(spark, sf_dir), "roads")
+    first = {"traffic_calming": x.traffic_calming(points), "roundabouts": x.roundabouts(points), "road_ways": x.road_ways(roads).drop("way_id"), "road_surfaces": x.road_surfaces(roads).drop("way_id")}
+    publication.publish(first, path, [*REGIONS, EMPTY_REGION], VERSION, CREATED_AT)
+    second = {name: df.where("region = 'ASIA'" if name != "road_surfaces" else "false") for name, df in first.items()}
+    publication.publish(second, path, ["ASIA", "EUROPE"], {"ASIA": "2026-02-01", "EUROPE": "2026-02-02"}, CREATED_AT)
+    return path
+
+
+def published_tables(spark, sf_dir):
+    """Rows by table and region after the second run, and after the first."""
+    path = _published(spark, sf_dir)
+    parts = [publication.read_published(spark, path, t, at).groupBy("region").agg(F.count("*").alias("n")).select(F.lit(at).cast("bigint").alias("number"), F.lit(t).alias("table_name"), "region", "n") for at in (0, 1) for t in publication.TABLES]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def published_metadata(spark, sf_dir):
+    """Metadata as the last commit shows it: of either run for its regions."""
+    return publication.read_published(spark, _published(spark, sf_dir), "metadata")
+
+
+def streamed_tables(spark, sf_dir):
+    """GeoJSON text files taken in as a stream, in several batches: the four tables, and the
+    numbers of good, blank and rejected lines."""
+    path = scratch_path(spark, "streamed")
+    roads = _sequence_lines(spark, sf_dir, ("highway", "service", "surface", "junction", "bridge", "tunnel", "ref")).select("value")
+    points = _points(spark, sf_dir).select(_geojson(("traffic_calming", "highway", "enforcement", "name", "maxspeed"), "Point", F.transform("pts", lambda p: F.array(p["lon"], p["lat"]))[0]).alias("value"))
+    roads.unionByName(points).repartition(6).write.text(f"{path}/in")
+    stream.stream_tables(spark, f"{path}/in", "all", f"{path}/out", f"{path}/checkpoint", files_per_trigger=3).awaitTermination()
+    parts = []
+    for name in stream.SCHEMAS:
+        lat = "min_lat" if name.startswith("road_") else "lat"
+        parts.append(stream.read_streamed(spark, f"{path}/out", name).agg(F.count("*").alias("n"), F.min(lat).alias("low"), F.max(lat).alias("high")).select(F.lit(name).alias("name"), "n", "low", "high"))
+    seen = stream.read_streamed(spark, f"{path}/out", "counts").agg(*[F.sum(c).alias(c) for c in ("features", "blank", "rejected", *stream.SCHEMAS)])
+    pairs = F.explode(F.array(*[F.struct(F.lit(f"counted {c}").alias("name"), F.col(c).alias("n")) for c in seen.columns]))
+    counted = seen.select(pairs.alias("p")).select("p.*", *[F.lit(None).cast("double").alias(c) for c in ("low", "high")])
+    lines = stream.read_rejected(spark, f"{path}/out").agg(F.count("*").alias("n")).select(F.lit("rejected lines").alias("name"), "n", *[F.lit(None).cast("double").alias(c) for c in ("low", "high")])
+    return _tidy(reduce(DataFrame.unionByName, [*parts, counted, lines]))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -380,4 +464,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "written_tables": written_tables,
     "bbox_stored": bbox_stored,
     "size_report": size_report,
+    "road_ways_by_node": road_ways_by_node,
+    "header_metadata": header_metadata,
+    "replaced_region": replaced_region,
+    "published_tables": published_tables,
+    "published_metadata": published_metadata,
+    "streamed_tables": streamed_tables,
 }

@@ -26,7 +26,7 @@ def _points(coordinates: Column, geom_type: Column) -> Column:
     )
 
 
-def _features(rows: DataFrame, region: str) -> DataFrame:
+def features(rows: DataFrame, region: str) -> DataFrame:
     """The common feature columns, of rows with the column ``f``."""
     tags = F.struct(*[F.col("f.properties")[t].alias(t) for t in TAGS])
     return rows.select(
@@ -39,7 +39,7 @@ def _features(rows: DataFrame, region: str) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Each line's feature ``f``, and whether it is ``blank`` or ``rejected``.
+    """Each ``line``, its feature ``f``, and whether it is ``blank`` or ``rejected``.
 
     A line is trimmed and may begin with a record separator. Blank lines are skipped; lines
     that are not one JSON object, or lack geometry or properties, are rejected.
@@ -48,15 +48,15 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     schema = FEATURE[len("struct<") : -1] + ", corrupt:string"
     rows = lines.select(text.alias("line")).withColumn("f", F.from_json("line", f"struct<{schema}>", _OPTIONS))
     bad = F.col("f.corrupt").isNotNull() | ~F.col("line").endswith("}") | F.col("f.geometry").isNull() | F.col("f.properties").isNull()
-    return rows.select(F.col("f"), (F.col("line") == "").alias("blank"), ((F.col("line") != "") & F.coalesce(bad, F.lit(True))).alias("rejected"))
+    return rows.select("line", F.col("f"), (F.col("line") == "").alias("blank"), ((F.col("line") != "") & F.coalesce(bad, F.lit(True))).alias("rejected"))
 
 
 def features_of_lines(lines: DataFrame, region: str, column: str = "value", counts: Observation | None = None) -> DataFrame:
     """Features of the good lines. ``counts`` gets features, blank and rejected from the same pass."""
     parsed = parse_lines(lines, column)
     if counts is not None:
-        parsed = parsed.observe(counts, *_counts())
-    return _features(parsed.where("not blank and not rejected"), region)
+        parsed = parsed.observe(counts, *line_counts())
+    return features(parsed.where("not blank and not rejected"), region)
 
 
 def read_sequence(spark: SparkSession, path: str, region: str, counts: Observation | None = None) -> DataFrame:
@@ -64,13 +64,13 @@ def read_sequence(spark: SparkSession, path: str, region: str, counts: Observati
     return features_of_lines(spark.read.text(path), region, counts=counts)
 
 
-def _counts() -> list[Column]:
+def line_counts() -> list[Column]:
     return [F.count_if(~F.col("blank") & ~F.col("rejected")).alias("features"), F.count_if("blank").alias("blank"), F.count_if("rejected").alias("rejected")]
 
 
 def count_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row: features, blank and rejected lines."""
-    return parse_lines(lines, column).agg(*_counts())
+    return parse_lines(lines, column).agg(*line_counts())
 
 
 def read_collection(spark: SparkSession, path: str, region: str) -> DataFrame:
@@ -80,4 +80,4 @@ def read_collection(spark: SparkSession, path: str, region: str) -> DataFrame:
     """
     documents = spark.read.schema(f"type string, features array<{FEATURE}>").option("multiLine", True).option("mode", "FAILFAST").json(path)
     rows = documents.select(F.explode("features").alias("f")).where("f.geometry is not null and f.properties is not null")
-    return _features(rows, region)
+    return features(rows, region)
