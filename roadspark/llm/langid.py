@@ -13,18 +13,21 @@ parsed again until both parses are in the same state, so the phrases are those o
 text.
 
 Symbols are the bytes of the lower-cased text, other ASCII than letters being one symbol
-that does not repeat. The sample of a language is bounded: TEXTS rows chosen by a hash of id
-and text give an equal share of SAMPLE symbols, each from a place in its text that the hash
-chooses (fewer symbols if there are so many languages that the tables would exceed
-TABLE_BYTES); more than LANGUAGES languages are an error. Prediction covers every text whole.
-Texts that are null or have no letter are ``und`` with score 0, and so is every text if
-nothing was learned. Null labels are not learned from. Repeated rows and null ids are
-predicted each, and equal rows are learned from once; empty tables stay empty.
+that does not repeat. The sample of a language is bounded: of its different texts with a
+letter, the TEXTS with the smallest hashes give an equal share of SAMPLE symbols, each from a
+place in its text that the hash chooses, or from its first letter on if there is none at that
+place (fewer symbols if there are so many languages that the tables would exceed TABLE_BYTES).
+So every language that has a text with a letter is learned, however often rows repeat; more
+than LANGUAGES languages are an error. Prediction covers every text whole. Texts that are null
+or have no letter are ``und`` with score 0, and so is every text if nothing was learned. Null
+labels are not learned from. Repeated rows and null ids are predicted each, and equal texts of
+a language are learned from once; empty tables stay empty.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +45,8 @@ TEXTS = 60
 LANGUAGES = 512
 TABLE_BYTES = 256 << 20
 SEGMENT = 512
+#: Segments that are parsed side by side as long as there are more of them.
+FEW = 24
 #: Text bytes that are parsed at a time (a longer text is parsed alone).
 SLICE = 1 << 20
 #: How sharply a difference of a bit a symbol counts in the score.
@@ -51,6 +56,8 @@ SHARPNESS = 10.0
 SYMBOL_BITS = 8
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+#: Texts that have symbols to learn from.
+_LETTERED = r"[A-Za-z]|[^\x00-\x7F]"
 
 _CODE = np.zeros(256, np.uint8)
 _CODE[97:123] = np.arange(1, 27)
@@ -112,33 +119,33 @@ def parse_table(sample: np.ndarray, alphabet: np.ndarray) -> np.ndarray:
 def _segments(table: np.ndarray, fresh: int, flat: np.ndarray, begin: np.ndarray, length: np.ndarray, live: np.ndarray, following: np.ndarray) -> np.ndarray:
     """Phrases that begin in each segment, in one language."""
     state, count = np.full(len(begin), fresh, np.int32), np.zeros(len(begin), np.int64)
-    passed = []  # the state of every segment after each symbol
-    for k, n in enumerate(live.tolist()):
-        if not n:
-            break
+    passed = np.zeros((int((live > 0).sum()), len(begin)), np.int32)  # the state of every segment after each symbol
+    for k in range(len(passed)):
+        n = live[k]
         found = table[state[:n] + flat[begin[:n] + k]]
         sign = found >> 31
         count[:n] -= sign
         state[:n] = found ^ sign
-        passed.append(state[:n].copy())
+        passed[k] = state
     # Segments that follow another start in its last state instead, until both parses agree.
     source = np.flatnonzero(following >= 0)
     starts = np.full(len(begin), fresh, np.int32)
+    one = _One(table, flat, begin, length, state, count, passed)
     while len(source):
         where, given = following[source], state[source]
         open_ = starts[where] != given
         where, given = where[open_], given[open_]
         old, starts[where] = starts[where], given
         changed = []
-        for k in range(SEGMENT):
+        for k in range(len(passed)):
+            if len(where) <= FEW:
+                break
             inside = length[where] > k
             if not inside.all():
                 ended = where[~inside]
                 state[ended] = given[~inside]
                 changed.append(ended)
                 where, given, old = where[inside], given[inside], old[inside]
-            if not len(where):
-                break
             symbol = flat[begin[where] + k]
             found, before = table[given + symbol], table[old + symbol]
             sign = found >> 31
@@ -147,14 +154,46 @@ def _segments(table: np.ndarray, fresh: int, flat: np.ndarray, begin: np.ndarray
             passed[k][where] = given
             apart = given != old
             where, given, old = where[apart], given[apart], old[apart]
-        if len(where):  # apart through a whole segment
-            state[where] = given
-            changed.append(where)
-        source = np.concatenate(changed) if changed else where
+        else:
+            k = len(passed)
+        # A few that stay apart, and then what follows them in their texts, are parsed one by one.
+        late = [w for w, g, o in zip(where.tolist(), given.tolist(), old.tolist()) if one.agrees_late(w, g, o, k)]
+        for w in late:
+            while (after := int(following[w])) >= 0 and (g := int(state[w])) != (o := int(starts[after])):
+                starts[after] = g
+                if not one.agrees_late(after, g, o, 0):
+                    break
+                w = after
+        source = np.concatenate(changed) if changed else where[:0]
         source = source[following[source] >= 0]
     return count
 
 
+class _One:
+    """Parses a single segment on, symbol by symbol, through views that read plain numbers."""
+
+    def __init__(self, table, flat, begin, length, state, count, passed):
+        self.table, self.flat, self.passed = memoryview(table), memoryview(flat), memoryview(passed)
+        self.begin, self.length, self.state, self.count = begin, length, state, count
+
+    def agrees_late(self, segment: int, given: int, old: int, k: int) -> bool:
+        """From symbol k on in the state ``given`` instead of ``old``: is its end another one?"""
+        table, passed, at, n, more = self.table, self.passed, int(self.begin[segment]), int(self.length[segment]), 0
+        while k < n:
+            symbol = self.flat[at + k]
+            found, before = table[given + symbol], table[old + symbol]
+            more += (found < 0) - (before < 0)
+            given, old = (~found if found < 0 else found), passed[k, segment]
+            passed[k, segment] = given
+            if given == old:
+                self.count[segment] += more
+                return False
+            k += 1
+        self.count[segment] += more
+        self.state[segment] = given
+        return True
+
+
 class Model:
     """Parse tables of all languages."""
 
@@ -214,31 +253,33 @@ class Model:
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", learnable: Column | None = None) -> Model:
     """Build the automata from a bounded sample of the labelled rows that may be learned from."""
     rule = not_held_out(F.col(id_column)) if learnable is None else learnable
-    rows = docs.where(rule & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
-    counts = rows.groupBy(F.col(lang_column).alias("lang")).count().limit(LANGUAGES + 1).collect()
-    if len(counts) > LANGUAGES:
+    order = F.xxhash64(text_column)
+    rows = docs.where(rule & F.col(lang_column).isNotNull() & F.col(text_column).rlike(_LETTERED)).select(F.col(lang_column).alias("lang"), order.alias("order"), F.col(text_column).alias("text"))
+    # Hashes alone are shuffled, each once, and the first TEXTS of each language come here.
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    hashes = rows.select("lang", "order").distinct().withColumn("first", first).where(F.col("first") <= TEXTS).select("lang", "order")
+    chosen = hashes.limit(LANGUAGES * TEXTS + 1).collect()
+    count = Counter(r[0] for r in chosen)
+    if len(count) > LANGUAGES or len(chosen) > LANGUAGES * TEXTS:
         raise ValueError(f"more than {LANGUAGES} languages")
-    if not counts:
+    if not chosen:
         return Model({})
     # A state and its clone for each symbol, at most, with a column for each of 155 symbols.
-    size = min(SAMPLE, TABLE_BYTES // (len(counts) * 2 * 155 * 4))
-    order = F.xxhash64(id_column, text_column)
-    place, lang = F.pmod(order, F.lit(1 << 30)), F.col(lang_column)
-    by_language = lambda value: F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r[0], value(r[1]))]), lang)
-    chosen = rows.where(place <= by_language(lambda n: min(1 << 30, 2 * TEXTS * (1 << 30) // n)))
+    size = min(SAMPLE, TABLE_BYTES // (len(count) * 2 * 155 * 4))
     # An equal share of each text, with room for symbols of several bytes and dropped ones.
-    share = by_language(lambda n: -(-2 * size // min(n, TEXTS)))
-    start = 1 + F.pmod(F.xxhash64(order), F.greatest(F.lit(1), F.length(text_column) - share + 1))
-    chosen = chosen.select(lang.alias("lang"), order.alias("order"), F.substring(F.col(text_column), start.cast("int"), share).alias("text")).dropDuplicates(["lang", "order"])
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    wanted = docs.sparkSession.createDataFrame([(r[0], r[1], -(-2 * size // count[r[0]])) for r in chosen], "lang string, order bigint, share int")
+    picked = rows.join(F.broadcast(wanted), ["lang", "order"])  # TEXTS rows a language
+    start = 1 + F.pmod(F.xxhash64("order"), F.greatest(F.lit(1), F.length("text") - F.col("share") + 1)).cast("int")
+    there = F.substring("text", start, F.col("share"))
+    part = F.when(there.rlike(_LETTERED), there).otherwise(F.substring("text", F.regexp_instr("text", F.lit(f"({_LETTERED})")), F.col("share")))
     taken: dict[str, list] = {}
-    for r in chosen.withColumn("first", first).where(F.col("first") <= TEXTS).orderBy("lang", "order").collect():
+    for r in picked.select("lang", "order", part.alias("part")).groupBy("lang", "order").agg(F.min("part").alias("part")).orderBy("lang", "order").collect():
         taken.setdefault(r[0], []).append(symbols(r[2] + " "))
     samples = {}
     for k, v in taken.items():
         each = -(-size // len(v))
         samples[k] = np.concatenate([x[:each] for x in v])[:size]
-    return Model({k: v for k, v in samples.items() if len(v)})
+    return Model(samples)
 
 
 def predict(docs: DataFrame, model: Model, text_column: str = "text") -> tuple[DataFrame, str, str]:

@@ -32,9 +32,43 @@ def test_phrases_equal_brute_force(monkeypatch):
     texts += [langid.symbols("".join(rnd.choice("abd" + unknown) for _ in range(n))) for n in (1, 2, 3, 9, 600, 2100)] + [langid.symbols("q"), langid.symbols("éé"), langid.symbols("ab" * 1500)]
     expected = [[greedy(samples[k].tobytes(), t.tobytes()) for k in model.languages] for t in texts]
     assert model.phrases(texts).tolist() == expected
-    for segment in (1, 2, 7):  # whatever the cuts
-        monkeypatch.setattr(langid, "SEGMENT", segment)
-        assert model.phrases(texts).tolist() == expected
+    for segment in (1, 2, 7):  # whatever the cuts, side by side or one by one
+        for few in (0, 3, 10_000):
+            monkeypatch.setattr(langid, "SEGMENT", segment)
+            monkeypatch.setattr(langid, "FEW", few)
+            assert model.phrases(texts).tolist() == expected
+
+
+def brute_force(samples, texts):
+    """Language and score of each text from plain phrase counts."""
+    out = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            out.append(("und", 0.0))
+            continue
+        t = langid.symbols(text).tobytes()
+        cost = {k: greedy(v.tobytes(), t) * np.log2(len(v) + 2) / max(1, len(t)) for k, v in samples.items()}
+        best = min(sorted(cost), key=cost.get)
+        out.append((best, 1 / sum(np.exp(-langid.SHARPNESS * (c - cost[best])) for c in cost.values())))
+    return out
+
+
+def test_predictions_equal_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    model = langid.train(docs)
+    # The samples, chosen plainly: of each language the different texts with the smallest hashes.
+    rows = docs.where("lang is not null and text is not null and crc32(cast(string(doc_id) as binary)) % 4 <> 2").selectExpr("lang", "text", "xxhash64(text) as h").distinct().collect()
+    samples = {}
+    for lang in {r.lang for r in rows}:
+        first = sorted((r.h, r.text) for r in rows if r.lang == lang and any(c.isalpha() for c in r.text))[: langid.TEXTS]
+        share = -(-2 * langid.SAMPLE // len(first))
+        parts = spark.createDataFrame(first, "h long, t string").selectExpr("h", f"substring(t, int(1 + pmod(xxhash64(h), greatest(1, length(t) - {share} + 1))), {share}) as p").orderBy("h").collect()
+        samples[lang] = np.concatenate([langid.symbols(r.p + " ")[: -(-langid.SAMPLE // len(first))] for r in parts])[: langid.SAMPLE]
+    assert model.languages == sorted(samples)
+    found, lang, score = langid.predict(docs, model)
+    got = sorted(((r.text or ""), r[lang], r[score]) for r in found.collect() if len(r.text or "") < 3000)
+    expected = brute_force(samples, [t for t, *_ in got])
+    assert [(g[1], pytest.approx(g[2], abs=1e-9)) for g in got] == expected
 
 
 def test_held_out_accuracy(spark):
@@ -72,6 +106,17 @@ def test_bounded_training(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.train(docs, learnable=F.lit(True))
     assert model.languages == ["de", "en"] and model.predict(["a cat sat on the mat", "die katze"])[0] == ["en", "de"]
+    assert model.languages == ["de", "en"]
     monkeypatch.setattr(langid, "LANGUAGES", 1)
     with pytest.raises(ValueError, match="languages"):
         langid.train(docs, learnable=F.lit(True))
+
+
+def test_no_language_is_lost(spark):
+    """One row repeated very often, texts without letters, a text whose letters come late."""
+    often = spark.range(200_000).selectExpr("1L as doc_id", "'the same dog again and again' as text", "'en' as lang")
+    rows = [(k, f"a cat number {k} sat on the mat", "en") for k in range(2, 60)] + [(99, "der hund und die katze " * 20, "de"), (100, "12345 " * 20, "xx"), (101, "1 " * 100_000 + "ñandú niño", "es"), (102, None, "yy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").unionByName(often)
+    model = langid.train(docs, learnable=F.lit(True))
+    assert model.languages == ["de", "en", "es"]
+    assert model.predict(["a cat sat on the mat", "die katze", "el niño"])[0] == ["en", "de", "es"]
