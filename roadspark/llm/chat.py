@@ -7,9 +7,9 @@ Turns become text with a mark before and after, by role:
 A control string inside a text or role gets a backslash in front (with those that stand there
 already), so every text reads back exactly. Turns are joined by line breaks.
 
-A conversation is cut into blocks of BLOCK turn numbers, and those into parts of BLOCK turns.
-Prefix sums of turn tokens within a part choose its spans: a span takes turns as long as they
-fit the budget besides the system turn and HISTORY tokens (where that leaves less than
+A conversation's turns are ranked, and cut into parts of PART turns by rank, whatever their turn
+numbers are. Prefix sums of turn tokens
+within a part choose its spans: a span takes turns as long as they fit the budget besides the system turn and HISTORY tokens (where that leaves less than
 LEAST_SPAN, besides the system turn alone); a larger turn is a span of its own. A window is
 the system turn (a conversation's first turn if that is its role), the turns just before the
 span as far as HISTORY and the budget allow, and the span. So a window holds at most BUDGET
@@ -17,10 +17,13 @@ tokens, except when the system turn and one single turn together hold more: noth
 The loss mask covers assistant texts of the span alone: repeated ones are masked, so each
 counts once.
 
-The rows' texts are shuffled once, by block, so a conversation of any length is spread over
-tasks; the last turns of a block go along with the next one as its history. Only rows that
-share a block's turn numbers are sorted together (with spilling). What a caller asks to be
-one value per conversation (a digest of all its text) is brought together in the end.
+Ranks come from counts: rows are counted by block (BLOCK turn numbers), the counts of a
+conversation are summed up over its blocks, and rows are ranked within their block. Then they
+are dealt by part, the last turns of a part also to the next one as its history. So a
+conversation of any length is spread over tasks, and only rows that share a block's turn
+numbers are sorted together, and only counts of blocks a conversation at a time (both with
+spilling). What a caller asks to be one value per conversation (a digest of all its text) is
+brought together in the end.
 
 Rows go by turn; equal turns by role and text; a null turn is first. Null text is empty, null
 role an empty role. Rows of a null conv_id are one conversation. Repeated rows are turns
@@ -35,8 +38,8 @@ from pyspark.sql import functions as F
 #: Tokens of a window, and of the history it repeats. A token is four bytes of formatted text.
 BUDGET, HISTORY, LEAST_SPAN = 512, 128, 128
 TOKEN_BYTES = 4
-#: Turn numbers to a block, and turns to a part of one.
-BLOCK = 1024
+#: Turn numbers to a block that is ranked by itself, and turns to a part.
+BLOCK, PART = 1024, 1024
 CONTROL = r"(?:\[/?(?:SYS|INST|ROLE)\]|\[(?:OUT|TEXT)\]|</?s>)"
 _TURN = r"(?s)\[(?:SYS|INST|OUT|ROLE)\] .*? (?:\[/SYS\]|\[/INST\]|\[/ROLE\]|</s>)"
 
@@ -63,9 +66,8 @@ def _tokens(fmt: Column) -> Column:
     return F.ceil((F.octet_length(fmt) + 1) / TOKEN_BYTES).cast("bigint")
 
 
-def _marked_blocks(rows: DataFrame) -> DataFrame:
-    """A row for each block of a conversation: its place among them (``number``) and the
-    conversation's system turn, if it has one."""
+def _heads(rows: DataFrame) -> DataFrame:
+    """k, conv_id, n (rows), and the conversation's system turn, if it opens with one."""
     at = F.coalesce("turn", F.lit(-(2**63)))
     system = F.col("role") == "system"
     heads = rows.groupBy("k").agg(
@@ -73,13 +75,26 @@ def _marked_blocks(rows: DataFrame) -> DataFrame:
         F.min(F.when(system, at)).alias("first_system"),
         F.min(F.when(F.col("role") < "system", at)).alias("first_before"),
         F.first("conv_id").alias("conv_id"),
-        F.array_sort(F.collect_set("block")).alias("blocks"),
+        F.count("*").alias("n"),
     )
     opens = (F.col("first") == F.col("first_system")) & (F.col("first_before").isNull() | (F.col("first_before") > F.col("first")))
-    heads = heads.select("k", "conv_id", "blocks", F.when(opens, F.col("first")).alias("first_system"))
+    heads = heads.select("k", "conv_id", "n", F.when(opens, F.col("first")).alias("first_system"))
     texts = rows.where(system).groupBy("k", at.alias("first_system")).agg(F.min("text").alias("system"))
-    marked = heads.join(texts, ["k", "first_system"], "left")
-    return marked.select("k", "conv_id", F.posexplode("blocks").alias("number", "block"), "system")
+    return heads.join(texts, ["k", "first_system"], "left").select("k", "conv_id", "n", "system")
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """k, rank from 0 on, role, fmt of every turn."""
+    counts = rows.groupBy("k", "block").agg(F.count("*").alias("n"))
+    so_far = Window.partitionBy("k").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A mark in front of each block says how many turns come before it.
+    marks = counts.select("k", "block", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("turn"), F.lit("").alias("role"), F.lit("").alias("text"), (F.sum("n").over(so_far) - F.col("n")).alias("before"))
+    turns = rows.select("k", "block", F.lit(1).alias("kind"), "turn", "role", "text", F.lit(None).cast("bigint").alias("before"))
+    dealt = marks.unionByName(turns).repartition("k", "block")
+    order = Window.partitionBy("k", "block").orderBy("kind", F.col("turn").asc_nulls_first(), "role", "text")
+    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dealt = dealt.select("k", "kind", "role", "text", (F.first("before").over(run) + F.sum("kind").over(run) - 1).cast("bigint").alias("rank")).where("kind = 1")
+    return dealt.select("k", "rank", "role", formatted_turn(F.col("role"), F.col("text")).alias("fmt"))
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, least_span: int = LEAST_SPAN) -> DataFrame:
@@ -93,46 +108,25 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     rows = conversations.select("conv_id", key.alias("k"), F.col("turn").cast("bigint").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))))
 
-    # kind: -1 a block's mark, 0 turns of the block before, 1 the block's own turns.
+    # kind: -1 a part's mark, 0 turns of the part before, 1 the part's own turns.
     none = F.lit(None).cast("bigint")
-    marks = _marked_blocks(rows).select("k", "conv_id", "block", F.lit(-1).alias("kind"), none.alias("turn"), F.lit("").alias("role"), F.lit("").alias("text"), "system", F.col("number").cast("bigint").alias("number"))
-    passed_on = F.coalesce(F.pmod(F.col("turn"), F.lit(BLOCK)) >= BLOCK - history, F.lit(False))
-    place = lambda block, kind: F.struct(block.alias("block"), F.lit(kind).alias("kind"))
-    own, again = place(F.col("block"), 1), place(F.col("block") + 1, 0)
-    turns = rows.withColumn("to", F.explode(F.when(passed_on, F.array(own, again)).otherwise(F.array(own))))
-    turns = turns.select("k", "conv_id", "to.block", "to.kind", "turn", "role", "text", F.lit(None).cast("string").alias("system"), none.alias("number"))
-    dealt = marks.unionByName(turns).repartition("k", "block")
-
-    # Prefix sums and ranks within a block.
-    dealt = dealt.withColumn("fmt", F.when(F.col("kind") >= 0, formatted_turn(F.col("role"), F.col("text"))))
-    dealt = dealt.withColumn("tokens", F.coalesce(_tokens(F.col("fmt")), F.lit(0)))
-    order = Window.partitionBy("k", "block").orderBy("kind", F.col("turn").asc_nulls_first(), "role", "text")
-    run = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    dealt = dealt.select(
-        "k",
-        "block",
-        "kind",
-        "conv_id",
-        "role",
-        "fmt",
-        "tokens",
-        F.first("system").over(run).alias("system"),
-        F.first("number").over(run).alias("number"),
-        F.sum("tokens").over(run).alias("end"),
-        (F.sum(F.when(F.col("kind") == 1, 1).otherwise(0)).over(run) - 1).cast("bigint").alias("rank"),
-    )
-    is_system = (F.col("kind") == 1) & (F.col("rank") == 0) & (F.col("number") == 0) & F.col("system").isNotNull()
-    dealt = dealt.where("kind >= 0 and number is not null").withColumns({"begin": F.col("end") - F.col("tokens"), "is_system": is_system})
-
-    # Parts of a block; the last turns of a part go along with the next one.
-    part = F.greatest(F.floor(F.col("rank") / BLOCK), F.lit(0))
-    late = (F.col("kind") == 1) & (F.pmod(F.col("rank"), F.lit(BLOCK)) >= BLOCK - history)
-    place = lambda part, kind: F.struct(part.alias("part"), kind.alias("kind"))
-    own, again = place(part, F.col("kind")), place(part + 1, F.lit(0))
-    dealt = dealt.withColumn("to", F.explode(F.when(late, F.array(own, again)).otherwise(F.array(own))))
-    turn = F.struct("begin", "end", F.col("to.kind").alias("kind"), "is_system", "role", "fmt", "tokens")
-    groups = dealt.groupBy("k", "block", F.col("to.part").alias("part")).agg(
-        F.first("conv_id").alias("conv_id"), F.first("number").alias("number"), F.first("system").alias("system"), F.array_sort(F.collect_list(turn)).alias("t")
+    parts = _heads(rows).select("k", "conv_id", "system", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(n - 1) div {PART}"))).alias("part"))
+    marks = parts.select("k", "part", F.lit(-1).alias("kind"), none.alias("rank"), F.lit("").alias("role"), F.lit(None).cast("string").alias("fmt"), "conv_id", "system", F.lit(True).alias("marked"))
+    part, late = F.floor(F.col("rank") / PART), F.pmod(F.col("rank"), F.lit(PART)) >= PART - history
+    place = lambda part, kind: F.struct(part.alias("part"), F.lit(kind).alias("kind"))
+    turns = _ranked(rows).withColumn("to", F.explode(F.when(late, F.array(place(part, 1), place(part + 1, 0))).otherwise(F.array(place(part, 1)))))
+    turns = turns.select("k", "to.part", "to.kind", "rank", "role", "fmt", F.lit(None).cast(conversations.schema["conv_id"].dataType).alias("conv_id"), F.lit(None).cast("string").alias("system"), F.lit(None).cast("boolean").alias("marked"))
+    dealt = marks.unionByName(turns).repartition("k", "part").withColumn("tokens", F.coalesce(_tokens(F.col("fmt")), F.lit(0)))
+
+    # Prefix sums within a part.
+    run = Window.partitionBy("k", "part").orderBy("kind", "rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    dealt = dealt.select("k", "part", "kind", "rank", "role", "fmt", "tokens", *[F.first(c).over(run).alias(c) for c in ("conv_id", "system", "marked")], F.sum("tokens").over(run).alias("end"))
+    is_system = (F.col("rank") == 0) & F.col("system").isNotNull()
+    # What goes on to a part that there is not meets no mark.
+    dealt = dealt.where("kind >= 0 and marked").withColumns({"begin": F.col("end") - F.col("tokens"), "is_system": is_system})
+    turn = F.struct("begin", "end", "kind", "is_system", "role", "fmt", "tokens")
+    groups = dealt.groupBy("k", "part").agg(
+        F.first("conv_id").alias("conv_id"), F.first("system").alias("system"), F.array_sort(F.collect_list(turn)).alias("t")
     )  # a part holds a bounded number of turns
 
     fmt = F.when(F.col("system").isNotNull(), formatted_turn(F.lit("system"), F.col("system")))
@@ -164,7 +158,7 @@ def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTO
     repeated = F.concat(F.coalesce(retained, nothing), slim(before))
     spans = spans.select(
         "conv_id",
-        (F.col("number") * 2**32 + F.col("part") * 2**11 + F.col("at")).alias("window"),
+        (F.col("part") * 2**32 + F.col("at")).cast("bigint").alias("window"),
         repeated.alias("repeated"),
         F.concat(F.when(owned, slim(F.col("opening"))).otherwise(nothing), slim(F.col("span"))).alias("own"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .chat import BLOCK, BUDGET, HISTORY, LEAST_SPAN, TOKEN_BYTES
+from .chat import BUDGET, HISTORY, LEAST_SPAN, PART, TOKEN_BYTES
 from .common import LETTERS
 from .licenses import CONTAINED, PHRASES, SPAN, TEMPLATES
 
@@ -22,21 +22,21 @@ turns AS (
       ELSE '[ROLE] ' || regexp_replace(role, '{_CONTROL}', '\\\1', 'g') || ' [TEXT] ' || {_ESCAPED} || ' [/ROLE]' END AS fmt
   FROM given),
 counted AS (SELECT *, coalesce('c' || conv_id, 'null') AS k, CAST(ceil((strlen(fmt) + 1) / {TOKEN_BYTES}) AS BIGINT) AS tokens, n = 1 AND role = 'system' AS sys,
-    coalesce(CAST(floor(turn / {BLOCK}) AS BIGINT), -9) AS blk FROM turns),
+    (n - 1) // {PART} AS part FROM turns),
 summed AS (SELECT *, {BUDGET} - max(CASE WHEN sys THEN tokens ELSE 0 END) OVER (PARTITION BY k) AS room,
     sum(CASE WHEN sys THEN 0 ELSE tokens END) OVER (PARTITION BY k ORDER BY n) AS e,
-    (row_number() OVER (PARTITION BY k, blk ORDER BY n) - 1) // {BLOCK} AS sub, sum(CASE WHEN sys THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY n) AS m FROM counted),
+    sum(CASE WHEN sys THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY n) AS m FROM counted),
 placed AS (SELECT *, e - tokens AS b, CASE WHEN room - {HISTORY} >= {LEAST_SPAN} THEN room - {HISTORY} ELSE greatest(room, 1) END AS lim FROM summed),
-plain AS (SELECT k, m, b, e, blk, sub, lim FROM placed WHERE NOT sys),
-walk AS (SELECT k, m, blk, sub, b AS start FROM plain WHERE m = 1
-  UNION ALL SELECT p.k, p.m, p.blk, p.sub, CASE WHEN p.e - w.start > p.lim OR p.blk <> w.blk OR p.sub <> w.sub THEN p.b ELSE w.start END
+plain AS (SELECT k, m, b, e, part, lim FROM placed WHERE NOT sys),
+walk AS (SELECT k, m, part, b AS start FROM plain WHERE m = 1
+  UNION ALL SELECT p.k, p.m, p.part, CASE WHEN p.e - w.start > p.lim OR p.part <> w.part THEN p.b ELSE w.start END
   FROM walk w JOIN plain p ON p.k = w.k AND p.m = w.m + 1),
-spans AS (SELECT w.k, w.blk, w.sub, w.start, max(p.e) AS stop, min(p.m) = 1 AS head, min(p.room) AS room FROM walk w JOIN placed p ON p.k = w.k AND p.m = w.m AND NOT p.sys GROUP BY ALL),
+spans AS (SELECT w.k, w.part, w.start, max(p.e) AS stop, min(p.m) = 1 AS head, min(p.room) AS room FROM walk w JOIN placed p ON p.k = w.k AND p.m = w.m AND NOT p.sys GROUP BY ALL),
 pieces AS (
   SELECT w.k, w.start, p.fmt FROM walk w JOIN placed p ON p.k = w.k AND p.m = w.m AND NOT p.sys
   UNION ALL SELECT s.k, s.start, p.fmt FROM spans s JOIN placed p ON p.k = s.k AND NOT p.sys
     AND p.e <= s.start AND p.b >= s.start - greatest(0, least({HISTORY}, s.room - (s.stop - s.start)))
-    AND ((p.blk = s.blk AND p.sub >= s.sub - 1) OR (s.sub = 0 AND p.blk = s.blk - 1 AND ((p.turn % {BLOCK}) + {BLOCK}) % {BLOCK} >= {BLOCK - HISTORY}))
+    AND (p.part = s.part OR (p.part = s.part - 1 AND (p.n - 1) % {PART} >= {PART - HISTORY}))
   UNION ALL SELECT p.k, coalesce(s.start, 0), p.fmt FROM placed p LEFT JOIN spans s ON s.k = p.k WHERE p.sys),
 sizes AS (SELECT k, sum(c) AS formatted_chars, count(*) AS n_windows FROM (SELECT k, start, sum(length(fmt)) + count(*) - 1 AS c FROM pieces GROUP BY k, start) GROUP BY k),
 texts AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,

@@ -97,3 +97,38 @@ def test_empty_and_extra_columns(spark):
     assert chat.digests(chat.windows(spark.createDataFrame([], SCHEMA))).count() == 0
     rows = spark.createDataFrame([(1, 0, "user", "a", "z")], SCHEMA + ", window string")
     assert chat.digests(chat.windows(rows)).count() == 1
+
+
+def test_turn_numbers_do_not_matter(spark):
+    """Windows follow the order of turns, however sparse their numbers are."""
+    rnd = random.Random(6)
+    for n in (20, 2500):
+        texts = ["short"] * 20 if n == 20 else ["word " * rnd.randint(1, 40) for _ in range(n)]
+        found = []
+        for number in (lambda k: k, lambda k: 2000 * k, lambda k: 500 * k - 10**6, lambda k: 1_700_000_000_000 + 60_000 * k, lambda k: k // 3 * 1024 if n > 20 else k * 1024):
+            rows = [(1, number(k), "user" if k % 2 else "assistant", f"{k:05d} {t}") for k, t in enumerate(texts)]
+            if number(1) == number(0):  # equal numbers go by role and text
+                rows = [(c, t, "user", x) for c, t, _, x in rows]
+                assert read_back(spark, rows) == truth(rows)
+                continue
+            windows = chat.windows(spark.createDataFrame(rows, SCHEMA).repartition(5)).orderBy("window").collect()
+            found.append([(w.formatted, w.own_from, w.loss, w.n_tokens) for w in windows])
+            assert read_back(spark, rows) == truth(rows)
+        assert all(f == found[0] for f in found)
+        assert len(found[0]) == 1 if n == 20 else sum(w[1] > 0 for w in found[0]) > len(found[0]) - 2
+
+
+def test_history_crosses_parts(spark, monkeypatch):
+    """Every window but the first repeats turns, also where a part begins."""
+    rows = [(1, 7 * k, "user" if k % 2 else "assistant", f"turn {k} " + "x" * (k % 50)) for k in range(900)]
+    whole = truth(rows)
+    for part in (200, 300, 1024):
+        monkeypatch.setattr(chat, "PART", part)
+        found = chat.windows(spark.createDataFrame(rows, SCHEMA)).orderBy("window").collect()
+        assert found[0].own_from == 0 and all(w.own_from > 0 for w in found[1:]) and max(w.n_tokens for w in found) <= chat.BUDGET
+        assert read_back(spark, rows) == whole
+
+
+def test_no_python_on_the_way(spark):
+    plan = chat.digests(chat.windows(spark.createDataFrame([(1, 0, "user", "a")], SCHEMA)))._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
