@@ -4,10 +4,23 @@ A text's blocks are runs of consecutive words, whatever its line breaks: for eac
 every run of SPAN times as many words as the template has (or the whole text, if that is
 shorter). So notices that are wrapped over lines are found, and words scattered over a long
 line are none. A block matches a template when it holds at least CONTAINED of the template's
-distinct words. The join is exact and filters by prefix, length and position: template words
-are ordered by how often the whole corpus uses them, rarest first; a match must hold one of a
-template's first (size - needed + 1) words, so only the surroundings of such a word meet the
-template, and those are looked at whole; what is left is counted.
+distinct words.
+
+The join is exact. One pass over the texts notes where the words stand that any template or
+phrase has; counts of these order each template's words, rarest in the corpus first. Then
+
+- prefix: a match must hold one of a template's first (size - needed + 1) words, so only texts
+  with such a word go on, and in them only what is within a run of one that passes the other two
+  filters;
+- length: within a run's reach of the word there must be as many template words as needed;
+- position: a block's first common word, in that order, leaves only the words after it, so
+  within reach there must be as many words from that place in the order on as needed.
+
+What is left is counted exactly, without building any run: an occurrence of a word counts for
+the runs that begin after the word's previous occurrence and at most a run's length before, so
+the number of distinct words in a run is the number of such stretches that cover its begin, a
+running sum over their ends. It takes the same few windows for a text of any length, and rows
+as narrow as a place and a word.
 
 With ``wrapped=False`` the blocks are lines instead: their first common word's places on both
 sides and the line's size bound the overlap before it is counted.
@@ -22,11 +35,12 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LETTERS
+from .common import LETTERS, saved
 
 CONTAINED = 0.9
 #: Words of a run, for each word of the template: inserted words and comment marks have room.
@@ -47,6 +61,18 @@ TEMPLATES = [
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("reserved", "all rights reserved"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("agpl", "licensed under the gnu affero general public license"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
 ]
 
 
@@ -107,42 +133,82 @@ def matches(docs: DataFrame, id_columns: list[str], text_column: str = "text", t
     return met.where(first == F.col("word")).withColumn("common", common).where("common >= needed").select(*id_columns, "block", "template", "label", (F.col("common") / F.size("ordered")).alias("containment"))
 
 
-def wrapped_matches(docs: DataFrame, id_columns: list[str], text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
-    """Every prefix word with a run around it that meets a template: id columns, at (its place
-    among the text's words), template, label, the best containment of such a run."""
-    spark = docs.sparkSession
-    counts = corpus_counts(docs, text_column, sorted({w for _, text in templates for w in text.split()}))
-    spans = [SPAN * len(text.split()) for _, text in templates]
-    index = [(*row, spans[row[1]]) for row in template_index(counts, templates, contained)]
-    schema = "word string, template int, label string, ordered array<string>, needed int, place int, span int"
-    by_word = F.broadcast(spark.createDataFrame(index, schema))  # a row for each prefix word of the template list
-    rare, most = sorted({r[0] for r in index}), max(spans, default=1)
-
-    words = docs.where(holds(F.col(text_column), rare)).select(*id_columns, word_list(F.col(text_column)).alias("words"))
-    places = F.filter(F.transform("words", lambda w, k: F.when(w.isin(rare), k)), lambda k: k.isNotNull())
-    # The words that share a run with the one at k, and where that one stands among them.
-    first = lambda k: F.greatest(k - most + 1, F.lit(0))
-    near = F.transform(places, lambda k: F.struct(k.alias("at"), F.get("words", k).alias("word"), (k - first(k)).alias("own"), F.slice("words", first(k) + 1, k - first(k) + most).alias("around")))
-    met = words.select(*id_columns, F.explode(near).alias("x")).select(*id_columns, "x.*").join(by_word, "word")
-    begin = F.greatest(F.col("own") - F.col("span") + 1, F.lit(0))
-    met = met.withColumn("around", F.slice("around", begin + 1, F.col("own") - begin + F.col("span")))
-    met = met.where(F.size(F.array_intersect("ordered", "around")) >= F.col("needed"))
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size("around") - F.col("span") + 1, F.lit(1))), lambda k: F.size(F.array_intersect("ordered", F.slice("around", k, F.col("span")))))
-    return met.withColumn("common", F.array_max(runs)).where("common >= needed").select(*id_columns, "at", "template", "label", (F.col("common") / F.size("ordered")).alias("containment"))
-
-
-def phrase_places(words: Column, phrase: str) -> Column:
-    """Where a phrase's words stand consecutively: places of its first word."""
-    wanted = phrase.split()
-    starts = F.when(F.size(words) >= len(wanted), F.sequence(F.lit(0), F.size(words) - len(wanted))).otherwise(F.array().cast("array<int>"))
-
-    def here(at: Column) -> Column:
-        test = F.get(words, at) == wanted[0]
-        for k, w in enumerate(wanted[1:], 1):
-            test = test & (F.get(words, at + k) == w)
-        return test
-
-    return F.filter(starts, here)
+def vocabulary_places(docs: DataFrame, keys: list[str], text_column: str, vocabulary: list[str]) -> DataFrame:
+    """keys, at, word: where the words of the vocabulary stand among the words of each text."""
+    # The Kelvin sign is no ASCII letter, but its lower case is one.
+    text = F.lower(F.replace(F.col(text_column), F.lit("\u212a"), F.lit("\u00e9")))
+    begins_late = F.substring(text_column, 1, 1).rlike(SEPARATORS).cast("int")  # then the first word is an empty one
+    rows = docs.where(F.col(text_column).isNotNull()).select(*keys, begins_late.alias("late"), F.posexplode(F.split(text, SEPARATORS)).alias("at", "word"))
+    return rows.where(F.col("word").isin(vocabulary)).select(*keys, (F.col("at") - F.col("late")).alias("at"), "word")
+
+
+def places_of_interest(docs: DataFrame, keys: list[str], text_column: str, templates: list[tuple[str, str]], phrases: list[tuple[str, str]], contained: float) -> tuple[DataFrame, dict[str, int]]:
+    """keys, at, word of the texts that can hold a template or a phrase, each place once, and
+    how often the corpus uses each word."""
+    vocabulary = sorted({w for text in [*(t for _, t in templates), *(p for p, _ in phrases)] for w in text.split()})
+    places = saved(vocabulary_places(docs, keys, text_column, vocabulary), "places")
+    counts = {r[0]: r[1] for r in places.groupBy("word").count().collect()}  # a row for each word at most
+    rare = {r[0] for r in template_index(counts, templates, contained)} | {min(p.split(), key=lambda w: (counts.get(w, 0), w)) for p, _ in phrases}
+    texts = places.where(F.col("word").isin(sorted(rare))).select(*keys).distinct()
+    return saved(places.join(texts, keys, "left_semi").distinct(), "places-kept"), counts
+
+
+def wrapped_matches(places: DataFrame, counts: dict[str, int], keys: list[str], templates: list[tuple[str, str]] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
+    """keys, template, label, containment: the best run of every text for every template that one
+    of its runs meets. ``places`` has each place of a template word once; keys are not null."""
+    if not templates:
+        return places.limit(0).select(*keys, F.lit(0).alias("template"), F.lit("").alias("label"), F.lit(0.0).alias("containment"))
+    spark = places.sparkSession
+    index, longest = [], 1
+    for number, (label, text) in enumerate(templates):
+        ordered = sorted(set(text.split()), key=lambda w: (counts.get(w, 0), w))
+        needed, span = math.ceil(contained * len(ordered) - 1e-9), SPAN * len(text.split())
+        longest = max(longest, span)
+        index += [(w, number, label, place, len(ordered), needed, span) for place, w in enumerate(ordered)]
+    schema = "word string, template int, label string, place int, size int, needed int, span int"
+    words = F.broadcast(spark.createDataFrame(index, schema))  # a row for each word of the template list
+    prefix = words.where("place <= size - needed").select("word", "template")
+    asked = places.join(F.broadcast(prefix), "word").select(*keys, "template").distinct()
+    rows = places.join(asked, keys).join(words, ["word", "template"])
+
+    # What is within a run's reach of a place is in its stretch of ``longest`` words or the next
+    # ones: each row counts in three, so that counts of a stretch bound those of any place in it.
+    group, stretch = [*keys, "template"], F.floor(F.col("at") / longest)
+    rows = rows.withColumn("stretch", F.explode(F.array(stretch, stretch - 1, stretch + 1))).withColumn("own", F.col("stretch") == stretch)
+    within = Window.partitionBy(*group, "stretch")
+    prefixes = max(size - needed + 1 for *_, size, needed, _ in index)
+    on = F.array(*[F.count_if(F.col("place") >= j).over(within) for j in range(prefixes)])
+    rows = rows.withColumns({"near": F.count("*").over(within), "on": on})
+    seed = F.col("own") & (F.col("place") <= F.col("size") - F.col("needed")) & (F.col("near") >= F.col("needed")) & (F.get("on", F.col("place")) >= F.col("needed"))
+    rows = rows.withColumn("seed", F.coalesce(seed, F.lit(False))).withColumn("seed", F.max("seed").over(within)).where("seed")
+    rows = rows.select(*group, "label", "size", "needed", "span", "word", "at").distinct()
+
+    # A word's occurrence counts for the runs that begin in (its previous occurrence, itself].
+    again = F.lag("at").over(Window.partitionBy(*group, "word").orderBy("at"))
+    rows = rows.withColumn("again", again)
+    begin = F.greatest(F.coalesce("again", F.lit(-1)) + 1, F.col("at") - F.col("span") + 1)
+    ends = F.explode(F.array(F.struct(begin.alias("x"), F.lit(1).alias("change")), F.struct((F.col("at") + 1).alias("x"), F.lit(-1).alias("change"))))
+    ends = rows.select(*group, "label", "size", "needed", ends.alias("e")).select(*group, "label", "size", "needed", "e.*")
+    covering = F.sum("change").over(Window.partitionBy(*group).orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    best = ends.withColumn("common", covering).groupBy(*group, "label", "size", "needed").agg(F.max("common").alias("common")).where("common >= needed")
+    return best.select(*group, "label", (F.col("common") / F.col("size")).alias("containment"))
+
+
+def phrase_matches(places: DataFrame, keys: list[str], phrases: list[tuple[str, str]] = PHRASES) -> DataFrame:
+    """keys, label, at: every place where a phrase's words stand consecutively."""
+    spark = places.sparkSession
+    words = [(w, number, label, place, len(phrase.split())) for number, (phrase, label) in enumerate(phrases) for place, w in enumerate(phrase.split())]
+    index = spark.createDataFrame(words, "word string, phrase int, label string, place int, size int")  # a row for each word of a phrase
+    rows = places.join(F.broadcast(index), "word")
+    if all(len(set(p.split())) == len(p.split()) for p, _ in phrases):
+        # A text's neighbouring places of the phrase's words are the phrase, if they follow on each other.
+        order, width = Window.partitionBy(*keys, "phrase").orderBy("at"), max((len(p.split()) for p, _ in phrases), default=1)
+        follows = [(F.lead("at", k).over(order) == F.col("at") + k) & (F.lead("place", k).over(order) == k) | (F.col("size") <= k) for k in range(1, width)]
+        found = rows.withColumn("whole", reduce(lambda x, y: x & y, follows, F.lit(True))).where("place = 0 and whole")
+        return found.select(*keys, "label", "at")
+    # A word that stands twice in a phrase stands at two of its places: each place votes for its begin.
+    votes = rows.select(*keys, "phrase", "label", "size", (F.col("at") - F.col("place")).alias("at"))
+    return votes.groupBy(*keys, "phrase", "label", "size", "at").count().where("count = size").select(*keys, "label", "at")
 
 
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, contained: float = CONTAINED, wrapped: bool = True) -> DataFrame:
@@ -152,19 +218,29 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     are runs of words, or lines if not ``wrapped``.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    keys = [F.xxhash64("id", "text").alias("key1"), F.xxhash64("text", F.lit(6)).alias("key2")]
-    found = (wrapped_matches if wrapped else matches)(rows.select(*keys, "text"), ["key1", "key2"], "text", templates, contained)
-    labels = found.groupBy("key1", "key2").agg(F.collect_set("label").alias("found"), F.max("containment").alias("score"))
+    keys = ["key1", "key2"]
+    rows = rows.withColumns({"key1": F.xxhash64("id", "text"), "key2": F.xxhash64("text", F.lit(6))})
+    places, counts = places_of_interest(rows, keys, "text", templates if wrapped else [], phrases, contained)
+    found = wrapped_matches(places, counts, keys, templates, contained) if wrapped else matches(rows.select(*keys, "text"), keys, "text", templates, contained)
+    base = phrase_matches(places, keys, phrases)
+    # One row a text, from its places of phrases and its templates.
+    none = F.lit(None)
+    both = base.select(*keys, F.col("label").alias("named"), F.col("at").cast("bigint").alias("at"), F.lit(1).alias("base"), none.cast("string").alias("label"), none.cast("double").alias("score"))
+    both = both.unionByName(found.select(*keys, none.cast("string").alias("named"), none.cast("bigint").alias("at"), F.lit(0).alias("base"), "label", F.col("containment").alias("score")))
+    known = both.groupBy(*keys).agg(F.sum("base").alias("n_base"), F.min("at").alias("first_word"), F.max("at").alias("last_word"), F.collect_set("named").alias("named"), F.collect_set("label").alias("found"), F.max("score").alias("score"))
 
     packed = spaced(F.col("text"))
     n_words = F.when(packed == "", 0).otherwise(F.length(packed) - F.length(F.replace(packed, F.lit(" "))) + 1)
-    first_words = sorted({p.split()[-1] for p, _ in phrases})
-    words = F.when(holds(F.col("text"), first_words), word_list(F.col("text"))).otherwise(F.array().cast("array<string>"))
-    base = rows.select("id", *keys, n_words.cast("bigint").alias("n_words"), words.alias("words"))
-    base = base.select("id", "key1", "key2", "n_words", *[phrase_places(F.col("words"), p).alias(f"at{k}") for k, (p, _) in enumerate(phrases)])
-    places = F.concat(*[F.col(f"at{k}") for k in range(len(phrases))])
-    named = F.array_compact(F.array(*[F.when(F.size(f"at{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(phrases)]))
-    base = base.select("id", "key1", "key2", "n_words", F.size(places).cast("bigint").alias("n_base"), F.array_min(places).cast("bigint").alias("first_word"), F.array_max(places).cast("bigint").alias("last_word"), F.array_sort(F.array_distinct(named)).alias("named"))
-    out = base.join(labels, ["key1", "key2"], "left")
-    every = F.array_sort(F.array_union("named", F.coalesce("found", F.array().cast("array<string>"))))
-    return out.select(F.col("id").alias(id_column), "n_words", "n_base", "first_word", "last_word", F.array_join("named", ",").alias("base_labels"), F.array_join(every, ",").alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    out = rows.select("id", *keys, n_words.cast("bigint").alias("n_words")).join(known, keys, "left")
+    empty = F.array().cast("array<string>")
+    named, every = F.coalesce("named", empty), F.array_union(F.coalesce("named", empty), F.coalesce("found", empty))
+    return out.select(
+        F.col("id").alias(id_column),
+        "n_words",
+        F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"),
+        "first_word",
+        "last_word",
+        F.array_join(F.array_sort(named), ",").alias("base_labels"),
+        F.array_join(F.array_sort(every), ",").alias("labels"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+    )

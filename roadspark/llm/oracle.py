@@ -96,7 +96,7 @@ _WITH = rf"""
 WITH d AS (SELECT doc_id, {_LOW} AS low, {_WORDS} AS w FROM documents),
 templates AS (SELECT label, {SPAN} * len(string_split(text, ' ')) AS span, list_distinct(string_split(text, ' ')) AS t FROM (VALUES {_TEMPLATE_ROWS}) AS v(k, label, text)),
 """
-_RUNS = "blocks AS (SELECT doc_id, label, t, list_distinct(w[i : i + span - 1]) AS b FROM d, templates, unnest(range(1, greatest(len(w) - span, 0) + 2)) AS r(i)),"
+_RUNS = f"blocks AS (SELECT doc_id, label, t, list_distinct(w[i : i + span - 1]) AS b FROM (SELECT doc_id, w, label, span, t FROM d, templates WHERE len(list_intersect(w, t)) >= ceil({CONTAINED} * len(t) - 1e-9)), unnest(range(1, greatest(len(w) - span, 0) + 2)) AS r(i)),"
 _LINES = r"""
 lines AS (SELECT doc_id, list_distinct(regexp_extract_all(line, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS b FROM d, unnest(string_split(low, chr(10))) AS r(line)),
 blocks AS (SELECT doc_id, label, t, b FROM lines, templates),"""

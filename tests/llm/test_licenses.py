@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 
 from roadspark.llm import licenses
 
@@ -81,3 +82,43 @@ def test_wrapped_notices(spark):
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs).collect()}
     assert got == {k: plain_wrapped(t) for k, t in enumerate(texts)}
     assert [got[k][0] for k in range(2, 8)] == ["mit", "bsd", "gpl", "reserved", "", "mit"]
+    # Each row of a table of repeated rows has the same.
+    again = licenses.scan(docs.union(docs.limit(60)).union(docs.where("doc_id < 9"))).collect()
+    assert len(again) == len(texts) + 60 + 9 and all((r.labels, r.score) == got[r.doc_id] for r in again)
+
+
+def test_other_thresholds_and_phrases(spark, monkeypatch):
+    """Long prefixes, small templates, phrases with a word twice, against plain counting."""
+    rnd = random.Random(8)
+    templates = [("a", "w1 w2 w3 w4 w5 w6 w7 w8"), ("b", "w1 w9"), ("c", "w3"), ("d", "w2 w2 w4 w4 w11")]
+    phrases = [("w1 w2 w1", "p"), ("w4", "q"), ("w5 w6", "r")]
+    texts = [" ".join(rnd.choices([f"w{k}" for k in range(14)], k=rnd.choice([1, 3, 9, 40, 200]))) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(licenses, "PHRASES", phrases)
+    monkeypatch.setattr(licenses, "TEMPLATES", templates)
+    for contained in (0.5, 0.75, 1.0):
+        monkeypatch.setattr(licenses, "CONTAINED", contained)
+        got = {r.doc_id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) for r in licenses.scan(docs, templates=templates, phrases=phrases, contained=contained).collect()}
+        assert got == {k: (*plain(t)[:5], *plain_wrapped(t)) for k, t in enumerate(texts)}
+    assert licenses.scan(docs, templates=[], phrases=[]).where("n_base > 0 or labels <> ''").count() == 0
+
+
+def test_a_very_long_text_of_one_notice(spark):
+    """Some hundred thousand places of a notice in one text take seconds, not minutes."""
+    notice = "released under the mit license\n"
+    docs = spark.createDataFrame([(1, notice * 100_000), (2, "word " * 10 + notice)], "doc_id long, text string")
+    began = time.time()
+    rows = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert time.time() - began < 40
+    assert (rows[1].n_words, rows[1].n_base, rows[1].last_word, rows[1].labels, rows[1].score) == (500_000, 100_000, 499_998, "mit", 1.0)
+    assert (rows[2].first_word, rows[2].labels) == (13, "mit")
+
+
+def test_filters_leave_only_what_can_match(spark):
+    """Places that go into the count: none of texts with scattered or too few words."""
+    scattered = "permission " + "pad " * 200 + "granted " + "pad " * 200 + "obtaining"
+    few = "permission is hereby granted"
+    docs = spark.createDataFrame([(1, scattered), (2, few), (3, licenses.TEMPLATES[5][1])], "doc_id long, text string")
+    places, counts = licenses.places_of_interest(docs.withColumnRenamed("doc_id", "k"), ["k"], "text", licenses.TEMPLATES, licenses.PHRASES, licenses.CONTAINED)
+    found = licenses.wrapped_matches(places, counts, ["k"]).collect()
+    assert {(r.k, r.label, r.containment) for r in found} == {(3, "mit", 1.0)}
