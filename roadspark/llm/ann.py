@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by a hierarchical k-means tree (op 9).
 
 The tree is fitted on a sample that grows with the root of the table (16 * sqrt(rows), between
-SAMPLE and MAX_SAMPLE vectors), so that leaves grow in number and not only in size; then
+SAMPLE and MAX_SAMPLE vectors, and SAMPLE_BYTES of them at most), so that leaves grow in number and not only in size; then
 every vector gets its leaf. A
 search walks the tree best bin first: a priority queue holds the branches met so far by the
 distance of their centres, the nearest is opened next, and a leaf that is popped is visited.
@@ -38,6 +38,8 @@ from .common import received, saved, ship
 
 #: Bounds on the vectors that the tree is fitted on.
 SAMPLE, MAX_SAMPLE = 8192, 131_072
+#: Bound on the sample's bytes, whatever the dimensions; the driver holds it a few times over.
+SAMPLE_BYTES = 64 << 20
 #: Bound on the dimensions that are told apart.
 MAX_DIMENSIONS = 16
 BRANCHES = 16
@@ -160,8 +162,8 @@ def usable(table: DataFrame, id_column: str, vector_column: str) -> DataFrame:
 def build(rows: DataFrame) -> Tree:
     """Fit the tree on a bounded sample of usable vectors."""
     norm = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, radius = rows.agg(F.count("*"), F.max(F.sqrt(norm))).first()
-    size = int(min(MAX_SAMPLE, max(SAMPLE, 16 * np.sqrt(n))))
+    n, radius, dimensions = rows.agg(F.count("*"), F.max(F.sqrt(norm)), F.max(F.size("v"))).first()
+    size = int(min(MAX_SAMPLE, max(SAMPLE, 16 * np.sqrt(n)), max(1, SAMPLE_BYTES // (8 * (dimensions or 1)))))
     share = min(1.0, 0.9 * size / max(1, n))
     sample = rows.where(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(size).toArrow()
     points = _matrix(sample.column("v").combine_chunks()) if sample.num_rows else np.zeros((0, 1))

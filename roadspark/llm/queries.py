@@ -50,6 +50,16 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenstore.document_index(tokenstore.open_store(spark, path))
 
 
+def op5_token_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single tokens of every document by random access: the first, the middle and the last one."""
+    path = scratch_path(spark, "tokens")
+    tokenstore.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    store = tokenstore.open_store(spark, path)
+    n = F.col("n_tokens")
+    wanted = store.select("doc_id", F.explode(F.array(F.lit(0).cast("bigint"), F.floor(n / 2), n - 1)).alias("at"))
+    return tokenstore.lookup(store, wanted)
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -99,6 +109,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "benchmark_longest_matches": benchmark_longest_matches,
     "op5_token_store": op5_token_store,
+    "op5_token_lookup": op5_token_lookup,
     "op6_licenses": op6_licenses,
     "op6_licenses_lines": op6_licenses_lines,
     "op7_near_duplicates": op7_near_duplicates,

@@ -128,6 +128,33 @@ def token_at(levels: list[dict], at: int, width: int = WIDTH) -> int:
     return value
 
 
+def tokens_at(levels: list[dict], at: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """The ids at many places of one document, by rank alone; -1 where there is no such place."""
+    out = np.full(len(at), -1, np.int64)
+    some = np.flatnonzero((at >= 0) & (at < (levels[0]["count"] if levels else 0)))
+    out[some] = 0
+    at = np.asarray(at, np.int64)[some]
+    dtype = np.uint8 if width <= 8 else np.dtype("<u2")
+    for k, level in enumerate(levels):
+        out[some] |= np.frombuffer(level["chunks"], dtype)[at].astype(np.int64) << (k * width)
+        bitmap = np.frombuffer(level["more"], np.uint8)
+        goes_on = (bitmap[at >> 3] >> (at & 7) & 1).astype(bool)
+        some, at = some[goes_on], at[goes_on]
+        if not len(some):
+            break
+        # Ones of the block before the place: whole bytes, and the bits of its own byte.
+        block = at // RANK_BITS
+        byte = block[:, None] * (RANK_BITS // 8) + np.arange(RANK_BITS // 8)
+        before = np.where(byte < (at >> 3)[:, None], _ONES[bitmap[np.minimum(byte, len(bitmap) - 1)]], 0).sum(1)
+        own = _ONES[bitmap[at >> 3] & ((1 << (at & 7)) - 1).astype(np.uint8)]
+        at = np.frombuffer(level["ranks"], "<u4")[block].astype(np.int64) + before + own
+    return out
+
+
+#: Ones of each byte.
+_ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
+
+
 def byte_characters() -> dict[int, str]:
     """How byte-level BPE writes bytes: printable Latin-1 as itself, the others from U+0100 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -339,3 +366,33 @@ def document_index(store: DataFrame, width: int = WIDTH) -> DataFrame:
     before = sums.select("part", (F.sum("sum").over(Window.orderBy("part")) - F.col("sum")).alias("before"))
     inside = Window.partitionBy("part").orderBy("seq")
     return rows.withColumn("inside", F.sum("n_tokens").over(inside) - F.col("n_tokens")).join(before, "part").select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
+
+
+#: Places of one document that a row brings to the store at most.
+PLACES = 1 << 16
+
+
+def lookup(store: DataFrame, wanted: DataFrame, id_column: str = "doc_id", at_column: str = "at", width: int = WIDTH) -> DataFrame:
+    """id_column, at_column, token for every different pair of ``wanted``: the id at a place of
+    a document, counted from 0; null if there is no such place or document.
+
+    Each place is read through the rank directories of its document's levels, and nothing else
+    of it is decoded. Documents that repeat an id give a row each; null ids and places find
+    nothing. The store is joined by id, so where few ids are wanted Spark brings them to it.
+    """
+    pairs = wanted.select(F.col(id_column).alias("doc_id"), F.col(at_column).cast("bigint").alias("at")).distinct()
+    asked = pairs.where("doc_id is not null and at is not null").groupBy("doc_id", F.floor(F.col("at") / PLACES).alias("stretch")).agg(F.collect_list("at").alias("places"))
+    met = store.select("doc_id", "levels").join(asked, "doc_id").select("doc_id", "places", "levels")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                at = batch.column(1)[row].values.to_numpy()
+                found = tokens_at(batch.column(2)[row].as_py() or [], at, width)
+                ids = batch.column(0).take(pa.array(np.full(len(at), row)))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(at), pa.array(found, mask=found < 0)], ["doc_id", "at", "token"])
+
+    kind = dict(store.dtypes)["doc_id"]
+    found = met.mapInArrow(run, f"doc_id {kind}, at bigint, token bigint")
+    out = pairs.join(found, (pairs["doc_id"] == found["doc_id"]) & (pairs["at"] == found["at"]), "left")
+    return out.select(pairs["doc_id"].alias(id_column), pairs["at"].alias(at_column), "token")

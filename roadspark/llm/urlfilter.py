@@ -128,8 +128,8 @@ def cascade(listed: DataFrame, others: DataFrame) -> list:
                 yield pa.RecordBatch.from_arrays([pa.array(word[first]), pa.array(mask.view(np.int64))], ["word", "mask"])
 
         # At most a row for each 64 bits of the filter, whose size is checked above.
-        for r in inside.mapInArrow(bits, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).collect():
-            level.words[r[0]] = np.array([r[1]], np.int64).view(np.uint64)[0]
+        found = inside.mapInArrow(bits, "word bigint, mask bigint").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+        level.words[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
         levels.append(level)
         if not m:
             break

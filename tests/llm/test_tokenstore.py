@@ -28,6 +28,8 @@ def test_codes(lists, width):
             assert tokenstore.token_at(one, at, width) == own[at]
         with pytest.raises(IndexError):
             tokenstore.token_at(one, len(own), width)
+        places = np.array([-1, *range(len(own)), len(own), 10**9])
+        assert tokenstore.tokens_at(one, places, width).tolist() == [-1, *own, -1, -1]
 
 
 def encode(encoder, texts):
@@ -74,3 +76,20 @@ def test_a_hot_id_is_spread_and_the_cache_starts_anew(spark, tmp_path, monkeypat
     crc = lambda t: zlib.crc32(np.array([*plain.encode(t or "", add_special_tokens=False).ids, 0], "<u4").tobytes())
     assert sorted(r.ids_crc32 for r in got) == sorted(crc(t) for _, t in rows)
     assert [r.start for r in got] == [sum(x.n_tokens for x in got[:k]) for k in range(len(got))]
+
+
+def test_lookup(spark, tmp_path):
+    """Random access of a table of places, held against plain encoding."""
+    rows = [(k, t) for k, t in enumerate(ODD)] + [(None, "null id"), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tokenstore.write_store(docs, str(tmp_path / "s"), PATH)
+    plain = Tokenizer.from_file(PATH)
+    ids = [(k, [*plain.encode(t or "", add_special_tokens=False).ids, 0]) for k, t in rows]
+    wanted = [(k, at) for k in range(len(ODD)) for at in (0, 1, 2, 5, 100, 5999, 6000, 6001, -1)] + [(0, 0), (99, 0), (None, 0), (1, None)]
+    got = tokenstore.lookup(tokenstore.open_store(spark, str(tmp_path / "s")), spark.createDataFrame([(*w, 1) for w in wanted], "doc_id long, at long, token int"))
+    expected = []
+    for k, at in set(wanted):
+        own = [x[at] if at is not None and 0 <= at < len(x) else None for i, x in ids if i == k and k is not None and at is not None]
+        expected += [(k, at, t) for t in own or [None]]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, expected))
+    assert tokenstore.lookup(tokenstore.open_store(spark, str(tmp_path / "s")), spark.createDataFrame([], "doc_id long, at long")).count() == 0
