@@ -20,6 +20,7 @@ same number fails.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -76,9 +77,9 @@ def publish(tables: dict[str, DataFrame], path: str, regions: list[str], version
     spark = next(iter(tables.values())).sparkSession
     before = latest(spark, path)
     run = run or uuid.uuid4().hex
-    counts: dict[str, dict[str, int]] = {}
-    for name in (t for t in TABLES if t != "metadata"):
-        counts[name] = _write(tables[name], name, path, run, regions).by_region
+    with ThreadPoolExecutor(len(tables)) as pool:  # jobs that do not wait for each other's last tasks
+        writes = {name: pool.submit(_write, tables[name], name, path, run, regions) for name in TABLES if name != "metadata"}
+    counts = {name: write.result().by_region for name, write in writes.items()}
     stamped = metadata(spark, regions, version, counts, created_at)
     counts["metadata"] = _write(stamped, "metadata", path, run, regions).by_region
     number = before.number + 1 if before else 0
