@@ -2,8 +2,8 @@
 
 Documents are read in shards of a few MB. A task numbers a shard's words by the benchmark's
 vocabulary and sorts the suffixes that could begin a window of benchmark words: the shard's
-suffix array. Every suffix of every benchmark item is then looked up by binary search; the
-interval it finds holds all places of its window. Places on one diagonal join into verbatim
+suffix array. The window that begins at each place of each benchmark item is then looked up by
+binary search; the interval it finds holds all its places. Places on one diagonal join into verbatim
 matches, whose longest per item and document is returned with its location. ``item_matches``
 sorts all suffixes of a shard and searches every suffix of every item, so that each item gets
 its longest verbatim match in the corpus however short that is.

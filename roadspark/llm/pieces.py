@@ -3,10 +3,13 @@
 The model file names its normaliser: a compiled character map (a double-array trie of
 source prefixes with their replacements), white space handling and the space mark. Texts
 are normalised here by longest prefix while recording for every normalised byte the source
-byte it came from; the library's pieces then project to spans of the original bytes.
+source byte it came from; the library's pieces then project to spans of the original bytes.
+A model may come with an empty map (the one that the query uses does): then texts are
+normalised by white space rules alone, and the compiled map is exercised by tests with others.
 
-Null text is empty and has the begin and end ids only. Repeated rows, extra columns and
-null ids pass through; an empty table gives an empty table.
+Null text is empty and has the begin and end ids only. Texts are encoded whole, a very long one
+by itself in one task. Ties between pieces are the library's to decide. Repeated rows, extra
+columns and null ids pass through; an empty table gives an empty table.
 """
 
 from __future__ import annotations

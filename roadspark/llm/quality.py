@@ -11,7 +11,8 @@ Training rows are a bounded sample (MAX_LABELLED ids at most, chosen by a hash o
 row each); scoring covers every text whole. Null text is empty; an empty text has a score like any
 other. Labels that are null or contradict each other for a doc_id are not used; without
 labels of both kinds all documents score 0.5. Repeated rows and rows with a null id are
-scored each; an empty table gives an empty table.
+scored each, and equal texts have equal scores. A very long text is scored whole, by itself. An
+empty table gives an empty table.
 """
 
 from __future__ import annotations

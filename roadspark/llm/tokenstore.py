@@ -10,7 +10,8 @@ A store is a folder of Parquet files in ascending document order. A row is a doc
 ``n_tokens`` and ``levels``, an array of (count, chunks, more, ranks). Tasks write their own
 files with Spark's committer.
 
-Null text is empty: such a document holds the end id alone. Rows that repeat a doc_id are
+Null text is empty: such a document holds the end id alone. A very long text is encoded whole,
+by itself, and is one row of the store. Rows that repeat a doc_id are
 all kept, next to each other; a null doc_id sorts first. An empty table gives no rows.
 """
 
