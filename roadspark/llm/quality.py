@@ -1,11 +1,12 @@
 """Quality scores by Bradley-Terry pairwise ranking (op 8).
 
-Every text becomes a vector of shape features: rates of character classes and of each ASCII
-mark, word and line statistics, repetition. Labelled documents form preference pairs (one
-of label 1 over one of label 0); a logistic loss on the differences of their features gives
-the weights, so a document's score is its log-odds of being preferred. The cut is a
-quantile of the labelled scores: the quantile that best separates the labels. Scores map to
-(0, 1) by a logistic curve whose value at the cut is CUT.
+Every text becomes a vector. Its shape: rates of character classes and of each ASCII mark, word
+and line statistics, repetition. Its content: how often its words, pairs of neighbouring words
+and runs of three bytes fall into each of some hash buckets. Labelled documents form
+preference pairs (one of label 1 over one of label 0); a logistic loss on the differences of
+their features gives the weights (those of content are held smaller), so a document's score is
+its log-odds of being preferred. The cut is a quantile of the labelled scores: the quantile that
+best separates the labels. Scores map to (0, 1) by a logistic curve whose value at the cut is CUT.
 
 Training rows are a bounded sample (MAX_LABELLED ids at most, chosen by a hash of the id, one
 row each); scoring covers every text whole. Null text is empty; an empty text has a score like any
@@ -25,12 +26,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, free_name, not_held_out, text_slices
-from .words import SPACED, split_words
+from .words import SPACED, mix, split_words
 
 #: Text bytes that are looked at at a time (a longer text is looked at alone).
 SLICE = 1 << 20
 #: Bound on the labelled rows that are learned from.
 MAX_LABELLED = 20_000
+#: Hash buckets for words, as many for pairs of words, and for runs of three bytes.
+BUCKETS = 16
+#: How strongly weights are drawn to zero: those of shape, and those of content.
+SHAPE_PENALTY, CONTENT_PENALTY = 1e-4, 1e-1
 #: Preference pairs drawn for each step of the fit.
 PAIRS = 10_000
 STEPS = 250
@@ -56,8 +61,41 @@ def _runs(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, most
 
 
-def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A row of features for each text."""
+def _word_pairs(words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each pair of neighbouring words, and where each text's pairs begin."""
+    pairs = words[:-1] * np.uint64(3) + words[1:] if len(words) > 1 else words[:0]
+    # a pair that begins with a text's last word belongs to no text; dropping it keeps bounds simple
+    inner = np.ones(len(words), bool)
+    inner[word_at[1:][np.diff(word_at) > 0] - 1] = False
+    return pairs[inner[: len(pairs)]], np.append(0, np.cumsum(inner, dtype=np.int64))[word_at]
+
+
+def content(data: np.ndarray, bounds: np.ndarray, words: np.ndarray, word_at: np.ndarray, buckets: int) -> np.ndarray:
+    """For each text the root of the share of its words, word pairs and byte runs in each bucket."""
+    n = len(bounds) - 1
+    byte = np.where((data >= 65) & (data <= 90), data + np.uint8(32), data).astype(np.uint64)
+    runs = (byte[:-2] << np.uint64(16)) | (byte[1:-1] << np.uint64(8)) | byte[2:] if len(byte) > 2 else byte[:0]
+    inner = np.ones(len(byte), bool)
+    for back in (1, 2):  # a run does not cross the end of its text
+        inner[np.maximum(bounds[1:] - back, bounds[:-1])[np.diff(bounds) > 0]] = False
+    run_at = np.append(0, np.cumsum(inner, dtype=np.int64))[bounds]
+    parts = []
+    for values, at in ((words, word_at), _word_pairs(words, word_at), (runs[inner[: len(runs)]], run_at)):
+        size = np.diff(at)
+        bucket = (mix(values) % np.uint64(buckets)).astype(np.int64)
+        counts = np.bincount(np.repeat(np.arange(n) * buckets, size) + bucket, minlength=n * buckets).reshape(n, buckets)
+        parts.append(np.sqrt(counts / np.maximum(size, 1)[:, None]).astype(np.float32))
+    return np.hstack(parts)
+
+
+def described(data: np.ndarray, bounds: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    """Shape and content of each text."""
+    split = split_words(data, bounds, SPACED)
+    return np.hstack([features(data, bounds, split).astype(np.float32), content(data, bounds, *split, buckets)])
+
+
+def features(data: np.ndarray, bounds: np.ndarray, split: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """A row of shape features for each text."""
     n = len(bounds) - 1
     length = np.diff(bounds)
     safe = np.maximum(length, 1)
@@ -71,16 +109,12 @@ def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     marks = counts[:, MARKS] / safe[:, None]
     upper, digits = counts[:, 65:91].sum(1) / safe, counts[:, 48:58].sum(1) / safe
     lower, space = counts[:, 97:123].sum(1) / safe, counts[:, [9, 10, 13, 32]].sum(1) / safe
-    words, word_at = split_words(data, bounds, SPACED)
+    words, word_at = split_words(data, bounds, SPACED) if split is None else split
     n_words = np.diff(word_at)
     some = np.maximum(n_words, 1)
     distinct, most = _runs(words, word_at)
-    pairs = words[:-1] * np.uint64(3) + words[1:] if len(words) > 1 else words[:0]
-    # a pair that begins with a text's last word belongs to no text; dropping it keeps bounds simple
-    inner = np.ones(len(words), bool)
-    inner[word_at[1:][n_words > 0] - 1] = False
-    pair_at = np.append(0, np.cumsum(inner, dtype=np.int64))[word_at]
-    pair_distinct, pair_most = _runs(pairs[inner[: len(pairs)]], pair_at)
+    pairs, pair_at = _word_pairs(words, word_at)
+    pair_distinct, pair_most = _runs(pairs, pair_at)
     n_pairs = np.maximum(np.diff(pair_at), 1)
     lines = counts[:, 10] + 1
     return np.column_stack(
@@ -104,8 +138,8 @@ def features(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     )
 
 
-def fit(x: np.ndarray, y: np.ndarray, seed: int = 7) -> dict:
-    """Weights of the pairwise logistic loss, and the cut."""
+def fit(x: np.ndarray, y: np.ndarray, seed: int = 7, penalty: float | np.ndarray = SHAPE_PENALTY) -> dict:
+    """Weights of the pairwise logistic loss, and the cut; ``penalty`` may differ by feature."""
     if not (y == 1).any() or not (y == 0).any():
         return {"mean": np.zeros(x.shape[1]), "scale": np.ones(x.shape[1]), "weights": np.zeros(x.shape[1]), "cut": 0.0, "slope": 0.0, "base": 0.0}
     mean, scale = x.mean(0), x.std(0) + 1e-6
@@ -114,9 +148,11 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 7) -> dict:
     rng = np.random.default_rng(seed)
     w, momentum, square = np.zeros(z.shape[1]), np.zeros(z.shape[1]), np.zeros(z.shape[1])
     for step in range(1, STEPS + 1):
-        difference = good[rng.integers(len(good), size=PAIRS)] - bad[rng.integers(len(bad), size=PAIRS)]
-        wrong = 1 / (1 + np.exp(np.clip(difference @ w, -50, 50)))
-        gradient = -(wrong[:, None] * difference).mean(0) + 1e-4 * w
+        g, b = rng.integers(len(good), size=PAIRS), rng.integers(len(bad), size=PAIRS)
+        wrong = 1 / (1 + np.exp(np.clip((good @ w)[g] - (bad @ w)[b], -50, 50)))
+        # the mean over the pairs, with the rows' shares in it summed first
+        pull, push = (np.bincount(k, wrong, len(rows)) / PAIRS for k, rows in ((g, good), (b, bad)))
+        gradient = push @ bad - pull @ good + penalty * w
         momentum = 0.9 * momentum + 0.1 * gradient
         square = 0.99 * square + 0.01 * gradient**2
         w -= 0.1 * (momentum / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
@@ -137,14 +173,18 @@ def scores(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model["slope"] * (z @ model["weights"] - model["cut"]) + model["base"], -30, 30)))
 
 
-def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part, data, bounds in text_slices(batch, "text", SLICE):
-            x = features(data, bounds)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["y", "x"])
+def _vectors(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, bounds in text_slices(batch, "text", SLICE):
+                x = described(data, bounds, buckets)
+                at = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+                yield pa.RecordBatch.from_arrays([part.column("label_id"), part.column("y"), pa.ListArray.from_arrays(at, x.reshape(-1))], ["label_id", "y", "x"])
+
+    return run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality", learnable: Column | None = None, max_labelled: int = MAX_LABELLED) -> dict:
+def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality", learnable: Column | None = None, max_labelled: int = MAX_LABELLED, buckets: int = BUCKETS) -> dict:
     """Fit on the labelled documents that may be learned from (all folds but one, if not given)."""
     usable = labels.select(F.col(id_column).alias("label_id"), F.col(label_column).cast("int").alias("y")).where(F.col("label_id").isNotNull() & F.col("y").isin(0, 1))
     usable = usable.where(not_held_out(F.col("label_id")) if learnable is None else learnable)
@@ -155,11 +195,15 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(sample), F.col("id") == F.col("label_id"))
     # Of rows that repeat an id one is learned from, so what reaches the driver is bounded.
     rows = rows.groupBy("label_id").agg(F.first("y").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
-    found = rows.select("y", "text").mapInArrow(_vectors, "y int, x array<double>").toArrow()
+    kind = rows.schema["label_id"].dataType.simpleString()
+    found = rows.select("label_id", "y", "text").mapInArrow(_vectors(buckets), f"label_id {kind}, y int, x array<float>").toArrow()
+    found = found.sort_by("label_id").combine_chunks()  # the fit does not depend on the order of arrival
+    width = described(np.zeros(0, np.uint8), np.zeros(2, np.int64), buckets).shape[1]
     y = found.column("y").to_numpy()
-    x = np.array(found.column("x").to_pylist(), float) if len(y) else features(np.zeros(0, np.uint8), np.zeros(2, np.int64))[:0]
-    order = np.lexsort((*x.T, y))  # the fit does not depend on the order of arrival
-    return fit(x[order], y[order])
+    x = pa.chunked_array(found.column("x").chunks, pa.list_(pa.float32())).combine_chunks().flatten().to_numpy().reshape(len(y), width)
+    penalty = np.full(width, SHAPE_PENALTY)
+    penalty[-3 * buckets :] = CONTENT_PENALTY
+    return fit(x, y, penalty=penalty) | {"buckets": buckets}
 
 
 def score(docs: DataFrame, model: dict, text_column: str = "text") -> tuple[DataFrame, str]:
@@ -171,7 +215,7 @@ def score(docs: DataFrame, model: dict, text_column: str = "text") -> tuple[Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, bounds in text_slices(batch, text_column, SLICE):
-                found = scores(shared.value, features(data, bounds))
+                found = scores(shared.value, described(data, bounds, shared.value["buckets"])).astype(np.float64)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], [*part.schema.names, name])
 
     schema = docs.sparkSession.createDataFrame([], docs.schema).selectExpr("*", f"cast(null as double) as `{name}`").schema

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from roadspark.llm import quality
 from roadspark.llm.common import held_out, table
+from roadspark.llm.words import SPACED, mix, split_words
 
 SF = "/root/testdata/sf0.01"
 
@@ -112,3 +113,32 @@ def test_repeated_rows_and_ties(spark):
     assert all(np.allclose(model[k], once[k]) for k in model)
     scored, name = quality.score(docs, model)
     assert scored.groupBy("text").agg(F.count_distinct(name).alias("n")).where("n > 1").count() == 0
+
+
+def test_content_equals_a_plain_count():
+    """Shares of words, word pairs and byte runs in hash buckets, one by one."""
+    texts = ["", "ab", "one two one two", "A\tB", "é!é!é!", "xyz", "One TWO"]
+    data = [t.encode() for t in texts]
+    flat, at = np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(d) for d in data]))
+    got = quality.content(flat, at, *split_words(flat, at, SPACED), 8)
+    bucket = lambda v: int(mix(np.array([v % 2**64], np.uint64))[0] % np.uint64(8))
+    for row, d in zip(got, data):
+        low = d.lower()
+        words = [int(w) for w in split_words(np.frombuffer(d, np.uint8), np.array([0, len(d)]), SPACED)[0]]
+        assert len(words) == len(low.split())
+        seen = [words, [3 * a + b for a, b in zip(words, words[1:])], [int.from_bytes(low[k : k + 3], "big") for k in range(len(low) - 2)]]
+        expected = np.zeros((3, 8))
+        for k, values in enumerate(seen):
+            for v in values:
+                expected[k, bucket(v)] += 1 / len(values)
+        assert np.allclose(row, np.sqrt(expected).reshape(-1), atol=1e-6)
+
+
+def test_content_tells_texts_of_one_shape_apart(spark):
+    """Words alone decide: all texts have the same letters in the same numbers."""
+    docs = [(k, " ".join((["stale", "tones"] if k % 2 else ["least", "onset"])[(k >> j) & 1] for j in range(1, 9))) for k in range(400)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in docs[:300]], "doc_id long, quality int")
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    scored, name = quality.score(docs, quality.train(docs, labels, learnable=F.lit(True)))
+    found = [(r.doc_id % 2, r[name]) for r in scored.where("doc_id >= 300").collect()]
+    assert min(s for y, s in found if y) > max(s for y, s in found if not y)
