@@ -1,12 +1,14 @@
 """Benchmark decontamination with suffix arrays (op 4).
 
 Documents are read in shards of a few MB. A task numbers a shard's words by the benchmark's
-vocabulary and sorts the suffixes that could begin a window of benchmark words: the shard's
-suffix array. The window that begins at each place of each benchmark item is then looked up by
-binary search; the interval it finds holds all its places. Places on one diagonal join into verbatim
-matches, whose longest per item and document is returned with its location. ``item_matches``
-sorts all suffixes of a shard and searches every suffix of every item, so that each item gets
-its longest verbatim match in the corpus however short that is.
+vocabulary and sorts its suffixes: the shard's suffix array. A suffix ends at the first word that
+the benchmark never uses, and one that begins with such a word agrees with no item; suffixes
+that agree in a whole window stay in any order. Every suffix of every item is then looked up by binary search.
+Its neighbours in the order hold its longest match, up to a window; where that reaches a whole
+window, the interval around it holds all places of the window. Places on one diagonal join
+into verbatim matches, whose longest per item and document is returned with its location, and
+whose words are the hits that a document is removed for. ``item_matches`` returns the longest
+match that each item has in the corpus, however short that is.
 
 A window is ``size`` consecutive words of an item; a shorter item, but not an empty one, is
 one window. Words are runs of ASCII letters (lower-cased), digits and non-ASCII characters.
@@ -52,7 +54,7 @@ STATE_ARROW = pa.struct(
 
 
 class Items:
-    """A block of benchmark items: vocabulary, windows and their sort keys."""
+    """A block of benchmark items: vocabulary, windows, and sort keys of all suffixes."""
 
     def __init__(self, ids: list[str], texts: list[str], size: int):
         data = "\n".join(texts).encode()
@@ -67,10 +69,13 @@ class Items:
         self.item = np.repeat(np.arange(len(texts), dtype=np.int32), windows)
         self.start = (np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
         self.length = np.minimum(counts, size).astype(np.int16)[self.item]
-        self.shortest = int(self.length.min()) if len(self.length) else 0
         self.bits = max(1, int(math.ceil(math.log2(len(self.vocabulary) + 2))))
-        self.low, self.high = (pack_keys(self.numbers, at[self.item] + self.start, self.length, size, self.bits, fill) for fill in (False, True))
-        held = sum(x.nbytes for x in (self.vocabulary, self.numbers, self.word_at, self.item, self.start, self.length, *self.low, *self.high))
+        places = np.arange(len(words))
+        # words of each suffix, of which a window at most is looked at
+        self.left = np.minimum(np.repeat(at[1:], counts) - places, size).astype(np.int16)
+        self.low = pack_keys(self.numbers, places, self.left, size, self.bits, False)
+        self.high = pack_keys(self.numbers, at[self.item] + self.start, self.length, size, self.bits, True)
+        held = sum(x.nbytes for x in (self.vocabulary, self.numbers, self.word_at, self.item, self.start, self.length, self.left, *self.low, *self.high))
         if held > INDEX_BYTES:
             raise ValueError(f"the index of one block of the benchmark takes {held} bytes of {INDEX_BYTES}")
 
@@ -109,9 +114,9 @@ def bisect(sorted_keys: list[np.ndarray], wanted: list[np.ndarray], right: bool)
     return low
 
 
-def suffix_array(items: Items, words: np.ndarray, word_at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """The number of each word of a shard (0: not in the benchmark), and the places of suffixes
-    of at least ``least`` known words in sorted order, the known words of each, their keys.
+def suffix_array(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The number of each word of a shard (0: not in the benchmark), and the places of its
+    suffixes in sorted order, the known words of each, their keys.
 
     A suffix ends at the first unknown word or at the end of its document.
     """
@@ -122,64 +127,73 @@ def suffix_array(items: Items, words: np.ndarray, word_at: np.ndarray, least: in
     stop[:n] = number == 0
     stop[n] = True
     edges = np.union1d(np.flatnonzero(stop), word_at[1:])
-    known = np.flatnonzero(~stop[:n])
-    run = edges[np.searchsorted(edges, known, "right")] - known
-    places, run = known[run >= least], run[run >= least]
+    places = np.flatnonzero(~stop[:n])
+    run = edges[np.searchsorted(edges, places, "right")] - places
     number = np.append(number, 0)
     keys = pack_keys(number, places, np.minimum(run, items.size), items.size, items.bits, False)
     order = np.lexsort(keys[::-1])
     return number, places[order], run[order], [k[order] for k in keys]
 
 
-def window_places(items: Items, suffixes: np.ndarray, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All occurrences of item windows among sorted suffixes: window number, place, length."""
-    low, high = bisect(keys, items.low, False), bisect(keys, items.high, True)
-    found = np.maximum(high - low, 0)
-    window = np.repeat(np.arange(len(found)), found)
-    place = suffixes[np.repeat(low, found) + np.arange(len(window)) - np.repeat(np.cumsum(found) - found, found)]
-    return window, place, items.length[window]
+class Matches:
+    """What the suffixes of all items have in a shard.
 
+    For each suffix (a place in the items' words): ``common``, the words of its longest match, up
+    to a window, and ``near``, where that begins in the shard. For each occurrence of a whole
+    window: ``window``, ``place``, ``length``.
+    """
 
-def shard_matches(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All occurrences of item windows in a shard: window number, place, length."""
-    none = np.zeros(0, np.int64)
-    if not len(items.item) or not len(words):
-        return none, none, none
-    _, suffixes, _, keys = suffix_array(items, words, word_at, items.shortest)
-    return window_places(items, suffixes, keys) if len(suffixes) else (none, none, none)
+    def __init__(self, items: Items, words: np.ndarray, word_at: np.ndarray):
+        total = len(items.left)
+        self.common, self.near = np.zeros(total, np.int64), np.zeros(total, np.int64)
+        self.window = self.place = self.length = np.zeros(0, np.int64)
+        if not total or not len(words):
+            return
+        number, suffixes, run, keys = suffix_array(items, words, word_at)
+        if not len(suffixes):
+            return
+        # What agrees with a suffix longest is next to its place in the order.
+        below = bisect(keys, items.low, False)
+        for beside in (below, below - 1):
+            k = np.flatnonzero((beside >= 0) & (beside < len(suffixes)))
+            place = suffixes[beside[k]]
+            common = agreement(items, k, number, place, np.minimum(items.left[k], run[beside[k]]))
+            better = common > self.common[k]
+            self.common[k[better]], self.near[k[better]] = common[better], place[better]
+        # All places of the windows that occur: from the suffix's own place in the order on.
+        suffix = items.word_at[items.item] + items.start
+        occurs = np.flatnonzero(self.common[suffix] >= items.length)
+        first = below[suffix[occurs]]
+        found = bisect(keys, [key[occurs] for key in items.high], True) - first
+        self.window = np.repeat(occurs, found)
+        self.place = suffixes[np.repeat(first - np.cumsum(found) + found, found) + np.arange(len(self.window))]
+        self.length = items.length[self.window]
+
+
+def agreement(items: Items, suffix: np.ndarray, number: np.ndarray, place: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many words, up to ``most``, items' suffixes and places of a shard have in common."""
+    common, going = np.zeros(len(suffix), np.int64), np.arange(len(suffix))
+    for k in range(items.size):
+        going = going[most[going] > k]
+        going = going[number[place[going] + k] == items.numbers[suffix[going] + k]]
+        common[going] += 1
+    return common
 
 
 def shard_longest(items: Items, words: np.ndarray, word_at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The longest verbatim match in a shard of each item that has one: item, length, the
     match's first word in the item, and in the shard."""
-    none = np.zeros(0, np.int64)
-    if not len(items.item) or not len(words):
-        return none, none, none, none
-    number, suffixes, run, keys = suffix_array(items, words, word_at, 1)
-    if not len(suffixes):
-        return none, none, none, none
-    # What agrees with a suffix longest is next to its place in the order.
-    total = len(items.numbers) - 1
-    at, item = np.arange(total), np.repeat(np.arange(len(items.ids)), np.diff(items.word_at))
-    left = items.word_at[1:][item] - at
-    below = bisect(keys, pack_keys(items.numbers, at, np.minimum(left, items.size), items.size, items.bits, False), False)
-    found = []
-    for near in (np.maximum(below - 1, 0), np.minimum(below, len(suffixes) - 1)):
-        place, most = suffixes[near], np.minimum(left, run[near])
-        same, common = np.ones(total, bool), np.zeros(total, np.int64)
-        for k in range(items.size):
-            same &= (k < most) & (number[np.minimum(place + k, len(words))] == items.numbers[np.minimum(at + k, total)])
-            common += same
-        found.append((item, common, at - items.word_at[item], place))
+    got = Matches(items, words, word_at)
+    at = np.flatnonzero(got.common)
+    item = np.searchsorted(items.word_at, at, "right") - 1
+    found = [(item, got.common[at], at - items.word_at[item], got.near[at])]
     # Matches of a window and more are joined from windows.
-    window, place, length = window_places(items, suffixes, keys)
-    doc = np.searchsorted(word_at, place, "right") - 1
+    doc = np.searchsorted(word_at, got.place, "right") - 1
     number_of = {name: k for k, name in enumerate(items.ids)}
-    joined = [(number_of[m["item_id"]], m["length"], m["item_start"], m["doc_start"] + word_at[d]) for d, own in longest(items, window, place - word_at[doc], doc, length).items() for m in own]
+    joined = [(number_of[m["item_id"]], m["length"], m["item_start"], m["doc_start"] + word_at[d]) for d, own in longest(items, got.window, got.place - word_at[doc], doc, got.length).items() for m in own]
     found.append(tuple(np.array(joined, np.int64).reshape(-1, 4).T))
     item, length, start, place = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((place, start, -length, item))
-    order = order[length[order] > 0]
     order = order[np.append(True, np.diff(item[order]) != 0)[: len(order)]]
     return item[order], length[order], start[order], place[order]
 
@@ -195,7 +209,8 @@ def _pass(items_var, column: str, state: str, first: bool):
         for batch in batches:
             for part, data, bounds in text_slices(batch, column, SHARD_BYTES):
                 words, word_at = split_words(data, bounds)
-                window, place, length = shard_matches(items, words, word_at)
+                got = Matches(items, words, word_at)
+                window, place, length = got.window, got.place, got.length
                 doc = np.searchsorted(word_at, place, "right") - 1
                 hit = np.zeros(len(words) + 1, np.int64)
                 np.add.at(hit, place, 1)
