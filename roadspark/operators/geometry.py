@@ -16,7 +16,7 @@ def references(ways: DataFrame, way_nodes: DataFrame | None, *more: str) -> Data
         return ways.select(*keys, F.posexplode("nds").alias("seq", "node_id"))
     on = [c for c in keys if c in way_nodes.columns]
     # Only the ways asked for: their key goes along, so the join also filters.
-    return way_nodes.join(ways.select(*keys), on).select(*keys, "seq", "node_id", *more)
+    return way_nodes.join(ways.select(*keys), on, "left_semi" if on == keys else "inner").select(*keys, "seq", "node_id", *more)
 
 
 def referenced_nodes(nodes: DataFrame, ways: DataFrame, way_nodes: DataFrame | None = None, node_key: tuple[str, ...] = ("region", "node_id")) -> DataFrame:
@@ -61,14 +61,20 @@ def assemble_geometry(ways: DataFrame, nodes: DataFrame, way_nodes: DataFrame |
     and references come from :func:`stored_by_node`: they are joined where they lie, and only
     the places go on to their ways.
     """
-    keys = [c for c in ("region", "way_id") if c in ways.columns]
+    # A region that neither references nor nodes have stays with the ways. The number comes first:
+    # sorts by it compare numbers, and strings only where those are equal.
+    first = [c for c in ("region", "way_id") if c in ways.columns]
+    keys = [c for c in first[::-1] if way_nodes is None or c in (*way_nodes.columns, *node_key)]
+    wanted = ways.drop(*set(first) - set(keys))
     placed = nodes.select(*node_key, "lat", "lon")
     if by_node and way_nodes is not None:
-        places = references(ways, way_nodes.join(placed, list(node_key)), "lat", "lon")
+        places = references(wanted, way_nodes.join(placed, list(node_key)), "lat", "lon")
     else:
-        places = references(ways, way_nodes).join(placed, list(node_key))
-    shape = places.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("seq", "lon", "lat", "node_id"))).alias("v"),
+        places = references(wanted, way_nodes).join(placed, list(node_key))
+    # Dealt by way first: places that lie by node are of different ways, and to collect them there
+    # would only make lists of one.
+    shape = places.repartition(*keys).groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("seq", "lon", "lat", "node_id"))).alias("v"),
         F.min("lat").alias("min_lat"),
         F.max("lat").alias("max_lat"),
         F.min("lon").alias("min_lon"),
@@ -84,6 +90,7 @@ def assemble_geometry(ways: DataFrame, nodes: DataFrame, way_nodes: DataFrame |
         "both": F.when(ring & area, F.array(F.lit("Polygon"))).when(ring, F.array(F.lit("LineString"), F.lit("Polygon"))).otherwise(F.array(F.lit("LineString"))),
     }[closed]
     joined = ways.drop("nds").join(shape, keys).where(F.size("v") >= 2)
+    joined = joined.select(*first, *[c for c in (*ways.columns, *shape.columns) if c not in (*first, "nds")])
     return joined.withColumns({"pts": F.transform("v", lambda p: F.struct(p["lon"].alias("lon"), p["lat"].alias("lat"))), "n_points": F.size("v"), "geom_type": F.explode(kind)}).drop("v")
 
 
