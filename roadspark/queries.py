@@ -313,7 +313,11 @@ def _written(spark, sf_dir) -> str:
     path = scratch_path(spark, "tables")
     ways, nodes, refs = _tables(spark, sf_dir)
     tables = extract.extract(ways, nodes, refs, **KEY)
-    sinks.write_tables(tables, extract.metadata(extract.region_counts(tables, ways.select("region")), VERSION, CREATED_AT), path)
+    for name, df in tables.items():
+        sinks.write_table(df, name, path)
+    # Counted in what is written, so that no table is made again for its counts.
+    written = {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in tables.items()}
+    sinks.write_table(extract.metadata(extract.region_counts(written, ways.select("region")), VERSION, CREATED_AT), "metadata", path)
     # One region of one table is written again; the others stay.
     sinks.write_table(tables["roundabouts"].where("region = 'ASIA' and type = 'mini_roundabout'"), "roundabouts", path)
     return path

@@ -1,7 +1,11 @@
 """What the large steps of assembly, writing and streaming do only once, or in as many tasks as there are."""
 
+from roadspark import queries as q
 from roadspark.operators.geometry import assemble_geometry
 
+SF = "/root/testdata/sf0.001"
+
+
 def _inputs(spark):
     ways = spark.createDataFrame([("A", 1, ("yes",)), ("A", 1, ("yes",)), ("B", 1, (None,))], "region string, way_id long, tags struct<area:string>")
     nodes = spark.createDataFrame([(k, float(k), float(-k)) for k in range(1, 4)], "node_id long, lat double, lon double")
@@ -20,3 +24,15 @@ def test_places_are_dealt_before_they_are_collected(spark):
     lists = [k for k, line in enumerate(plan.split("\n")) if "collect_list" in line]
     lines = plan.split("\n")
     assert len(lists) == 2 and not any("Exchange" in line for line in lines[lists[0] : lists[1]])
+
+
+def test_counts_come_from_written_files(spark, monkeypatch):
+    read = []
+
+    def counts(tables, regions, own=q.extract.region_counts):
+        read.extend(f for df in tables.values() for f in df.inputFiles())
+        return own(tables, regions)
+
+    monkeypatch.setattr(q.extract, "region_counts", counts)
+    assert q.written_tables(spark, SF).where("table_name = 'metadata'").count() > 0
+    assert read and all("/tables-" in f for f in read)
