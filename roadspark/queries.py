@@ -20,7 +20,7 @@ from .plans import extract, manifest
 from .plans.bundle_tables import bundle_metadata, tables_from_bundles
 from .sources import bundles, geojson
 from .sources.catalogue import find_region, read_artifacts, read_regions, slim_regions
-from .storage import saved, scratch_path
+from .storage import names, saved, scratch_path
 from .streaming import geojson as stream
 
 VERSION, CREATED_AT = "2026-01-01", "2026-01-01T00:00:00.000Z"
@@ -413,8 +413,10 @@ def streamed_tables(spark, sf_dir):
     path = scratch_path(spark, "streamed")
     roads = _sequence_lines(spark, sf_dir, ("highway", "service", "surface", "junction", "bridge", "tunnel", "ref")).select("value")
     points = _points(spark, sf_dir).select(_geojson(("traffic_calming", "highway", "enforcement", "name", "maxspeed"), "Point", F.transform("pts", lambda p: F.array(p["lon"], p["lat"]))[0]).alias("value"))
-    roads.unionByName(points).repartition(6).write.text(f"{path}/in")
-    stream.stream_tables(spark, f"{path}/in", "all", f"{path}/out", f"{path}/checkpoint", files_per_trigger=3).awaitTermination()
+    # As many files as tasks, in two batches.
+    roads.unionByName(points).write.text(f"{path}/in")
+    files = sum(n.startswith("part-") for n in names(spark, f"{path}/in"))
+    stream.stream_tables(spark, f"{path}/in", "all", f"{path}/out", f"{path}/checkpoint", files_per_trigger=-(-files // 2)).awaitTermination()
     parts = []
     for name in stream.SCHEMAS:
         lat = "min_lat" if name.startswith("road_") else "lat"
