@@ -15,8 +15,9 @@ def references(ways: DataFrame, way_nodes: DataFrame | None, *more: str) -> Data
     if way_nodes is None:
         return ways.select(*keys, F.posexplode("nds").alias("seq", "node_id"))
     on = [c for c in keys if c in way_nodes.columns]
-    # Only the ways asked for: their key goes along, so the join also filters.
-    return way_nodes.join(ways.select(*keys), on, "left_semi" if on == keys else "inner").select(*keys, "seq", "node_id", *more)
+    # Only the ways asked for: their key goes along, so the join also filters. A semi join would be
+    # moved below a join that has already placed the nodes.
+    return way_nodes.join(ways.select(*keys), on, "left_semi" if on == keys and not more else "inner").select(*keys, "seq", "node_id", *more)
 
 
 def referenced_nodes(nodes: DataFrame, ways: DataFrame, way_nodes: DataFrame | None = None, node_key: tuple[str, ...] = ("region", "node_id")) -> DataFrame:
@@ -64,7 +65,7 @@ def assemble_geometry(ways: DataFrame, nodes: DataFrame, way_nodes: DataFrame |
     # A region that neither references nor nodes have stays with the ways. The number comes first:
     # sorts by it compare numbers, and strings only where those are equal.
     first = [c for c in ("region", "way_id") if c in ways.columns]
-    keys = [c for c in first[::-1] if way_nodes is None or c in (*way_nodes.columns, *node_key)]
+    keys = [c for c in first[::-1] if by_node or way_nodes is None or c in (*way_nodes.columns, *node_key)]
     wanted = ways.drop(*set(first) - set(keys))
     placed = nodes.select(*node_key, "lat", "lon")
     if by_node and way_nodes is not None:
